@@ -12,16 +12,16 @@ from tableloom.functions.timing import NTZ, ntz
 
 
 def _grade(newest: DataFrame, as_of: datetime | str, warn_after: timedelta | None, error_after: timedelta | None):
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("as_of"))
+    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), F.col("as_of"))
     status = F.when(F.col("max_loaded_at").isNull(), "error")
-    if error_after is not None:
-        status = status.when(F.col("age_seconds") > int(error_after.total_seconds()), "error")
-    if warn_after is not None:
-        status = status.when(F.col("age_seconds") > int(warn_after.total_seconds()), "warn")
-    return (
-        newest.withColumn("as_of", ntz(as_of))
-        .withColumn("age_seconds", age)
-        .withColumn("status", status.otherwise("pass"))
+    for limit, grade in ((error_after, "error"), (warn_after, "warn")):
+        if limit is not None:
+            status = status.when(micros > int(limit.total_seconds() * 1_000_000), grade)
+    return newest.withColumn("as_of", ntz(as_of)).select(
+        "max_loaded_at",
+        "as_of",
+        F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("as_of")).alias("age_seconds"),
+        status.otherwise("pass").alias("status"),
     )
 
 

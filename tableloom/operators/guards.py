@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.names import as_list, col, fresh_name, others, resolve
+from tableloom.functions.names import as_list, col, fresh_name, others, resolve, same_keys
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, count_name: str = "n") -> DataFrame:
@@ -16,6 +16,18 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, count_name: str = "
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_name)).where(col(count_name) > 1)
 
 
+def with_key_count(df: DataFrame, keys: Sequence[str] | str, count_name: str = "n") -> DataFrame:
+    """Every row with the number of rows that share its key.
+
+    Counts are folded on the map side and joined back, where a windowed count would put all rows of
+    a hot key into one task. In the join such a key sits on the side adaptive execution can split.
+    """
+    keys = resolve(df, as_list(keys))
+    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_name))
+    joined = df.alias("r").join(counts.alias("c"), same_keys("r", "c", keys))
+    return joined.select("r.*", F.col(f"c.{count_name}"))
+
+
 def require_unique(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """The same rows, in a plan that fails as soon as it meets a repeated key.
 
