@@ -56,6 +56,37 @@ def require_unique(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     )
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+    """One row: how many keys occur more than once."""
+    return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("repeated"))
+
+
+def fail_if_repeated(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+    """The same rows, behind a scalar subquery that fails if any key repeats.
+
+    Only the key columns are shuffled, and folded first, while the rows themselves stay where they
+    are. The source is read twice, so it must be frozen or deterministic; see ``require_unique`` for
+    one that is not.
+    """
+    n = F.col("repeated")
+    message = F.concat(F.lit("duplicate key in batch: "), n.cast("string"), F.lit(" keys repeat"))
+    verdict = repeated_keys(df, keys).select(
+        F.when(n > 0, F.raise_error(message).cast("boolean")).otherwise(True).alias("is_unique")
+    )
+    return df.where(verdict.scalar())
+
+
+class DuplicateKeyError(ValueError):
+    """A batch or table holds a key more than once; nothing has been published."""
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str] | str) -> None:
+    """Run the check on rows that are already written, reading their key columns only."""
+    repeated = repeated_keys(df, keys).first()["repeated"]
+    if repeated:
+        raise DuplicateKeyError(f"duplicate key: {repeated} values of {as_list(keys)} repeat")
+
+
 def reject_rows(df: DataFrame, bad, message: str) -> DataFrame:
     """The same rows, failing on the first one for which ``bad`` holds."""
     return df.where(

@@ -296,44 +296,39 @@ def source_violations(
 ) -> DataFrame:
     """One row of counts: null keys, repeated keys, null or regressed update times.
 
-    Rows are folded to one per key first, so a key that fills a third of the source costs one row
-    per task, and the join with history sees each key once with its earliest update time.
+    Rows are folded to one per key on the map side, so a key that fills a third of the source costs
+    one row per task. Update times are compared in a join that feeds nothing but a count, which
+    leaves adaptive execution free to split a hot key.
     """
     keys = resolve(source, spec.keys)
+    timed = spec.strategy == "timestamp"
+    zero = F.lit(0).cast("bigint")
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | col(k).isNull()
-    timed = spec.strategy == "timestamp"
-    at = col(spec.updated_at).cast(NTZ) if timed else F.lit(None).cast(NTZ)
-    n_rows, n_missing, n_late = "n_rows", "n_missing", "n_late"
-
-    rows = source.select(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)], any_null.alias("null_key"), at.alias("at"))
-    key_names = [f"k{i}" for i in range(len(keys))]
-    # Group on the update time too when it will be compared: copies of a key at one time fold together.
-    grouped = rows.groupBy(*key_names, "null_key", "at").agg(F.count(F.lit(1)).alias(n_rows))
-    if timed and history is not None:
-        cur = current_rows(history, spec).select(
-            *[col(k).alias(f"h{i}") for i, k in enumerate(spec.keys)], col(spec.names.valid_from).alias("since")
+    at = col(spec.updated_at).cast(NTZ) if timed else ntz("1970-01-01")
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = source.select(*[col(k).alias(n) for k, n in zip(keys, names)], any_null.alias("null_key"), at.alias("at"))
+    counted = (
+        rows.groupBy(*names, "null_key")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("at").isNull()).alias("n_missing"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("null_key"), F.col("n"))), zero).alias("null_keys"),
+            F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+            F.coalesce(F.sum("n_missing"), zero).alias("null_updated_at"),
         )
-        on = F.col("k0") == F.col("h0")
-        for i in range(1, len(keys)):
-            on = on & (F.col(f"k{i}") == F.col(f"h{i}"))
-        grouped = grouped.join(cur, on, "left")
-        late = F.sum(F.when(F.col("at") < F.col("since"), F.col(n_rows)).otherwise(0))
-    else:
-        late = F.sum(F.lit(0))
-    per_key = grouped.groupBy(*key_names, "null_key").agg(
-        F.sum(n_rows).alias(n_rows),
-        F.sum(F.when(F.col("at").isNull(), F.col(n_rows)).otherwise(0)).alias(n_missing),
-        late.cast("bigint").alias(n_late),
     )
-    zero = F.lit(0).cast("bigint")
-    return per_key.agg(
-        F.coalesce(F.sum(F.when(F.col("null_key"), F.col(n_rows))), zero).alias("null_keys"),
-        F.count_if(F.col(n_rows) > 1).alias("duplicate_keys"),
-        (F.coalesce(F.sum(n_missing), zero) if timed else zero).alias("null_updated_at"),
-        F.coalesce(F.sum(n_late), zero).alias("regressed_updated_at"),
+    if not timed or history is None:
+        return counted.withColumn("regressed_updated_at", zero)
+    since = current_rows(history, spec).select(
+        *[col(k).alias(f"h{i}") for i, k in enumerate(spec.keys)], col(spec.names.valid_from).alias("since")
     )
+    on = F.col("at") < F.col("since")
+    for i, n in enumerate(names):
+        on = on & (F.col(n) == F.col(f"h{i}"))
+    late = rows.join(since, on).agg(F.count(F.lit(1)).alias("regressed_updated_at"))
+    parts = counted.withColumn("regressed_updated_at", zero).unionByName(late, allowMissingColumns=True)
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
 
 
 def history_violations(history: DataFrame, spec: HistorySpec) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.names import as_list, col, fresh_name, others, quoted, resolve, same_keys
-from tableloom.functions.timing import in_window, windows_between
-from tableloom.operators.guards import reject_rows, require_unique
+from tableloom.functions.timing import in_window, ntz, windows_between
+from tableloom.operators.guards import fail_if_repeated, reject_rows
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] | str, guard
     keys = resolve(target, as_list(keys))
     batch = batch.select(*[col(c) for c in target.columns])
     if guard:
-        batch = require_unique(batch, keys)
+        return anti_by_keys(target, batch, keys).unionByName(fail_if_repeated(batch, keys))
     return anti_by_keys(target, batch, keys).unionByName(batch)
 
 
@@ -57,7 +57,7 @@ def upsert_sequenced(
     (sequence,) = resolve(target, [sequence])
     batch = batch.select(*[col(c) for c in target.columns])
     if guard:
-        batch = require_unique(batch, keys)
+        batch = fail_if_repeated(batch, keys)
     wanted = [*keys, sequence] if sequence not in keys else list(keys)
     stored, incoming = F.col(f"t.{quoted(sequence)}"), F.col(f"b.{quoted(sequence)}")
     stale = (
@@ -71,6 +71,29 @@ def upsert_sequenced(
     return anti_by_keys(target, winners, keys).unionByName(winners)
 
 
+def partition_values(rows: DataFrame, *partition: Column) -> list[tuple]:
+    """The distinct partition values of a batch: one small row per stored partition.
+
+    The commit of a partitioned write lists the same partitions on the driver.
+    """
+    return [tuple(r) for r in rows.select(*[p.alias(f"p{i}") for i, p in enumerate(partition)]).distinct().collect()]
+
+
+def in_partitions(values: Sequence[tuple], *partition: Column) -> Column:
+    """A literal predicate for those partitions, which prunes a partitioned scan while it is planned."""
+    if len(partition) == 1:
+        known = [v for (v,) in values if v is not None]
+        cond = partition[0].isin(known) if known else F.lit(False)
+        return cond | partition[0].isNull() if len(known) < len(values) else cond
+    cond = F.lit(False)
+    for value in values:
+        term = F.lit(True)
+        for p, v in zip(partition, value):
+            term = term & p.eqNullSafe(F.lit(v))
+        cond = cond | term
+    return cond
+
+
 def latest_by_key(log: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str) -> DataFrame:
     """One row per key: the greatest by ``order``, ties going to the later order column.
 
@@ -125,11 +148,13 @@ def replace_window(
     Rows with a null event time belong to no window, so stored ones stay. A batch row outside the
     window cannot be placed and stops the run.
     """
-    inside = F.coalesce(in_window(col(event_time), start, end), F.lit(False))
+    at = col(event_time)
+    # Spelled out rather than negated, so that both scans can skip row groups by their statistics.
+    outside = (at < ntz(start)) | (at >= ntz(end)) | at.isNull()
     batch = reject_rows(
-        batch.select(*[col(c) for c in target.columns]), ~inside, "batch row outside its event-time window"
+        batch.select(*[col(c) for c in target.columns]), outside, "batch row outside its event-time window"
     )
-    return target.where(~inside).unionByName(batch)
+    return target.where(outside).unionByName(batch)
 
 
 def backfill(

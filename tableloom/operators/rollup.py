@@ -64,7 +64,7 @@ def stale_partitions(before: DataFrame, after: DataFrame, partition: Sequence[st
 
 
 def only_partitions(df: DataFrame, stale: DataFrame, partition: Mapping[str, Column]) -> DataFrame:
-    """Rows in the listed partitions. On a table stored by these columns Spark prunes the scan by the join."""
+    """Rows in the listed partitions."""
     on = F.lit(True)
     for n, e in partition.items():
         on = on & e.eqNullSafe(F.col(f"stale_{n}"))

@@ -28,7 +28,6 @@ from tableloom.operators.history import (
     source_violations,
 )
 from tableloom.plans.publish import Publisher, insert_partitions
-from tableloom.session import freeze
 
 RUN, CLOSED = "history_run", "history_closed"
 
@@ -54,7 +53,7 @@ def _write_run(publisher: Publisher, table: str, rows: DataFrame, closed, run: i
     publisher.spark.sql(f"ALTER TABLE {versions} DROP IF EXISTS PARTITION ({RUN} = {run})")
     stored = publisher.spark.table(versions).columns
     labelled = rows.withColumn(RUN, F.lit(run)).withColumn(CLOSED, closed)
-    insert_partitions(labelled.select(*[col(c) for c in stored]), versions)
+    insert_partitions(labelled.select(*[col(c) for c in stored]), versions, [CLOSED])
 
 
 def run_history(
@@ -67,8 +66,13 @@ def run_history(
     before_publish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Build the history on the first call, advance it on later ones, and return it."""
+    publisher.drop_stale(table)
+    with publisher.stage(table, source) as staged:
+        return _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish)
+
+
+def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish) -> DataFrame:
     spark, versions = publisher.spark, publisher.name(_versions_table(table))
-    source = freeze(source, f"{table}-source")
     if not publisher.exists(table):
         if validate:
             raise_on_violations(source_violations(source, spec), "history source")

@@ -14,11 +14,11 @@ from pyspark.sql import types as T
 from tableloom.functions.names import as_list, col
 from tableloom.functions.timing import check_unit, floor_to, naive_utc, next_window, windows_between
 from tableloom.operators import incremental as inc
-from tableloom.operators.guards import require_unique
+from tableloom.operators.guards import assert_unique
 from tableloom.operators.layout import key_first
 from tableloom.operators.schema import POLICIES, align, apply_contract, check_protected
+from tableloom.plans.merge_log import run_merge_log
 from tableloom.plans.publish import Publisher
-from tableloom.session import freeze
 
 BUILT_IN = ("append", "merge", "insert_overwrite", "microbatch")
 _PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -41,6 +41,7 @@ class IncrementalConfig:
     custom: inc.Strategy | None = None
     predicates: tuple[Column, ...] = ()
     contract: T.StructType | None = None
+    merge_on_read: bool = False
 
     @property
     def keys(self) -> list[str]:
@@ -74,6 +75,8 @@ class IncrementalConfig:
             raise ConfigError(f"{kind} with a unique_key could drop rows absent from the batch; use merge")
         if self.sequence and kind != "merge":
             raise ConfigError("a sequence column only works with merge")
+        if self.merge_on_read and kind != "merge":
+            raise ConfigError("merge_on_read only works with merge")
         if self.predicates and kind != "custom":
             raise ConfigError(f"predicates are not supported by {kind}")
         if self.overwrite_partitions is not None:
@@ -130,11 +133,16 @@ def run_incremental(
 
     props = {"unique_key": ",".join(config.keys), "sequence": config.sequence or "",
              "batch_size": config.batch_size or "", "partition_by": config.partition_by or ""}
+    if config.merge_on_read:
+        return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh)
     first = full_refresh or publisher.current_version(table) is None
     if first:
         if kind == "merge":
             check_protected(batch.schema, batch.schema, config.keys, config.sequence)
-            batch = key_first(require_unique(batch, config.keys), config.keys)
+            return publisher.replace(
+                table, key_first(batch, config.keys), partition_by=config.partition_by, properties=props,
+                check=lambda written: assert_unique(written, config.keys),
+            )
         if kind == "microbatch":
             batch = _label_window(batch.where(_inside(config.event_time, window)), config, window)
             return publisher.replace(table, batch, partition_by=WINDOW_COLUMN, properties=props,
@@ -157,19 +165,21 @@ def run_incremental(
     if kind == "insert_overwrite" and same_shape:
         return _overwrite(publisher, table, target, batch, config)
 
-    batch = freeze(require_unique(batch, config.keys) if kind == "merge" else batch, f"{table}-batch")
-    if kind == "merge" and same_shape and _partition_merge(config, target):
-        merged = _merge(_touched(target, batch, config.partition_by), batch, config)
-        return publisher.overwrite_partitions(table, merged)
-    if kind == "merge":
-        result = _merge(stored, batch, config)
-    elif kind == "append":
-        result = inc.append(stored, batch)
-    elif kind == "insert_overwrite":
-        result = _overwritten(stored, batch, config)
-    else:
-        result = inc.custom(stored, batch, config.custom, config.keys, config.predicates)
-    return publisher.replace(table, result, partition_by=config.partition_by, properties=props)
+    with publisher.stage(table, batch) as staged:
+        if kind == "merge":
+            assert_unique(staged, config.keys)
+            if same_shape and _partition_merge(config, target):
+                partition = col(config.partition_by)
+                touched = target.where(inc.in_partitions(inc.partition_values(staged, partition), partition))
+                return publisher.overwrite_partitions(table, _merge(touched, staged, config))
+            result = _merge(stored, staged, config)
+        elif kind == "append":
+            result = inc.append(stored, staged)
+        elif kind == "insert_overwrite":
+            result = _overwritten(stored, staged, config)
+        else:
+            result = inc.custom(stored, staged, config.custom, config.keys, config.predicates)
+        return publisher.replace(table, result, partition_by=config.partition_by, properties=props)
 
 
 def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -> None:
@@ -191,12 +201,6 @@ def _merge(stored: DataFrame, batch: DataFrame, config: IncrementalConfig) -> Da
     return inc.upsert(stored, batch, config.keys, guard=False)
 
 
-def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Target rows in partitions the batch has rows for; Spark prunes the other partitions at run time."""
-    parts = batch.select(col(partition).alias("touched_partition")).distinct()
-    return target.join(parts, col(partition).eqNullSafe(F.col("touched_partition")), "left_semi")
-
-
 def _overwritten(stored: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
     named = as_list(config.overwrite_partitions)
     partition = col(config.partition_by)
@@ -212,15 +216,13 @@ def _overwrite(
     named = as_list(config.overwrite_partitions)
     if named == ["*"]:
         return publisher.overwrite_partitions(table, batch)
-    checked = freeze(inc.overwrite_partitions(inc.overwrite(target, batch).limit(0), batch, col(config.partition_by), named),
-                     f"{table}-batch")
-    # One value per named partition: as many rows as the caller listed names.
-    written = {r[0] for r in checked.select(col(config.partition_by)).distinct().collect()}
-    publisher.overwrite_partitions(table, checked)
-    kind = target.schema[config.partition_by].dataType
+    partition = col(config.partition_by)
+    checked = inc.overwrite_partitions(target.limit(0), batch, partition, named)
+    with publisher.stage(table, checked) as staged:
+        written = {str(v) for (v,) in inc.partition_values(staged, partition)}
+        publisher.overwrite_partitions(table, staged)
     for value in named:
-        typed = int(value) if isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) else value
-        if typed not in written:
+        if str(value) not in written:
             publisher.drop_partition(table, **{config.partition_by: value})
     return publisher.read(table)
 
@@ -256,11 +258,11 @@ def _run_window(
         props = {"batch_size": config.batch_size}
         return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN, properties=props,
                                  hidden=[WINDOW_COLUMN])
-    batch = freeze(batch, f"{table}-window")
-    if batch.isEmpty():
-        publisher.drop_partition(table, **{WINDOW_COLUMN: _label(window[0])})
-        return publisher.read(table)
-    return publisher.overwrite_partitions(table, batch)
+    with publisher.stage(table, batch) as staged:
+        if staged.isEmpty():
+            publisher.drop_partition(table, **{WINDOW_COLUMN: _label(window[0])})
+            return publisher.read(table)
+        return publisher.overwrite_partitions(table, staged)
 
 
 def run_backfill(

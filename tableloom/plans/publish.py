@@ -8,7 +8,8 @@ next rebuild, so queries that started on it can finish.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,18 @@ def _literal(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def insert_partitions(df: DataFrame, table: str) -> None:
+def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows gathered by the columns their files are split by.
+
+    Without this every task writes a file into every partition it has a row for. Adaptive execution
+    splits a partition that holds a large share of the rows over several tasks and joins small ones.
+    """
+    return df.hint("rebalance", *([partitions] if partitions else []), *[col(c) for c in columns])
+
+
+def insert_partitions(df: DataFrame, table: str, columns: Sequence[str]) -> None:
     """Dynamic partition overwrite. The mode must be a session setting for inserts into catalog tables."""
-    conf = df.sparkSession.conf
+    df, conf = rebalanced(df, columns), df.sparkSession.conf
     before = conf.get("spark.sql.sources.partitionOverwriteMode")
     conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -41,6 +51,7 @@ class Publisher:
 
     def __init__(self, spark: SparkSession, database: str):
         self.spark, self.database = spark, database
+        self._staged: set[str] = set()
 
     def name(self, table: str) -> str:
         return f"{quoted(self.database)}.{quoted(table)}"
@@ -72,6 +83,10 @@ class Publisher:
     ) -> str:
         """Write a new version that nobody reads yet and return its table name."""
         version = f"{table}__v_{uuid.uuid4().hex[:12]}"
+        if partition_by:
+            df = rebalanced(df, as_list(partition_by))
+        elif bucket_by:
+            df = rebalanced(df, as_list(bucket_by[1]), bucket_by[0])
         writer = df.write.format("parquet").mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*as_list(partition_by))
@@ -88,28 +103,49 @@ class Publisher:
         version: str,
         properties: Mapping[str, object] | None = None,
         hidden: Sequence[str] = (),
+        select: str | None = None,
     ) -> None:
         """Point the published name at a version, then drop versions older than the one just left.
 
-        ``hidden`` columns serve the layout only and are not part of the published view.
+        ``hidden`` columns serve the layout only and are not part of the published view. ``select``
+        is the view's query where it is more than the columns of the version.
         """
         before = self.current_version(table)
-        shown = [c for c in self.spark.table(self.name(version)).columns if c not in hidden]
-        columns = ", ".join(quoted(c) for c in shown)
+        if before == version:
+            before = self.property(table, "previous_table")
+        if select is None:
+            shown = [c for c in self.spark.table(self.name(version)).columns if c not in hidden]
+            select = f"SELECT {', '.join(quoted(c) for c in shown)} FROM {self.name(version)}"
         stored = {"version_table": version, "previous_table": before or "", **(properties or {})}
         props = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in stored.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({props}) "
-            f"AS SELECT {columns} FROM {self.name(version)}"
+            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({props}) AS {select}"
         )
         self.drop_stale(table)
 
     def drop_stale(self, table: str) -> None:
-        """Drop versions that are neither current nor the one before, such as leftovers of failed runs."""
-        keep = {self.current_version(table), self.property(table, "previous_table")}
-        for row in self.spark.sql(f"SHOW TABLES IN {quoted(self.database)}").collect():
-            if row["tableName"].startswith(f"{table}__v_") and row["tableName"] not in keep:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(row['tableName'])}")
+        """Drop stages, and versions that are neither current nor the one before: leftovers of earlier runs."""
+        keep = {self.current_version(table), self.property(table, "previous_table"), *self._staged}
+        listed = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()
+        for name in (row["tableName"] for row in listed):
+            if name.startswith((f"{table}__v_", f"{table}__stage_")) and name not in keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
+
+    @contextmanager
+    def stage(self, table: str, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows written once to a helper table, which is dropped when the block ends.
+
+        All uses inside the block read the same rows, the source is read once, and a lost executor
+        costs a re-read of files.
+        """
+        name = f"{table}__stage_{uuid.uuid4().hex[:12]}"
+        self._staged.add(name)
+        try:
+            df.write.format("parquet").saveAsTable(self.name(name))
+            yield df.sparkSession.table(self.name(name))
+        finally:
+            self._staged.discard(name)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
 
     def replace(
         self,
@@ -149,6 +185,10 @@ class Publisher:
         """The current version with its layout columns."""
         return self.spark.table(self.name(self._current(table)))
 
+    def partitions(self, version: str) -> list[str]:
+        """The partition columns of a stored table."""
+        return [c.name for c in self.spark.catalog.listColumns(self.name(version)) if c.isPartition]
+
     def append(self, table: str, batch: DataFrame) -> DataFrame:
         """Insert by name. A failing insert commits no file."""
         version = self._current(table)
@@ -164,7 +204,7 @@ class Publisher:
         """
         version = self._current(table)
         columns = self.spark.table(self.name(version)).columns
-        insert_partitions(batch.select(*[col(c) for c in columns]), self.name(version))
+        insert_partitions(batch.select(*[col(c) for c in columns]), self.name(version), self.partitions(version))
         return self.read(table)
 
     def drop_partition(self, table: str, **spec: object) -> None:

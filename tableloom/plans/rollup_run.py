@@ -6,19 +6,17 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tableloom.functions.names import col
+from tableloom.operators.incremental import in_partitions, partition_values
 from tableloom.operators.rollup import (
     Model,
     empty_like,
     file_fingerprints,
     fingerprints,
-    only_partitions,
     stale_partitions,
 )
 from tableloom.plans.publish import Check, Publisher
-from tableloom.session import freeze
 
 
 @dataclass(frozen=True)
@@ -60,10 +58,11 @@ def build_rollup(
 
 
 def _complete(publisher, table, base, model, config, check=None) -> DataFrame:
+    if not config.partition:
+        return publisher.replace(table, model(base), check=check)
     # Fingerprints are taken first: a base that changes meanwhile looks stale next time, never fresh.
-    prints = freeze(config.digest(base), f"{table}-prints") if config.partition else None
-    out = publisher.replace(table, model(base), partition_by=list(config.partition), check=check)
-    if prints is not None:
+    with publisher.stage(_prints(table), config.digest(base)) as prints:
+        out = publisher.replace(table, model(base), partition_by=list(config.partition), check=check)
         publisher.replace(_prints(table), prints)
     return out
 
@@ -75,10 +74,10 @@ def refresh_rollup(
     config.validate()
     if config.refresh == "complete" or not config.partition or not publisher.exists(_prints(table)):
         return _complete(publisher, table, base, model, config, check)
-    after = freeze(config.digest(base), f"{table}-prints")
-    stale = freeze(stale_partitions(publisher.read(_prints(table)), after, list(config.partition)), f"{table}-stale")
-    rewrite_partitions(publisher, table, base, model, config.partition, stale)
-    publisher.replace(_prints(table), after)
+    with publisher.stage(_prints(table), config.digest(base)) as after:
+        stale = stale_partitions(publisher.read(_prints(table)), after, list(config.partition))
+        rewrite_partitions(publisher, table, base, model, config.partition, stale)
+        publisher.replace(_prints(table), after)
     return publisher.read(table)
 
 
@@ -87,22 +86,17 @@ def rewrite_partitions(
 ) -> DataFrame:
     """Recompute the listed partitions from the base and store them; those left without rows are dropped.
 
-    The list holds partition values, one row per stored partition at most. Running this again gives
-    the same result, so a run that was cut short can simply be repeated.
+    Running this again gives the same result, so a run that was cut short can simply be repeated.
     """
-    if stale.isEmpty():
-        return publisher.read(table)
     names = list(partition)
-    fresh = freeze(model(only_partitions(base, stale, partition)), f"{table}-fresh")
-    emptied = stale.join(fresh.select(*[col(n) for n in names]).distinct(), names, "left_anti")
-    publisher.overwrite_partitions(table, fresh)
-    for row in emptied.where(_all_known(names)).collect():
-        publisher.drop_partition(table, **row.asDict())
+    values = partition_values(stale, *[col(n) for n in names])
+    if not values:
+        return publisher.read(table)
+    rows = model(base.where(in_partitions(values, *partition.values())))
+    with publisher.stage(table, rows) as fresh:
+        written = set(partition_values(fresh, *[col(n) for n in names]))
+        publisher.overwrite_partitions(table, fresh)
+    for value in values:
+        if value not in written:
+            publisher.drop_partition(table, **dict(zip(names, value)))
     return publisher.read(table)
-
-
-def _all_known(names) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & col(n).isNotNull()
-    return cond

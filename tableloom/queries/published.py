@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tableloom.operators import quality
+from tableloom.operators.history import HistorySpec
 from tableloom.plans.history_run import run_history
 from tableloom.plans.incremental_run import IncrementalConfig, run_backfill, run_incremental
-from tableloom.operators.history import HistorySpec
+from tableloom.plans.merge_log import compact
 from tableloom.queries.history import scd_sql
 from tableloom.queries.inputs import (
     ORDERS, ORDERS_MERGED, T0, T1, customers_t0, customers_t1, orders_arriving, orders_loaded, publisher, table,
@@ -97,6 +98,16 @@ def merge_within_partitions(spark, sf):
     return run_incremental(pub, "orders", lambda: orders_arriving(spark, sf).select("*", year), config)
 
 
+@query(f"""{ORDERS_MERGED} SELECT * FROM merged""")
+def merge_on_read_stored(spark, sf):
+    """Two logged batches, a compaction, and the first one again."""
+    pub, config = publisher(spark), IncrementalConfig(unique_key="o_orderkey", merge_on_read=True)
+    run_incremental(pub, "orders", lambda: orders_loaded(spark, sf), config)
+    run_incremental(pub, "orders", lambda: orders_arriving(spark, sf), config)
+    compact(pub, "orders")
+    return run_incremental(pub, "orders", lambda: orders_arriving(spark, sf), config)
+
+
 @query("SELECT * FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderstatus = 'P')")
 def microbatch_stored_windows(spark, sf):
     """Every year filled one by one, then one re-run after some of its rows left the source."""

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tableloom.operators.rollup import Model
 from tableloom.plans.publish import Publisher
 from tableloom.plans.rollup_run import rewrite_partitions
-from tableloom.session import freeze
 
 
 def refresh_on_commit(
@@ -35,8 +34,8 @@ def refresh_on_commit(
     spark = publisher.spark
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        touched = freeze(batch.select(*[e.alias(n) for n, e in partition.items()]).distinct(), f"{table}-touched")
-        base = batch.sparkSession.read.schema(base_schema).parquet(base_path)
+        touched = batch.select(*[e.alias(n) for n, e in partition.items()])
+        base = spark.read.schema(base_schema).parquet(base_path)
         rewrite_partitions(publisher, table, base, model, partition, touched)
 
     stream = spark.readStream.schema(base_schema).options(**(read_options or {})).parquet(base_path)
