@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,11 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def as_columns(named: Mapping[str, Column | str]) -> dict[str, Column]:
+    """Named expressions, of which text ones are SQL."""
+    return {n: F.expr(e) if isinstance(e, str) else e for n, e in named.items()}
+
+
 def fresh_name(taken: Iterable[str], stem: str) -> str:
     """A name derived from ``stem`` that clashes with none of ``taken``."""
     used = {name.lower() for name in taken}

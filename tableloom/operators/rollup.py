@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.hashing import multiset_digest
-from tableloom.functions.names import as_list, col, same_keys
+from tableloom.functions.names import as_columns, as_list, col, same_keys
 from tableloom.operators.incremental import anti_by_keys
 
 Model = Callable[[DataFrame], DataFrame]
 
 
-def aggregate(df: DataFrame, by: Mapping[str, Column], measures: Mapping[str, Column]) -> DataFrame:
+def aggregate(df: DataFrame, by: Mapping[str, Column | str], measures: Mapping[str, Column | str]) -> DataFrame:
     """Grouped aggregate with named keys and measures; Spark combines on the map side."""
-    return df.groupBy(*[e.alias(n) for n, e in by.items()]).agg(*[e.alias(n) for n, e in measures.items()])
+    return df.groupBy(*[e.alias(n) for n, e in as_columns(by).items()]).agg(*[e.alias(n) for n, e in as_columns(measures).items()])
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:
@@ -32,20 +32,20 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def fingerprints(df: DataFrame, partition: Mapping[str, Column]) -> DataFrame:
+def fingerprints(df: DataFrame, partition: Mapping[str, Column | str]) -> DataFrame:
     """Row count and content digest per partition, in one scan and one small shuffle."""
     aggs = multiset_digest(*[col(c) for c in df.columns])
-    return df.groupBy(*[e.alias(n) for n, e in partition.items()]).agg(*[e.alias(n) for n, e in aggs.items()])
+    return df.groupBy(*[e.alias(n) for n, e in as_columns(partition).items()]).agg(*[e.alias(n) for n, e in aggs.items()])
 
 
-def file_fingerprints(df: DataFrame, partition: Mapping[str, Column]) -> DataFrame:
+def file_fingerprints(df: DataFrame, partition: Mapping[str, Column | str]) -> DataFrame:
     """The same from file path, size and modification time of a file-backed table.
 
     No data column is read, only footers. Rewriting a file with equal rows counts as a change.
     """
     meta = ["_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"]
     aggs = multiset_digest(*meta)
-    return df.groupBy(*[e.alias(n) for n, e in partition.items()]).agg(*[e.alias(n) for n, e in aggs.items()])
+    return df.groupBy(*[e.alias(n) for n, e in as_columns(partition).items()]).agg(*[e.alias(n) for n, e in aggs.items()])
 
 
 def stale_partitions(before: DataFrame, after: DataFrame, partition: Sequence[str] | str) -> DataFrame:
@@ -63,17 +63,17 @@ def stale_partitions(before: DataFrame, after: DataFrame, partition: Sequence[st
     )
 
 
-def only_partitions(df: DataFrame, stale: DataFrame, partition: Mapping[str, Column]) -> DataFrame:
+def only_partitions(df: DataFrame, stale: DataFrame, partition: Mapping[str, Column | str]) -> DataFrame:
     """Rows in the listed partitions."""
     on = F.lit(True)
-    for n, e in partition.items():
+    for n, e in as_columns(partition).items():
         on = on & e.eqNullSafe(F.col(f"stale_{n}"))
     keys = stale.select(*[F.col(n).alias(f"stale_{n}") for n in partition])
     return df.join(keys, on, "left_semi")
 
 
 def refresh_partitions(
-    stored: DataFrame, base: DataFrame, model: Model, stale: DataFrame, partition: Mapping[str, Column]
+    stored: DataFrame, base: DataFrame, model: Model, stale: DataFrame, partition: Mapping[str, Column | str]
 ) -> DataFrame:
     """Recompute the stale partitions from the base, keep the stored rows of all others.
 

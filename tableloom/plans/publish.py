@@ -210,7 +210,7 @@ class Publisher:
     def drop_partition(self, table: str, **spec: object) -> None:
         """Empty one stored partition."""
         version = self._current(table)
-        parts = ", ".join(f"{quoted(k)} = {_literal(v)}" for k, v in spec.items())
+        parts = ", ".join(f"{quoted(k)} = {'NULL' if v is None else _literal(v)}" for k, v in spec.items())
         self.spark.sql(f"ALTER TABLE {self.name(version)} DROP IF EXISTS PARTITION ({parts})")
 
     # -- views and copies -------------------------------------------------------------------

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
-from tableloom.functions.names import col
+from tableloom.functions.names import as_columns, col
 from tableloom.operators.incremental import in_partitions, partition_values
 from tableloom.operators.rollup import (
     Model,
@@ -21,11 +21,14 @@ from tableloom.plans.publish import Check, Publisher
 
 @dataclass(frozen=True)
 class RollupConfig:
-    """``partition`` names stored columns and how the base computes them; without it every refresh is complete."""
+    """``partition`` names stored columns and how the base computes them (columns or SQL text).
+
+    Without it every refresh is complete.
+    """
 
     build: str = "immediate"
     refresh: str = "auto"
-    partition: Mapping[str, Column] = field(default_factory=dict)
+    partition: Mapping[str, Column | str] = field(default_factory=dict)
     fingerprint: str = "rows"
 
     def validate(self) -> None:
@@ -82,7 +85,7 @@ def refresh_rollup(
 
 
 def rewrite_partitions(
-    publisher: Publisher, table: str, base: DataFrame, model: Model, partition: Mapping[str, Column], stale: DataFrame
+    publisher: Publisher, table: str, base: DataFrame, model: Model, partition: Mapping[str, Column | str], stale: DataFrame
 ) -> DataFrame:
     """Recompute the listed partitions from the base and store them; those left without rows are dropped.
 
@@ -92,7 +95,7 @@ def rewrite_partitions(
     values = partition_values(stale, *[col(n) for n in names])
     if not values:
         return publisher.read(table)
-    rows = model(base.where(in_partitions(values, *partition.values())))
+    rows = model(base.where(in_partitions(values, *as_columns(partition).values())))
     with publisher.stage(table, rows) as fresh:
         written = set(partition_values(fresh, *[col(n) for n in names]))
         publisher.overwrite_partitions(table, fresh)

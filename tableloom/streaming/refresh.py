@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tableloom.functions.names import as_columns
 from tableloom.operators.rollup import Model
 from tableloom.plans.publish import Publisher
 from tableloom.plans.rollup_run import rewrite_partitions
@@ -19,7 +20,7 @@ def refresh_on_commit(
     base_path: str,
     base_schema: T.StructType,
     model: Model,
-    partition: Mapping[str, Column],
+    partition: Mapping[str, Column | str],
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     read_options: Mapping[str, str] | None = None,
@@ -34,7 +35,7 @@ def refresh_on_commit(
     spark = publisher.spark
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        touched = batch.select(*[e.alias(n) for n, e in partition.items()])
+        touched = batch.select(*[e.alias(n) for n, e in as_columns(partition).items()])
         base = spark.read.schema(base_schema).parquet(base_path)
         rewrite_partitions(publisher, table, base, model, partition, touched)
 
