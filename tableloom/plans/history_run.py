@@ -66,9 +66,10 @@ def run_history(
     before_publish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Build the history on the first call, advance it on later ones, and return it."""
-    publisher.drop_stale(table)
     with publisher.stage(table, source) as staged:
-        return _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish)
+        history = _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish)
+    publisher.drop_stale(table)
+    return history
 
 
 def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish) -> DataFrame:

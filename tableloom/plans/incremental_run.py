@@ -184,13 +184,14 @@ def run_incremental(
 
 def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -> None:
     """The stored key, sequence and layout must be the configured ones."""
+    properties = publisher.properties(table)
     for name, wanted in (
         ("unique_key", ",".join(config.keys)),
         ("sequence", config.sequence or ""),
         ("batch_size", config.batch_size or ""),
         ("partition_by", config.partition_by or ""),
     ):
-        stored = publisher.property(table, name)
+        stored = properties.get(name)
         if stored is not None and stored.lower() != wanted.lower():
             raise ConfigError(f"{table} is stored with {name}={stored!r} but configured with {wanted!r}; rebuild it")
 

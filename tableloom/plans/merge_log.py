@@ -57,12 +57,13 @@ def run_merge_log(
     """Add one batch. It becomes visible when the view is replaced; a refused batch never does."""
     keys = resolve(batch, as_list(keys))
     check_protected(batch.schema, batch.schema, keys, sequence)
-    last = publisher.property(table, "last_batch")
+    known = publisher.properties(table)
+    last = known.get("last_batch")
     if full_refresh or last is None:
         return _rebuild(publisher, table, batch, keys, sequence)
-    if (publisher.property(table, "unique_key") or "").lower() != ",".join(keys).lower():
+    if known.get("unique_key", "").lower() != ",".join(keys).lower():
         raise SchemaChangeError(f"{table} is stored with another key; rebuild it")
-    if (publisher.property(table, "sequence") or "").lower() != (sequence or "").lower():
+    if known.get("sequence", "").lower() != (sequence or "").lower():
         raise SchemaChangeError(f"{table} is stored with another sequence column; rebuild it")
     log = publisher.stored(table)
     check_protected(log.schema, batch.schema, keys, sequence)
@@ -88,6 +89,6 @@ def run_merge_log(
 
 def compact(publisher: Publisher, table: str) -> DataFrame:
     """Rewrite the log as one row per key. Readers see the same rows before and after."""
-    keys = as_list((publisher.property(table, "unique_key") or "").split(","))
-    sequence = publisher.property(table, "sequence") or None
+    known = publisher.properties(table)
+    keys, sequence = known["unique_key"].split(","), known["sequence"] or None
     return _rebuild(publisher, table, publisher.read(table), keys, sequence)

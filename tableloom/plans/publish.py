@@ -62,12 +62,14 @@ class Publisher:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def property(self, table: str, key: str) -> str | None:
-        """A stored property of a published name, or None."""
+    def properties(self, table: str) -> dict[str, str]:
+        """The stored properties of a published name; empty if there is none."""
         if not self.exists(table):
-            return None
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(F.col("key") == key).collect()
-        return rows[0]["value"] if rows else None
+            return {}
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
+
+    def property(self, table: str, key: str) -> str | None:
+        return self.properties(table).get(key)
 
     def current_version(self, table: str) -> str | None:
         return self.property(table, "version_table")
@@ -110,9 +112,10 @@ class Publisher:
         ``hidden`` columns serve the layout only and are not part of the published view. ``select``
         is the view's query where it is more than the columns of the version.
         """
-        before = self.current_version(table)
+        old = self.properties(table)
+        before = old.get("version_table")
         if before == version:
-            before = self.property(table, "previous_table")
+            before = old.get("previous_table")
         if select is None:
             shown = [c for c in self.spark.table(self.name(version)).columns if c not in hidden]
             select = f"SELECT {', '.join(quoted(c) for c in shown)} FROM {self.name(version)}"
@@ -125,7 +128,8 @@ class Publisher:
 
     def drop_stale(self, table: str) -> None:
         """Drop stages, and versions that are neither current nor the one before: leftovers of earlier runs."""
-        keep = {self.current_version(table), self.property(table, "previous_table"), *self._staged}
+        now = self.properties(table)
+        keep = {now.get("version_table"), now.get("previous_table"), *self._staged}
         listed = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()
         for name in (row["tableName"] for row in listed):
             if name.startswith((f"{table}__v_", f"{table}__stage_")) and name not in keep:
@@ -159,10 +163,7 @@ class Publisher:
         hidden: Sequence[str] = (),
     ) -> DataFrame:
         """Build, check and publish. Any failure before the switch leaves the old rows published."""
-        if self.exists(table):
-            self.drop_stale(table)
-        df = apply_contract(df, contract)
-        version = self.write_version(table, df, partition_by, bucket_by)
+        version = self.write_version(table, apply_contract(df, contract), partition_by, bucket_by)
         try:
             if check is not None:
                 check(self.spark.table(self.name(version)))

@@ -64,9 +64,9 @@ def _complete(publisher, table, base, model, config, check=None) -> DataFrame:
     if not config.partition:
         return publisher.replace(table, model(base), check=check)
     # Fingerprints are taken first: a base that changes meanwhile looks stale next time, never fresh.
-    with publisher.stage(_prints(table), config.digest(base)) as prints:
-        out = publisher.replace(table, model(base), partition_by=list(config.partition), check=check)
-        publisher.replace(_prints(table), prints)
+    prints = publisher.write_version(_prints(table), config.digest(base))
+    out = publisher.replace(table, model(base), partition_by=list(config.partition), check=check)
+    publisher.switch(_prints(table), prints)
     return out
 
 
@@ -77,10 +77,11 @@ def refresh_rollup(
     config.validate()
     if config.refresh == "complete" or not config.partition or not publisher.exists(_prints(table)):
         return _complete(publisher, table, base, model, config, check)
-    with publisher.stage(_prints(table), config.digest(base)) as after:
-        stale = stale_partitions(publisher.read(_prints(table)), after, list(config.partition))
-        rewrite_partitions(publisher, table, base, model, config.partition, stale)
-        publisher.replace(_prints(table), after)
+    prints = publisher.write_version(_prints(table), config.digest(base))
+    after = publisher.spark.table(publisher.name(prints))
+    stale = stale_partitions(publisher.read(_prints(table)), after, list(config.partition))
+    rewrite_partitions(publisher, table, base, model, config.partition, stale)
+    publisher.switch(_prints(table), prints)
     return publisher.read(table)
 
 
