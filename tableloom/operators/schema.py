@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableloom.functions.casting import safe_cast
 from tableloom.functions.names import as_list, col, others
 
 POLICIES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
@@ -171,8 +172,8 @@ def string_width_plan(batch: DataFrame, declared: Mapping[str, int]) -> DataFram
 
 def _lost(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """True where casting a non-null value drops it or changes it."""
-    there = value.try_cast(target)
-    back = there.try_cast(source)
+    there = safe_cast(value, source, target)
+    back = safe_cast(there, target, source)
     return value.isNotNull() & (there.isNull() | ~back.eqNullSafe(value))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableloom.functions.casting import safe_cast
 from tableloom.functions.names import col
 
 
@@ -63,7 +64,7 @@ def _cast(name: str, kind: str) -> Column:
     base = kind.strip().lower()
     if base.startswith(("varchar", "char", "character varying", "string", "text")):
         return col(name).cast("string")
-    return col(name).try_cast(kind)
+    return safe_cast(col(name), T.StringType(), T._parse_datatype_string(kind))
 
 
 def typed_load(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

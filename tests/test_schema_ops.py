@@ -98,3 +98,29 @@ def test_null_fill_and_widths_of_empty_input(spark):
     df = spark.createDataFrame([], "id int, name string")
     assert s.null_fill(df, {"NAME": "int", "x": "date"}).schema.simpleString() == "struct<id:int,name:string,x:date>"
     assert rows(s.string_width_plan(df, {"name": 5})) == [("name", 5, None, False)]
+
+
+def test_safe_cast_agrees_with_try_cast(spark):
+    from pyspark.sql import functions as F
+
+    from tableloom.functions.casting import safe_cast
+
+    texts = ["1", " 7 ", "+5", "-128", "128", "1.5", "1e3", "", "abc", "n/a", "NaN", "-Infinity", "inf", "2024-01-01", "2024",
+             "2024-01-01 10:00:00.5", "24-1-1", "\t3\n", "9223372036854775808", "true", "1d", ".5", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in ("tinyint", "smallint", "int", "bigint", "double", "float", "decimal(10,2)", "date", "timestamp_ntz", "boolean"):
+        target = T._parse_datatype_string(kind)
+        both = df.select("v", safe_cast(F.col("v"), T.StringType(), target).alias("a"), F.col("v").try_cast(target).alias("b"))
+        assert rows(both.where("NOT a <=> b")) == [], kind
+    numbers = [0.0, 1.5, -1.5, 127.0, 127.9, 128.0, -128.9, -129.0, 2147483647.5, -2147483648.5, 2147483648.0, 1e19, -1e19,
+               float("nan"), float("inf"), -9223372036854775808.0, 9223372036854775807.0, None]
+    df = spark.createDataFrame([(x,) for x in numbers], "v double")
+    for kind in ("tinyint", "smallint", "int", "bigint"):
+        target = T._parse_datatype_string(kind)
+        both = df.select("v", safe_cast(F.col("v"), T.DoubleType(), target).alias("a"), F.col("v").try_cast(target).alias("b"))
+        assert rows(both.where("NOT a <=> b")) == [], kind
+    df = spark.createDataFrame([(x,) for x in (0, 127, 128, -128, -129, 32768, 2**31, -(2**31), 2**63 - 1, None)], "v bigint")
+    for kind in ("tinyint", "smallint", "int", "bigint"):
+        target = T._parse_datatype_string(kind)
+        both = df.select("v", safe_cast(F.col("v"), T.LongType(), target).alias("a"), F.col("v").try_cast(target).alias("b"))
+        assert rows(both.where("NOT a <=> b")) == [], kind
