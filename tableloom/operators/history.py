@@ -234,7 +234,7 @@ def _versions(paired: DataFrame, columns: list[str], spec: HistorySpec, run_ts,
         produced.append(F.when(change == "delete", tagged("insert", tombstone)))
     if keep_unchanged:
         produced.append(F.when(change == "keep", tagged("keep", _with(cur, columns, schema))))
-    rows = paired.select(F.explode(F.array_compact(F.array(*produced))).alias("item"))
+    rows = paired.select(F.explode(F.array(*produced)).alias("item")).where("item IS NOT NULL")
     return rows.select("item.change_type", *[F.col(f"item.row.{quoted(c)}").alias(c) for c in columns])
 
 
@@ -291,6 +291,47 @@ def advance_current(history: DataFrame, source: DataFrame, spec: HistorySpec, ru
     return _versions(paired, columns, spec, run_ts, keep_unchanged=True)
 
 
+def compares_few_columns(history: DataFrame, source: DataFrame, spec: HistorySpec) -> bool:
+    """Whether changes can be told from a minority of the columns."""
+    if spec.strategy == "timestamp":
+        return True
+    compared, column_added = _change_columns(history, source, spec)
+    return not column_added and 2 * len(compared) < len(source.columns)
+
+
+def touched_keys(current: DataFrame, source: DataFrame, spec: HistorySpec, run_ts: datetime | str) -> DataFrame:
+    """Keys this run changes in any way, found from the key and compared columns alone."""
+    n = spec.names
+    compared = [spec.updated_at] if spec.strategy == "timestamp" else _change_columns(current, source, spec)[0]
+    keys = resolve(source, spec.keys)
+    wanted = [*keys, *[c for c in resolve(source, compared) if c not in keys]]
+    stored = resolve(current, wanted)
+    meta = [c for c in (n.scd_id, n.updated_at, n.valid_from, n.valid_to, n.is_deleted) if c in current.columns]
+    slim = current.select(*[col(c) for c in [*stored, *[m for m in meta if m not in stored]]])
+    paired, _ = _matched(slim, source.select(*[col(c) for c in wanted]), spec, run_ts)
+    return paired.where("change <> 'keep'").select(
+        *[F.coalesce(F.col("cur").getField(s), F.col("src").getField(s)).alias(k) for k, s in zip(keys, stored)]
+    )
+
+
+def advance_touched(
+    current: DataFrame, source: DataFrame, touched: DataFrame, spec: HistorySpec, run_ts: datetime | str
+) -> DataFrame:
+    """``advance_current``, given the keys that change (written beforehand: they are used three times).
+
+    Rows of other keys are passed on by a filter. Where few keys change, they are broadcast and no
+    whole row is shuffled.
+    """
+    keys = resolve(source, spec.keys)
+    stored = resolve(current, keys)
+    as_stored = touched.select(*[col(k).alias(s) for k, s in zip(keys, stored)])
+    changed = current.join(as_stored, stored, "left_semi")
+    arriving = source.join(touched, keys, "left_semi")
+    kept = extend_history(current.join(as_stored, stored, "left_anti"), source, spec)
+    decided = advance_current(changed, arriving, spec, run_ts)
+    return decided.unionByName(kept.withColumn("change_type", F.lit("keep")))
+
+
 def source_violations(
     source: DataFrame, spec: HistorySpec, history: DataFrame | None = None
 ) -> DataFrame:

@@ -126,10 +126,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     out = []
     for f in schema:
         found = present.get(f.name.lower())
-        value = F.lit(None).cast(f.dataType) if found is None else col(found)
-        if found is not None and df.schema[found].dataType != f.dataType:
-            value = value.cast(f.dataType)
-        out.append(value.alias(f.name))
+        kind, metadata = f.dataType, dict(f.metadata)
+        if isinstance(kind, (T.VarcharType, T.CharType)):
+            # Spark holds such columns as strings that carry their declared type.
+            metadata["__CHAR_VARCHAR_TYPE_STRING"], kind = kind.simpleString(), T.StringType()
+        value = F.lit(None).cast(kind) if found is None else col(found)
+        if found is not None and df.schema[found].dataType != kind:
+            value = value.cast(kind)
+        out.append(value.alias(f.name, metadata=metadata) if metadata else value.alias(f.name))
     return df.select(*out)
 
 

@@ -21,11 +21,14 @@ from tableloom.operators.history import (
     HistorySpec,
     ViolationError,
     advance_current,
+    advance_touched,
     check_schema,
+    compares_few_columns,
     history_violations,
     initial_history,
     raise_on_violations,
     source_violations,
+    touched_keys,
 )
 from tableloom.plans.publish import Publisher, insert_partitions
 
@@ -102,7 +105,16 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
         raise_on_violations(source_violations(source, spec, history), "history source")
     # Only current versions take part, so only their partition is read.
     current = spark.table(versions).where(f"NOT {CLOSED} AND {RUN} = {last}").drop(RUN, CLOSED)
+    if compares_few_columns(current, source, spec):
+        with publisher.stage(table, touched_keys(current, source, spec, run_ts)) as touched:
+            decided = advance_touched(current, source, touched, spec, run_ts)
+            return _commit(publisher, table, decided, source, spec, added, run, validate, before_publish)
     decided = advance_current(current, source, spec, run_ts)
+    return _commit(publisher, table, decided, source, spec, added, run, validate, before_publish)
+
+
+def _commit(publisher, table, decided, source, spec, added, run, validate, before_publish) -> DataFrame:
+    spark, versions, last = publisher.spark, publisher.name(_versions_table(table)), run - 1
     if added:
         listed = ", ".join(f"{quoted(c)} {source.schema[c].dataType.simpleString()}" for c in added)
         have = {c.lower() for c in spark.table(versions).columns}

@@ -16,7 +16,9 @@ from tableloom.functions.timing import check_unit, floor_to, naive_utc, next_win
 from tableloom.operators import incremental as inc
 from tableloom.operators.guards import assert_unique
 from tableloom.operators.layout import key_first
-from tableloom.operators.schema import POLICIES, align, apply_contract, check_protected
+from tableloom.operators.schema import (
+    POLICIES, SchemaChangeError, align, apply_contract, check_protected, conform, declared_widths, string_width_plan,
+)
 from tableloom.plans.merge_log import run_merge_log
 from tableloom.plans.publish import Publisher
 
@@ -154,9 +156,13 @@ def run_incremental(
     if kind == "merge":
         check_protected(target.schema, batch.schema, config.keys, config.sequence)
     if kind == "microbatch":
-        return _run_window(publisher, table, batch, config, window)
+        batch = batch.where(_inside(config.event_time, window))
+    wide = _widened(target, batch, config)
+    publisher.drop_stale(table)  # helpers a killed run left behind
+    if kind == "microbatch":
+        return _run_window(publisher, table, wide, batch, config, window)
 
-    stored, batch = align(target, batch, config.on_schema_change)
+    stored, batch = align(wide, batch, config.on_schema_change)
     same_shape = stored.schema.names == target.schema.names and stored.schema == target.schema
     if kind == "append" and same_shape:
         return publisher.append(table, batch)
@@ -182,6 +188,27 @@ def run_incremental(
         return publisher.replace(table, result, partition_by=config.partition_by, properties=props)
 
 
+def _widened(target: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
+    """The target with declared text widths raised to the longest text of the batch.
+
+    A contract fixes widths, and keys never change. Stored tables keep the widths they were written
+    with, so a run that raises one writes a new version, as for any other schema change.
+    """
+    widths = declared_widths(target.schema)
+    if not widths or config.contract is not None:
+        return target
+    plan = string_width_plan(batch, widths).where("needs_widening").collect()  # at most one row per column
+    needed = {r["column_name"].lower(): r["max_length"] for r in plan}
+    fixed = [c for c in [*config.keys, *as_list(config.sequence)] if c.lower() in needed]
+    if fixed:
+        raise SchemaChangeError(f"key or sequence columns {fixed} would have to widen; rebuild the table instead")
+    fields = [
+        T.StructField(f.name, T.VarcharType(needed[f.name.lower()])) if f.name.lower() in needed else f
+        for f in target.schema
+    ]
+    return conform(target, T.StructType(fields)) if needed else target
+
+
 def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -> None:
     """The stored key, sequence and layout must be the configured ones."""
     properties = publisher.properties(table)
@@ -234,7 +261,7 @@ WINDOW_COLUMN = "event_window"
 
 
 def _inside(event_time: str, window) -> Column:
-    return F.coalesce(inc.in_window(col(event_time), *window), F.lit(False))
+    return inc.in_window(col(event_time), *window)
 
 
 def _label(start: datetime) -> str:
@@ -246,15 +273,14 @@ def _label_window(df: DataFrame, config: IncrementalConfig, window) -> DataFrame
 
 
 def _run_window(
-    publisher: Publisher, table: str, source: DataFrame, config: IncrementalConfig, window
+    publisher: Publisher, table: str, wide: DataFrame, source: DataFrame, config: IncrementalConfig, window
 ) -> DataFrame:
     """Replace one stored window. Only its partition is written, and it is emptied if the batch has no rows."""
-    stored = publisher.stored(table)
-    target = stored.drop(WINDOW_COLUMN)
-    aligned, batch = align(target, source.where(_inside(config.event_time, window)), config.on_schema_change)
+    target = wide.drop(WINDOW_COLUMN)
+    aligned, batch = align(target, source, config.on_schema_change)
     batch = _label_window(batch, config, window)
-    if aligned.schema != target.schema:
-        kept = stored.where(col(WINDOW_COLUMN) != _label(window[0]))
+    if aligned.schema != target.schema or wide.schema != publisher.stored(table).schema:
+        kept = wide.where(col(WINDOW_COLUMN) != _label(window[0]))
         kept, batch = align(kept, batch, config.on_schema_change)
         props = {"batch_size": config.batch_size}
         return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN, properties=props,

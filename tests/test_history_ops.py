@@ -166,3 +166,15 @@ def test_result_validation_counts(spark):
         "null_ids": 1, "null_valid_from": 1, "invalid_windows": 1, "duplicate_ids": 1, "duplicate_current": 1}
     empty = h.history_violations(bad.limit(0), spec).first().asDict()
     assert set(empty.values()) == {0}
+
+
+@pytest.mark.parametrize("mode", h.DELETE_MODES)
+def test_touched_keys_give_the_same_history(spark, t0, t1, mode):
+    extra = [F.lit(i).alias(f"c{i}") for i in range(3)]
+    a, b = t0.select("*", *extra), t1.select("*", *extra).unionByName(t0.where("id = 2").select("*", *extra).limit(0))
+    spec = HistorySpec("id", check_cols=("score",), hard_deletes=mode)
+    current = h.initial_history(a, spec, T0)
+    assert h.compares_few_columns(current, b, spec)
+    touched = h.touched_keys(current, b, spec, T1)
+    assert sorted(r.id for r in touched.collect()) == ([1, 3] if mode == "ignore" else [1, 2, 3])
+    assert rows(h.advance_touched(current, b, touched, spec, T1)) == rows(h.advance_current(current, b, spec, T1))

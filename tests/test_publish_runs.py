@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from tableloom.operators.guards import DuplicateKeyError
-from tableloom.operators.schema import ContractError, SchemaChangeError
+from tableloom.operators.schema import ContractError, SchemaChangeError, declared_widths
 from tableloom.plans.incremental_run import ConfigError, IncrementalConfig, run_backfill, run_incremental
 from tableloom.plans.merge_log import compact
 
@@ -249,3 +249,21 @@ def test_custom_strategy_run(pub, spark, base):
     run_incremental(pub, "t", lambda: base.where("id = 1"), config)
     out = run_incremental(pub, "t", lambda: base.withColumn("name", F.lit("n")).select("score", "id", "name"), config)
     assert rows(out) == [(1, "alice", 100), (2, "n", 200), (3, "n", 300)]
+
+
+def test_text_columns_widen_unless_fixed(pub, spark):
+    narrow = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.VarcharType(5))])
+    short, long = [spark.createDataFrame([r], "id int, name string") for r in [(1, "a"), (2, "expanded")]]
+    for name, config in [("t", IncrementalConfig()), ("m", IncrementalConfig(unique_key="id"))]:
+        pub.replace(name, short, contract=narrow)
+        assert declared_widths(pub.stored(name).schema) == {"name": 5}
+        out = run_incremental(pub, name, lambda: long, config)
+        assert rows(out) == [(1, "a"), (2, "expanded")]
+        assert declared_widths(pub.stored(name).schema)["name"] >= 8
+    pub.replace("k", short, contract=narrow)
+    with pytest.raises(SchemaChangeError, match="would have to widen"):
+        run_incremental(pub, "k", lambda: long, IncrementalConfig(unique_key="name"))
+    pub.replace("c", short, contract=narrow)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|LENGTH"):
+        run_incremental(pub, "c", lambda: long, IncrementalConfig(contract=narrow))
+    assert rows(pub.read("c")) == [(1, "a")]
