@@ -14,12 +14,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tableloom.functions.names import col, quoted
 from tableloom.operators.history import (
     HistorySpec,
-    ViolationError,
     advance_current,
     advance_touched,
     check_schema,
@@ -81,11 +79,10 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
         if validate:
             raise_on_violations(source_violations(source, spec), "history source")
         first = initial_history(source, spec, run_ts)
-        schema = T.StructType([*first.schema.fields, T.StructField(RUN, T.IntegerType()),
-                               T.StructField(CLOSED, T.BooleanType())])
+        listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in first.schema)
         spark.sql(f"DROP TABLE IF EXISTS {versions}")
-        empty = spark.createDataFrame([], schema)
-        empty.write.format("parquet").partitionBy(RUN, CLOSED).saveAsTable(versions)
+        spark.sql(f"CREATE TABLE {versions} ({listed}, {RUN} INT, {CLOSED} BOOLEAN) USING parquet "
+                  f"PARTITIONED BY ({RUN}, {CLOSED})")
         _write_run(publisher, table, first, F.lit(False), 0)
         if validate:
             written = spark.table(versions).where(f"{RUN} = 0").drop(RUN, CLOSED)
@@ -124,11 +121,10 @@ def _commit(publisher, table, decided, source, spec, added, run, validate, befor
     _write_run(publisher, table, decided, F.col("change_type").isin("update", "delete"), run)
     if validate:
         written = spark.table(versions).where(f"{RUN} = {run}").select(*[col(c) for c in columns])
-        raise_on_violations(history_violations(written, spec), "history result")
         past = spark.table(versions).where(f"{CLOSED} AND {RUN} <= {last}").select(col(spec.names.scd_id))
-        repeated = written.select(col(spec.names.scd_id)).join(past, spec.names.scd_id, "left_semi")
-        if not repeated.isEmpty():
-            raise ViolationError("history result: a new version reuses the id of a past one")
+        reused = written.join(past, spec.names.scd_id, "left_semi").agg(F.count(F.lit(1)).alias("reused_ids"))
+        counts = history_violations(written, spec).unionByName(reused, allowMissingColumns=True)
+        raise_on_violations(counts.agg(*[F.sum(c).alias(c) for c in counts.columns]), "history result")
     if before_publish is not None:
         before_publish()
     _publish(publisher, table, columns, run)

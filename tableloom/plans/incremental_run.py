@@ -8,11 +8,12 @@ from datetime import datetime
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.names import as_list, col
-from tableloom.functions.timing import check_unit, floor_to, naive_utc, next_window, windows_between
+from tableloom.functions.timing import (
+    batch_id, check_unit, floor_to, naive_utc, next_window, window_start, windows_between,
+)
 from tableloom.operators import incremental as inc
 from tableloom.operators.guards import assert_unique
 from tableloom.operators.layout import key_first
@@ -123,15 +124,54 @@ def run_incremental(
     All refusals come before the first write.
     """
     config.validate()
-    kind = config.effective
-    batch = apply_contract(model(), config.contract)
-    if kind == "microbatch":
+    windows = []
+    if config.effective == "microbatch":
         if window is None:
             raise ConfigError("microbatch needs an event-time window")
         start, end = naive_utc(window[0]), naive_utc(window[1])
         unit = check_unit(config.batch_size)
         if floor_to(start, unit) != start or next_window(start, unit) != end:
             raise ConfigError(f"[{start}, {end}) is not one {unit} window")
+        windows = [(start, end)]
+    return _run(publisher, table, model, config, full_refresh, windows)
+
+
+def run_backfill(
+    publisher: Publisher,
+    table: str,
+    model: Model,
+    config: IncrementalConfig,
+    start: datetime,
+    end: datetime,
+    full_refresh: bool = False,
+) -> DataFrame:
+    """Replace every window that covers ``[start, end)``, as running each of them in turn would.
+
+    The windows are consecutive and independent, so they go through one job that reads the source
+    once and writes their partitions in parallel, and either all of them are replaced or none.
+    """
+    config.validate()
+    if config.effective != "microbatch":
+        raise ConfigError("backfill needs the microbatch strategy")
+    windows = windows_between(start, end, config.batch_size)
+    if not windows:
+        raise ConfigError(f"no {config.batch_size} window lies between {start} and {end}")
+    return _run(publisher, table, model, config, full_refresh, windows)
+
+
+def _run(
+    publisher: Publisher,
+    table: str,
+    model: Model,
+    config: IncrementalConfig,
+    full_refresh: bool,
+    windows: Sequence[tuple[datetime, datetime]],
+) -> DataFrame:
+    kind = config.effective
+    batch = apply_contract(model(), config.contract)
+    if windows:
+        span = windows[0][0], windows[-1][1]
+        batch = batch.where(inc.in_window(col(config.event_time), *span))
 
     props = {"unique_key": ",".join(config.keys), "sequence": config.sequence or "",
              "batch_size": config.batch_size or "", "partition_by": config.partition_by or ""}
@@ -146,21 +186,18 @@ def run_incremental(
                 check=lambda written: assert_unique(written, config.keys),
             )
         if kind == "microbatch":
-            batch = _label_window(batch.where(_inside(config.event_time, window)), config, window)
-            return publisher.replace(table, batch, partition_by=WINDOW_COLUMN, properties=props,
-                                     hidden=[WINDOW_COLUMN])
+            return publisher.replace(table, _label_windows(batch, config), partition_by=WINDOW_COLUMN,
+                                     properties=props, hidden=[WINDOW_COLUMN])
         return publisher.replace(table, batch, partition_by=config.partition_by, properties=props)
 
     target = publisher.stored(table)
     _check_target(publisher, table, config)
     if kind == "merge":
         check_protected(target.schema, batch.schema, config.keys, config.sequence)
-    if kind == "microbatch":
-        batch = batch.where(_inside(config.event_time, window))
     wide = _widened(target, batch, config)
     publisher.drop_stale(table)  # helpers a killed run left behind
     if kind == "microbatch":
-        return _run_window(publisher, table, wide, batch, config, window)
+        return _replace_windows(publisher, table, wide, batch, config, windows)
 
     stored, batch = align(wide, batch, config.on_schema_change)
     same_shape = stored.schema.names == target.schema.names and stored.schema == target.schema
@@ -260,49 +297,37 @@ def _overwrite(
 WINDOW_COLUMN = "event_window"
 
 
-def _inside(event_time: str, window) -> Column:
-    return inc.in_window(col(event_time), *window)
-
-
 def _label(start: datetime) -> str:
-    return naive_utc(start).strftime("%Y%m%dT%H")
-
+    return start.strftime("%Y%m%dT%H")
 
-def _label_window(df: DataFrame, config: IncrementalConfig, window) -> DataFrame:
-    return df.withColumn(WINDOW_COLUMN, F.lit(_label(window[0])))
 
-
-def _run_window(
-    publisher: Publisher, table: str, wide: DataFrame, source: DataFrame, config: IncrementalConfig, window
-) -> DataFrame:
-    """Replace one stored window. Only its partition is written, and it is emptied if the batch has no rows."""
-    target = wide.drop(WINDOW_COLUMN)
-    aligned, batch = align(target, source, config.on_schema_change)
-    batch = _label_window(batch, config, window)
-    if aligned.schema != target.schema or wide.schema != publisher.stored(table).schema:
-        kept = wide.where(col(WINDOW_COLUMN) != _label(window[0]))
-        kept, batch = align(kept, batch, config.on_schema_change)
-        props = {"batch_size": config.batch_size}
-        return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN, properties=props,
-                                 hidden=[WINDOW_COLUMN])
-    with publisher.stage(table, batch) as staged:
-        if staged.isEmpty():
-            publisher.drop_partition(table, **{WINDOW_COLUMN: _label(window[0])})
-            return publisher.read(table)
-        return publisher.overwrite_partitions(table, staged)
+def _label_windows(df: DataFrame, config: IncrementalConfig) -> DataFrame:
+    """Rows with the start of their window as text, which is what they are stored by."""
+    start = window_start(col(config.event_time), config.batch_size)
+    return df.withColumn(WINDOW_COLUMN, batch_id(start, "hour"))
 
 
-def run_backfill(
+def _replace_windows(
     publisher: Publisher,
     table: str,
-    model: Model,
+    wide: DataFrame,
+    source: DataFrame,
     config: IncrementalConfig,
-    start: datetime,
-    end: datetime,
-    full_refresh: bool = False,
+    windows: Sequence[tuple[datetime, datetime]],
 ) -> DataFrame:
-    """Run every window between two bounds, one after another."""
-    windows: Sequence[tuple[datetime, datetime]] = windows_between(start, end, config.batch_size)
-    for i, window in enumerate(windows):
-        run_incremental(publisher, table, model, config, full_refresh and i == 0, window)
+    """Replace stored windows. Only their partitions are written; those the batch has no rows for are emptied."""
+    target, labels = wide.drop(WINDOW_COLUMN), [_label(start) for start, _ in windows]
+    aligned, batch = align(target, source, config.on_schema_change)
+    batch = _label_windows(batch, config)
+    if aligned.schema != target.schema or wide.schema != publisher.stored(table).schema:
+        kept, batch = align(wide.where(~col(WINDOW_COLUMN).isin(labels)), batch, config.on_schema_change)
+        return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN,
+                                 properties={"batch_size": config.batch_size}, hidden=[WINDOW_COLUMN])
+    with publisher.stage(table, batch) as staged:
+        written = {label for (label,) in inc.partition_values(staged, col(WINDOW_COLUMN))}
+        if written:
+            publisher.overwrite_partitions(table, staged)
+    for label in labels:
+        if label not in written:
+            publisher.drop_partition(table, **{WINDOW_COLUMN: label})
     return publisher.read(table)

@@ -188,7 +188,10 @@ class Publisher:
 
     def partitions(self, version: str) -> list[str]:
         """The partition columns of a stored table."""
-        return [c.name for c in self.spark.catalog.listColumns(self.name(version)) if c.isPartition]
+        described = [r["col_name"] for r in self.spark.sql(f"DESCRIBE TABLE {self.name(version)}").collect()]
+        if "# Partition Information" not in described:
+            return []
+        return [n for n in described[described.index("# Partition Information") + 1 :] if not n.startswith("#")]
 
     def append(self, table: str, batch: DataFrame) -> DataFrame:
         """Insert by name. A failing insert commits no file."""

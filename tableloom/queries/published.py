@@ -110,7 +110,7 @@ def merge_on_read_stored(spark, sf):
 
 @query("SELECT * FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderstatus = 'P')")
 def microbatch_stored_windows(spark, sf):
-    """Every year filled one by one, then one re-run after some of its rows left the source."""
+    """Every year filled, then one re-run after some of its rows left the source."""
     pub = publisher(spark)
     config = IncrementalConfig(strategy="microbatch", event_time="o_orderdate", batch_size="year")
     orders = table(spark, sf, "orders")
