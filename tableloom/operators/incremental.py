@@ -44,20 +44,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str] | str, guard
     return anti_by_keys(target, batch, keys).unionByName(batch)
 
 
-def upsert_sequenced(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str] | str, sequence: str, guard: bool = True
+def sequence_winners(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str] | str, sequence: str
 ) -> DataFrame:
-    """Upsert in which a row with a lower sequence than the stored one does not replace it.
+    """The batch rows that may replace what is stored: those without a higher stored sequence.
 
-    Equal sequences let the batch row win; a null sequence is lower than any other. Stale batch
-    rows are found from the key and sequence columns alone, so the second read of the target is
-    narrow and, for a small batch, neither read shuffles the target.
+    Equal sequences let the batch row win; a null sequence is lower than any other. Only the key and
+    sequence columns of the target are read, and a small batch leaves them unshuffled.
     """
     keys = resolve(target, as_list(keys))
     (sequence,) = resolve(target, [sequence])
-    batch = batch.select(*[col(c) for c in target.columns])
-    if guard:
-        batch = fail_if_repeated(batch, keys)
     wanted = [*keys, sequence] if sequence not in keys else list(keys)
     stored, incoming = F.col(f"t.{quoted(sequence)}"), F.col(f"b.{quoted(sequence)}")
     stale = (
@@ -67,8 +63,19 @@ def upsert_sequenced(
         .where((stored > incoming) | (stored.isNotNull() & incoming.isNull()))
         .select(*[F.col(f"b.{quoted(k)}").alias(k) for k in keys])
     )
-    winners = anti_by_keys(batch, stale, keys)
-    return anti_by_keys(target, winners, keys).unionByName(winners)
+    return anti_by_keys(batch.select(*[col(c) for c in target.columns]), stale, keys)
+
+
+def upsert_sequenced(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str] | str, sequence: str, guard: bool = True
+) -> DataFrame:
+    """Upsert in which a row with a lower sequence than the stored one does not replace it.
+
+    Repeated keys are refused before sequences are looked at.
+    """
+    if guard:
+        batch = fail_if_repeated(batch, keys)
+    return upsert(target, sequence_winners(target, batch, keys, sequence), keys, guard=False)
 
 
 def partition_values(rows: DataFrame, *partition: Column) -> list[tuple]:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
 import re
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.names import as_list, col
@@ -37,7 +39,8 @@ class IncrementalConfig:
     unique_key: tuple[str, ...] | str | None = None
     sequence: str | None = None
     on_schema_change: str = "ignore"
-    partition_by: str | None = None
+    partition_by: tuple[str, ...] | str | None = None
+    bucket_by: tuple[int, Sequence[str] | str] | None = None
     overwrite_partitions: tuple | str | None = None
     event_time: str | None = None
     batch_size: str | None = None
@@ -50,6 +53,10 @@ class IncrementalConfig:
     def keys(self) -> list[str]:
         return as_list(self.unique_key)
 
+    @property
+    def partitions(self) -> list[str]:
+        return as_list(self.partition_by)
+
     @property
     def effective(self) -> str:
         """Without a strategy, a key means merge and no key means append."""
@@ -92,6 +99,8 @@ class IncrementalConfig:
                 raise ConfigError("'*' cannot be combined with named partitions")
             if not self.partition_by:
                 raise ConfigError("overwrite_partitions needs partition_by")
+            if named != ["*"] and len(self.partitions) > 1:
+                raise ConfigError("named partitions need a single partition column")
         if kind == "microbatch":
             if not self.event_time or not _PLAIN_NAME.fullmatch(self.event_time):
                 raise ConfigError("microbatch needs event_time to name one plain column")
@@ -104,10 +113,10 @@ Model = Callable[[], DataFrame]
 def _partition_merge(config: IncrementalConfig, target: DataFrame) -> bool:
     """Whether a merge can be confined to the partitions its batch touches.
 
-    It can when the partition column is part of the key: then a key never moves between partitions.
+    It can when the partition columns are part of the key: then a key never moves between partitions.
     """
-    p = config.partition_by
-    return bool(p) and p.lower() in {k.lower() for k in config.keys} and p in target.columns
+    keys = {k.lower() for k in config.keys}
+    return bool(config.partitions) and all(p.lower() in keys and p in target.columns for p in config.partitions)
 
 
 def run_incremental(
@@ -174,7 +183,7 @@ def _run(
         batch = batch.where(inc.in_window(col(config.event_time), *span))
 
     props = {"unique_key": ",".join(config.keys), "sequence": config.sequence or "",
-             "batch_size": config.batch_size or "", "partition_by": config.partition_by or ""}
+             "batch_size": config.batch_size or "", "partition_by": ",".join(config.partitions)}
     if config.merge_on_read:
         return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh)
     first = full_refresh or publisher.current_version(table) is None
@@ -182,13 +191,13 @@ def _run(
         if kind == "merge":
             check_protected(batch.schema, batch.schema, config.keys, config.sequence)
             return publisher.replace(
-                table, key_first(batch, config.keys), partition_by=config.partition_by, properties=props,
+                table, key_first(batch, config.keys), partition_by=config.partitions, bucket_by=config.bucket_by, properties=props,
                 check=lambda written: assert_unique(written, config.keys),
             )
         if kind == "microbatch":
             return publisher.replace(table, _label_windows(batch, config), partition_by=WINDOW_COLUMN,
                                      properties=props, hidden=[WINDOW_COLUMN])
-        return publisher.replace(table, batch, partition_by=config.partition_by, properties=props)
+        return publisher.replace(table, batch, partition_by=config.partitions, bucket_by=config.bucket_by, properties=props)
 
     target = publisher.stored(table)
     _check_target(publisher, table, config)
@@ -204,7 +213,7 @@ def _run(
     if kind == "append" and same_shape:
         return publisher.append(table, batch)
     if kind == "insert_overwrite" and config.overwrite_partitions is None:
-        return publisher.replace(table, batch, partition_by=config.partition_by, properties=props)
+        return publisher.replace(table, batch, partition_by=config.partitions, bucket_by=config.bucket_by, properties=props)
     if kind == "insert_overwrite" and same_shape:
         return _overwrite(publisher, table, target, batch, config)
 
@@ -212,17 +221,21 @@ def _run(
         if kind == "merge":
             assert_unique(staged, config.keys)
             if same_shape and _partition_merge(config, target):
-                partition = col(config.partition_by)
-                touched = target.where(inc.in_partitions(inc.partition_values(staged, partition), partition))
-                return publisher.overwrite_partitions(table, _merge(touched, staged, config))
-            result = _merge(stored, staged, config)
+                partition = [col(p) for p in config.partitions]
+                touched = target.where(inc.in_partitions(inc.partition_values(staged, *partition), *partition))
+                with _winners(publisher, table, touched, staged, config) as rows:
+                    return publisher.overwrite_partitions(table, inc.upsert(touched, rows, config.keys, guard=False))
+            with _winners(publisher, table, stored, staged, config) as rows:
+                result = inc.upsert(stored, rows, config.keys, guard=False)
+                return publisher.replace(table, result, partition_by=config.partitions, bucket_by=config.bucket_by,
+                                         properties=props)
         elif kind == "append":
             result = inc.append(stored, staged)
         elif kind == "insert_overwrite":
             result = _overwritten(stored, staged, config)
         else:
             result = inc.custom(stored, staged, config.custom, config.keys, config.predicates)
-        return publisher.replace(table, result, partition_by=config.partition_by, properties=props)
+        return publisher.replace(table, result, partition_by=config.partitions, bucket_by=config.bucket_by, properties=props)
 
 
 def _widened(target: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
@@ -253,25 +266,25 @@ def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -
         ("unique_key", ",".join(config.keys)),
         ("sequence", config.sequence or ""),
         ("batch_size", config.batch_size or ""),
-        ("partition_by", config.partition_by or ""),
+        ("partition_by", ",".join(config.partitions)),
     ):
         stored = properties.get(name)
         if stored is not None and stored.lower() != wanted.lower():
             raise ConfigError(f"{table} is stored with {name}={stored!r} but configured with {wanted!r}; rebuild it")
 
 
-def _merge(stored: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
-    if config.sequence:
-        return inc.upsert_sequenced(stored, batch, config.keys, config.sequence, guard=False)
-    return inc.upsert(stored, batch, config.keys, guard=False)
+def _winners(publisher: Publisher, table: str, stored: DataFrame, batch: DataFrame, config: IncrementalConfig):
+    """The rows to upsert. With a sequence they are written first, so the target is compared once only."""
+    if not config.sequence:
+        return nullcontext(batch)
+    return publisher.stage(table, inc.sequence_winners(stored, batch, config.keys, config.sequence))
 
 
 def _overwritten(stored: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
     named = as_list(config.overwrite_partitions)
-    partition = col(config.partition_by)
     if named == ["*"]:
-        return inc.overwrite_dynamic(stored, batch, partition)
-    return inc.overwrite_partitions(stored, batch, partition, named)
+        return inc.overwrite_dynamic(stored, batch, F.struct(*[col(p) for p in config.partitions]))
+    return inc.overwrite_partitions(stored, batch, col(config.partitions[0]), named)
 
 
 def _overwrite(
@@ -281,14 +294,14 @@ def _overwrite(
     named = as_list(config.overwrite_partitions)
     if named == ["*"]:
         return publisher.overwrite_partitions(table, batch)
-    partition = col(config.partition_by)
+    partition = col(config.partitions[0])
     checked = inc.overwrite_partitions(target.limit(0), batch, partition, named)
     with publisher.stage(table, checked) as staged:
         written = {str(v) for (v,) in inc.partition_values(staged, partition)}
         publisher.overwrite_partitions(table, staged)
     for value in named:
         if str(value) not in written:
-            publisher.drop_partition(table, **{config.partition_by: value})
+            publisher.drop_partition(table, **{config.partitions[0]: value})
     return publisher.read(table)
 
 

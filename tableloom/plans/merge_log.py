@@ -40,7 +40,7 @@ def _publish(publisher, table, version, keys, sequence, last: int) -> DataFrame:
 
 
 def _rebuild(publisher, table, rows: DataFrame, keys, sequence) -> DataFrame:
-    version = publisher.write_version(table, rows.withColumn(BATCH, F.lit(0)), partition_by=BATCH)
+    version = publisher.write_version(table, rows.withColumn(BATCH, F.lit(0)), partition_by=BATCH, gather=False)
     assert_unique(publisher.spark.table(publisher.name(version)), keys)
     return _publish(publisher, table, version, keys, sequence, 0)
 
@@ -78,7 +78,7 @@ def run_merge_log(
     labelled = aligned.withColumn(BATCH, F.lit(run)).select(*[col(c) for c in columns])
     # A failed earlier attempt at this batch number was never visible and is replaced here.
     publisher.drop_partition(table, **{BATCH: run})
-    insert_partitions(labelled, publisher.name(version), [BATCH])
+    insert_partitions(labelled, publisher.name(version))
     try:
         assert_unique(publisher.stored(table).where(col(BATCH) == run), keys)
     except Exception:

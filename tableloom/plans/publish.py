@@ -35,9 +35,15 @@ def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = N
     return df.hint("rebalance", *([partitions] if partitions else []), *[col(c) for c in columns])
 
 
-def insert_partitions(df: DataFrame, table: str, columns: Sequence[str]) -> None:
-    """Dynamic partition overwrite. The mode must be a session setting for inserts into catalog tables."""
-    df, conf = rebalanced(df, columns), df.sparkSession.conf
+def insert_partitions(df: DataFrame, table: str, gather_by: Sequence[str] = ()) -> None:
+    """Dynamic partition overwrite. The mode must be a session setting for inserts into catalog tables.
+
+    ``gather_by`` names the partition columns if the rows are spread over many partitions; for one or
+    two partitions another shuffle would gain nothing.
+    """
+    conf = df.sparkSession.conf
+    if gather_by:
+        df = rebalanced(df, gather_by)
     before = conf.get("spark.sql.sources.partitionOverwriteMode")
     conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -82,10 +88,16 @@ class Publisher:
         df: DataFrame,
         partition_by: Sequence[str] | str | None = None,
         bucket_by: tuple[int, Sequence[str] | str] | None = None,
+        gather: bool = True,
     ) -> str:
-        """Write a new version that nobody reads yet and return its table name."""
-        version = f"{table}__v_{uuid.uuid4().hex[:12]}"
-        if partition_by:
+        """Write a new version that nobody reads yet and return its table name.
+
+        Rows are gathered by their partition or bucket first, unless ``gather`` is off.
+        """
+        version = f"{table.lower()}__v_{uuid.uuid4().hex[:12]}"
+        if not gather:
+            pass
+        elif partition_by:
             df = rebalanced(df, as_list(partition_by))
         elif bucket_by:
             df = rebalanced(df, as_list(bucket_by[1]), bucket_by[0])
@@ -132,7 +144,7 @@ class Publisher:
         keep = {now.get("version_table"), now.get("previous_table"), *self._staged}
         listed = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()
         for name in (row["tableName"] for row in listed):
-            if name.startswith((f"{table}__v_", f"{table}__stage_")) and name not in keep:
+            if name.startswith((f"{table.lower()}__v_", f"{table.lower()}__stage_")) and name not in keep:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
 
     @contextmanager
@@ -142,7 +154,7 @@ class Publisher:
         All uses inside the block read the same rows, the source is read once, and a lost executor
         costs a re-read of files.
         """
-        name = f"{table}__stage_{uuid.uuid4().hex[:12]}"
+        name = f"{table.lower()}__stage_{uuid.uuid4().hex[:12]}"
         self._staged.add(name)
         try:
             df.write.format("parquet").saveAsTable(self.name(name))
@@ -196,8 +208,9 @@ class Publisher:
     def append(self, table: str, batch: DataFrame) -> DataFrame:
         """Insert by name. A failing insert commits no file."""
         version = self._current(table)
-        columns = self.spark.table(self.name(version)).columns
-        batch.select(*[col(c) for c in columns]).write.insertInto(self.name(version))
+        batch = batch.select(*[col(c) for c in self.spark.table(self.name(version)).columns])
+        partitions = self.partitions(version)
+        (rebalanced(batch, partitions) if partitions else batch).write.insertInto(self.name(version))
         return self.read(table)
 
     def overwrite_partitions(self, table: str, batch: DataFrame) -> DataFrame:

@@ -60,10 +60,13 @@ def join_left_classify(spark, sf):
     return customers.join(buyers, F.col("k") == F.col("c_custkey"), "left").select("c_custkey", state.alias("state"))
 
 
-@query("""SELECT r_regionkey AS regionkey, r_name, n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("""SELECT c_nationkey AS nationkey, n_regionkey AS regionkey, c_custkey, n_name, r_name
+FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
 def join_using(spark, sf):
-    nations = table(spark, sf, "nation").withColumnRenamed("n_regionkey", "regionkey")
-    return nations.join(table(spark, sf, "region").withColumnRenamed("r_regionkey", "regionkey"), ["regionkey"])
+    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"))
+    nations = table(spark, sf, "nation").withColumnsRenamed({"n_nationkey": "nationkey", "n_regionkey": "regionkey"})
+    regions = table(spark, sf, "region").withColumnRenamed("r_regionkey", "regionkey")
+    return customers.join(nations, ["nationkey"]).join(regions, ["regionkey"])
 
 
 @query("""SELECT * FROM customer c WHERE NOT EXISTS (

@@ -187,6 +187,21 @@ def test_merge_is_confined_to_touched_partitions(pub, spark):
     assert {r[0] for r in pub.stored("t").where("p = 2").select(F.input_file_name()).collect()} == files
 
 
+def test_several_partition_columns_and_buckets(pub, spark):
+    shape = "id int, v string, p int, q string"
+    config = IncrementalConfig(unique_key=("p", "q", "id"), partition_by=("p", "q"), bucket_by=(2, "id"))
+    run_incremental(pub, "Mixed", lambda: spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 1, None), (3, "c", 2, "x")], shape), config)
+    batch = spark.createDataFrame([(1, "A", 1, "x"), (2, "B", 1, None), (9, "n", 3, "y")], shape)
+    out = run_incremental(pub, "Mixed", lambda: batch, config)
+    assert rows(out.select("id", "v")) == [(1, "A"), (2, "B"), (3, "c"), (9, "n")]
+    star = IncrementalConfig(strategy="insert_overwrite", partition_by=("p", "q"), overwrite_partitions="*")
+    run_incremental(pub, "d", lambda: batch, star)
+    out = run_incremental(pub, "d", lambda: batch.where("id = 1").withColumn("v", F.lit("z")), star)
+    assert rows(out.select("id", "v")) == [(1, "z"), (2, "B"), (9, "n")]
+    with pytest.raises(ConfigError, match="single partition column"):
+        IncrementalConfig(strategy="insert_overwrite", partition_by=("p", "q"), overwrite_partitions=("1",)).validate()
+
+
 def test_schema_change_runs(pub, spark, base):
     wider = base.selectExpr("id", "name", "score + 1 AS score", "true AS flag")
     for policy, columns in [("ignore", 3), ("append_new_columns", 4), ("sync_all_columns", 4)]:
