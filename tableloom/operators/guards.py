@@ -61,8 +61,8 @@ def repeated_keys(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("repeated"))
 
 
-def fail_if_repeated(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
-    """The same rows, behind a scalar subquery that fails if any key repeats.
+def fail_if_repeated(df: DataFrame, keys: Sequence[str] | str, within: DataFrame | None = None) -> DataFrame:
+    """The same rows, behind a scalar subquery that fails if any key repeats in them, or in ``within``.
 
     Only the key columns are shuffled, and folded first, while the rows themselves stay where they
     are. The source is read twice, so it must be frozen or deterministic; see ``require_unique`` for
@@ -70,7 +70,7 @@ def fail_if_repeated(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """
     n = F.col("repeated")
     message = F.concat(F.lit("duplicate key in batch: "), n.cast("string"), F.lit(" keys repeat"))
-    verdict = repeated_keys(df, keys).select(
+    verdict = repeated_keys(df if within is None else within, keys).select(
         F.when(n > 0, F.raise_error(message).cast("boolean")).otherwise(True).alias("is_unique")
     )
     return df.where(verdict.scalar())

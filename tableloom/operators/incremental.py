@@ -73,9 +73,10 @@ def upsert_sequenced(
 
     Repeated keys are refused before sequences are looked at.
     """
-    if guard:
-        batch = fail_if_repeated(batch, keys)
-    return upsert(target, sequence_winners(target, batch, keys, sequence), keys, guard=False)
+    keys = resolve(target, as_list(keys))
+    winners = sequence_winners(target, batch, keys, sequence)
+    kept = anti_by_keys(target, winners, keys)
+    return kept.unionByName(fail_if_repeated(winners, keys, within=batch) if guard else winners)
 
 
 def partition_values(rows: DataFrame, *partition: Column) -> list[tuple]:

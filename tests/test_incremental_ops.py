@@ -96,9 +96,11 @@ def test_lower_sequence_does_not_replace(spark):
 
 def test_repeated_keys_are_refused_before_sequence(spark):
     t = spark.createDataFrame([(1, 10, "a")], "id int, seq int, name string")
-    b = spark.createDataFrame([(1, 20, "b"), (1, 30, "c")], "id int, seq int, name string")
-    with pytest.raises(Exception, match="duplicate key in batch"):
-        inc.upsert_sequenced(t, b, "id", "seq").collect()
+    for stored in (t, t.limit(0)):
+        for pair in ([(1, 20, "b"), (1, 30, "c")], [(1, 2, "b"), (1, 3, "c")]):
+            b = spark.createDataFrame(pair, "id int, seq int, name string")
+            with pytest.raises(Exception, match="duplicate key in batch"):
+                inc.upsert_sequenced(stored, b, "id", "seq").collect()
 
 
 def test_latest_by_key_keeps_null_values_and_breaks_ties(spark):
