@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe
+from tableloom.llm import bpe, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,17 @@ def op9_bpe_roundtrip(spark, sf):
     """Tokens of every document and the text decoded from them, as digests."""
     out = bpe.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
     return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+     d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+     f AS (SELECT digest, min(page_id) AS first_id FROM d GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN f USING (digest)
+""")
+def op4_warc_transactions(spark, sf):
+    """Every page written as a capture of three records, read back and joined by their concurrent-to identifiers."""
+    return warc.archive_round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
