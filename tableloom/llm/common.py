@@ -55,12 +55,12 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64."""
     out = np.empty(max(n, 1), np.uint64)
     out[0] = 1
-    filled, step = 1, base
+    filled, step = 1, int(base)
     while filled < n:
         take = min(filled, n - filled)
-        out[filled:filled + take] = out[:take] * step
+        out[filled:filled + take] = out[:take] * np.uint64(step)
         filled += take
-        step = step * step if filled < n else step
+        step = step * step & 0xFFFFFFFFFFFFFFFF
     return out
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, warc
+from tableloom.llm import bpe, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,32 @@ FROM d JOIN f USING (digest)
 def op4_warc_transactions(spark, sf):
     """Every page written as a capture of three records, read back and joined by their concurrent-to identifiers."""
     return warc.archive_round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The words of a text, as the contract of this query defines them.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+     win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+             FROM b, LATERAL (SELECT unnest(generate_series(1, greatest(1, len(w) - 9))) AS i) s WHERE len(w) > 0),
+     sizes AS (SELECT DISTINCT n FROM win),
+     grams AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+               FROM d, sizes, LATERAL (SELECT unnest(generate_series(1, len(w) - n + 1)) AS i) s WHERE len(w) >= n),
+     hit AS (SELECT DISTINCT doc_id, item_id, grams.n AS n, i FROM grams JOIN win USING (n, g)),
+     words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, LATERAL (SELECT unnest(generate_series(i, i + n - 1)) AS p) s GROUP BY doc_id),
+     items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+               FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op2_benchmark_winnowing(spark, sf):
+    """Every document's words that lie in a window of a benchmark item."""
+    out = winnow.find_windows(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
+    return out.select(
+        "row.doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
