@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, warc, winnow
+from tableloom.llm import bpe, language, toxicity, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,25 @@ def op2_benchmark_winnowing(spark, sf):
         "row.doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op7_language_models(spark, sf):
+    """The language of every document, from models fitted on the rows that are not held out."""
+    docs = table(spark, sf, "documents")
+    known = docs.where(~language.held_out("doc_id", 3, 1)).select(F.col("lang").alias("label"), "text")
+    out = language.identify(docs, language.fit(known), keep=["doc_id"])
+    return out.select("row.doc_id", language.held_out("row.doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op1_toxicity_kneser_ney(spark, sf):
+    """A toxicity score of every document, from models fitted on labelled rows that are not held out."""
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    known = docs.select("doc_id", "text").where(~language.held_out("doc_id", 5, 0)).join(labels, "doc_id")
+    out = toxicity.score(docs, toxicity.fit(known), keep=["doc_id"])
+    return out.select(
+        "row.doc_id", language.held_out("row.doc_id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",
+    )
