@@ -31,6 +31,9 @@ CALIBRATION_ROWS = 4_000
 STRONG = 3.0
 
 
+FEATURES = 5
+
+
 @dataclass
 class Scorer:
     model: Model
@@ -47,13 +50,14 @@ class Scorer:
 
 
 def features(values, texts: list[str | None]) -> np.ndarray:
-    """Length-normalised difference of log-likelihoods; evidence of the strongest word; log of all strong evidence."""
+    """Length-normalised difference of log-likelihoods; evidence of the strongest and the second strongest word; log of all
+    strong evidence; log of the number of words, as chance evidence grows with it."""
     words, sizes = [], np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         own = words_of(text)
         sizes[i] = len(own)
         words += own
-    out = np.zeros((len(texts), 3))
+    out = np.zeros((len(texts), FEATURES))
     if not words:
         return out
     at = values.rows(words)
@@ -61,9 +65,15 @@ def features(values, texts: list[str | None]) -> np.ndarray:
     of = np.repeat(np.arange(len(texts)), sizes)
     chars = np.bincount(of, np.fromiter(map(len, words), np.float64, len(words)) + 1, len(texts))
     out[:, 0] = np.bincount(of, lean, len(texts)) / np.maximum(chars, 1)
+    out[:, 3] = np.log1p(np.bincount(of, np.maximum(lean - STRONG, 0), len(texts)))
+    out[:, 4] = np.log1p(sizes)
     some = np.flatnonzero(sizes)
-    out[some, 1] = np.clip(np.maximum.reduceat(lean, (np.cumsum(sizes) - sizes)[some]), 0, 25)
-    out[:, 2] = np.log1p(np.bincount(of, np.maximum(lean - STRONG, 0), len(texts)))
+    starts = (np.cumsum(sizes) - sizes)[some]
+    for column in (1, 2):
+        most = np.maximum.reduceat(lean, starts)
+        out[some, column] = np.clip(most, 0, 25)
+        top = np.flatnonzero(lean == np.repeat(most, sizes[some]))
+        lean[top[np.unique(of[top], return_index=True)[1]]] = 0
     return out
 
 
@@ -92,7 +102,7 @@ def fit(rows: DataFrame) -> Scorer:
     prior = count.get("1", 0) / total if total else 0.5
     sample, rest = kneser_ney.bounded_sample(rows, CALIBRATION_ROWS, total)
     model = kneser_ney.fit(rest, ORDER, SLOT_BITS, shared_backoff=True)
-    nothing = Scorer(model, None, np.zeros(3), np.ones(3), prior)
+    nothing = Scorer(model, None, np.zeros(FEATURES), np.ones(FEATURES), prior)
     if len(model.classes) < 2:
         return nothing
     sent = rows.sparkSession.sparkContext.broadcast(model)
@@ -101,12 +111,13 @@ def fit(rows: DataFrame) -> Scorer:
     def run(frames):
         for frame in frames:
             found = features(word_values(key, sent), frame.text.tolist())
-            yield pd.DataFrame(found, columns=["a", "b", "c"]).assign(y=(frame.label == "1").astype(float).to_numpy())
+            yield pd.DataFrame(found, columns=names).assign(y=(frame.label == "1").astype(float).to_numpy())
 
-    kept = sample.mapInPandas(run, "a double, b double, c double, y double").toPandas()  # at most twice the sample's size
+    names = [f"f{i}" for i in range(FEATURES)]
+    kept = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).toPandas()  # at most twice the sample's size
     if kept.y.nunique() < 2:
         return nothing
-    x, y = kept[["a", "b", "c"]].to_numpy(), kept.y.to_numpy()
+    x, y = kept[names].to_numpy(), kept.y.to_numpy()
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     return Scorer(model, _curve((x - centre) / scale, y), centre, scale, prior)
 
