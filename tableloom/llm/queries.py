@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, language, toxicity, warc, winnow
+from tableloom.llm import bpe, forest, language, toxicity, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,23 @@ def op1_toxicity_kneser_ney(spark, sf):
         "row.doc_id", language.held_out("row.doc_id", 5, 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",
     )
+
+
+@query(f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS g
+                 FROM d, LATERAL (SELECT unnest(generate_series(1, greatest(1, len(w) - 4))) AS i) s WHERE len(w) > 0),
+     size AS (SELECT doc_id, count(*) AS n, sha256(string_agg(g, '|' ORDER BY g)) AS digest FROM shingle GROUP BY doc_id),
+     copy AS (SELECT digest, min(doc_id) AS copy_id, any_value(n) AS n FROM size GROUP BY digest),
+     own AS (SELECT shingle.doc_id, g FROM shingle JOIN copy ON doc_id = copy_id),
+     meets AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM own x JOIN own y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+     link AS (SELECT a, b FROM meets JOIN copy p ON a = p.copy_id JOIN copy q ON b = q.copy_id WHERE 5 * c >= 4 * (p.n + q.n - c)),
+     reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+     least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+     degree AS (SELECT a, count(*) AS k FROM link GROUP BY a)
+SELECT d.doc_id, coalesce(copy_id, d.doc_id) AS copy_id, coalesce(k, 0) AS n_links, coalesce(least(copy_id, m), copy_id, d.doc_id) AS class_id
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN copy USING (digest) LEFT JOIN degree ON degree.a = copy_id LEFT JOIN least_of ON least_of.a = copy_id
+""")
+def op10_jaccard_forest(spark, sf):
+    """Every document's class of near copies, and how many different texts it is linked with."""
+    return forest.link_classes(table(spark, sf, "documents")).select("doc_id", "copy_id", "n_links", "class_id")
