@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, forest, language, toxicity, warc, winnow
+from tableloom.llm import bpe, forest, language, pii, toxicity, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,14 @@ FROM d LEFT JOIN size USING (doc_id) LEFT JOIN copy USING (digest) LEFT JOIN deg
 def op10_jaccard_forest(spark, sf):
     """Every document's class of near copies, and how many different texts it is linked with."""
     return forest.link_classes(table(spark, sf, "documents")).select("doc_id", "copy_id", "n_links", "class_id")
+
+
+@query()
+def op3_personal_data(spark, sf):
+    """Every document's personal data, by fixed patterns and by bootstrapped contexts."""
+    out = pii.find_personal_data(table(spark, sf, "documents"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select(
+        "row.doc_id", *(count(k) for k in ("email", "ip", "card", "phone")), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
