@@ -1,7 +1,7 @@
 """Personal data by patterns and by bootstrapping, with DataFrame functions only.
 
 Seeds are the matches of fixed patterns (e-mail and IP addresses, card and phone numbers). Every identifier-like token is an
-instance; the two words before it are its lexical pattern. The graph of patterns and instances is scored in rounds: a
+instance; the word before it, and the two words before it, are its lexical patterns. The graph of patterns and instances is scored in rounds: a
 pattern is as good as its instances on average, an instance as its best patterns together. Tokens behind patterns of high
 confidence are found too, though no fixed pattern knows them.
 """
@@ -28,7 +28,7 @@ TOKEN_SIZE, TOKEN_DIGITS = (6, 64), 3
 
 ROUNDS = 3
 MIN_SEEDS = 5
-CONFIDENT = 0.9
+CONFIDENT = 0.8
 
 KINDS = ("email", "ip", "card", "phone", "found")
 
@@ -81,7 +81,7 @@ def _base(text: Column) -> dict[str, Column]:
 
 
 def _tokens(text: Column) -> Column:
-    """Identifier-like tokens: where they are, their text and the two words before them."""
+    """Identifier-like tokens: where they are, their text and their patterns."""
     lead = r"^[^\p{L}\p{N}+]+"
 
     def cut(s):
@@ -89,16 +89,18 @@ def _tokens(text: Column) -> Column:
         core = F.regexp_replace(front, r"[^\p{L}\p{N}]+$", "")
         start = s["start"] + F.length(s["match"]) - F.length(front)
         before = F.filter(F.split(F.lower(s["gap"]), r"[^\p{L}]+"), lambda w: w != "")
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("token"), F.array_join(_last_two(before), " ").alias("context"))
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("token"), _contexts(before).alias("contexts"))
 
     cores = F.transform(_matches(text, TOKEN, text.rlike("[0-9]{3}")), cut)
     return F.filter(
-        cores, lambda t: F.length(t["token"]).between(*TOKEN_SIZE) & (F.length(_digits(t["token"])) >= TOKEN_DIGITS) & (t["context"] != "")
+        cores, lambda t: F.length(t["token"]).between(*TOKEN_SIZE) & (F.length(_digits(t["token"])) >= TOKEN_DIGITS) & (F.size(t["contexts"]) > 0)
     )
 
 
-def _last_two(words: Column) -> Column:
-    return F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2))
+def _contexts(words: Column) -> Column:
+    """The last word, and the last two; whichever there are."""
+    last = lambda n: F.array_join(F.slice(words, F.greatest(F.size(words) - (n - 1), F.lit(1)), F.lit(n)), " ")
+    return F.when(F.size(words) == 0, F.array().cast("array<string>")).when(F.size(words) == 1, F.array(last(1))).otherwise(F.array(last(1), last(2)))
 
 
 def confident_patterns(edges: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | No
         F.transform("tokens", lambda t: t.withField("seed", F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))).alias("tokens"),
     )
     rows = freeze(rows.withColumn("at", F.monotonically_increasing_id()), "personal")
-    tokens = rows.select("at", F.explode("tokens").alias("t")).select("at", "t.*")
+    tokens = rows.select("at", F.explode("tokens").alias("t")).select("at", "t.*").withColumn("context", F.explode("contexts"))
     edges = freeze(tokens.groupBy("context", "token").agg(F.max("seed").alias("seed")), "contexts")
     more = (
         tokens.where("NOT seed").join(confident_patterns(edges), "context", "left_semi")
