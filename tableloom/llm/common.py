@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -16,6 +18,13 @@ PASS_BYTES = 4 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Have Python workers on this machine find this package where the driver found it; a cluster gets it shipped."""
+    root, paths = str(Path(__file__).parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def text_batches(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each."""
     sizes = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1] \
@@ -110,6 +119,7 @@ def with_results(
     ``make`` runs once a task and gives the function that turns an array of texts into the result arrays. The struct
     keeps the names of a table's own columns apart from those of the results.
     """
+    let_workers_import(df.sparkSession)
     columns = [F.col(f"`{c}`") for c in (keep if keep is not None else df.columns)]
     packed = df.select(F.struct(*columns).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
 

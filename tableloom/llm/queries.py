@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, forest, language, pii, toxicity, warc, winnow
+from tableloom.llm import bpe, forest, language, pii, suffixes, toxicity, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,10 @@ def op3_personal_data(spark, sf):
         "row.doc_id", *(count(k) for k in ("email", "ip", "card", "phone")), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op6_repeated_bytes(spark, sf):
+    """Every document without the bytes of 200-byte strings that occur elsewhere too."""
+    out = suffixes.remove_repeats(table(spark, sf, "documents"), keep_first=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

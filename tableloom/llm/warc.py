@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.llm.common import let_workers_import
 from tableloom.session import scratch_path
 
 #: Payloads below this size are always stored whole.
@@ -133,6 +134,7 @@ def _records(stream: io.BufferedIOBase):
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """All records of the archives in a folder, one row each; without ``payloads`` only their sizes and digests are kept."""
+    let_workers_import(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
 
     def run(batches):
