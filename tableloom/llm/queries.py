@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, forest, language, pii, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, forest, language, mtree, pii, suffixes, toxicity, warc, winnow
+from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +137,17 @@ def op6_repeated_bytes(spark, sf):
     """Every document without the bytes of 200-byte strings that occur elsewhere too."""
     out = suffixes.remove_repeats(table(spark, sf, "documents"), keep_first=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+           FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op8_inner_product_mtree(spark, sf):
+    """The five best partners of every fiftieth vector."""
+    vectors = freeze(mtree.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding"), "vectors")
+    return mtree.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
