@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, forest, language, mtree, pii, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, forest, language, mtree, pii, preferences, suffixes, toxicity, warc, winnow
 from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,44 @@ def op8_inner_product_mtree(spark, sf):
     """The five best partners of every fiftieth vector."""
     vectors = freeze(mtree.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding"), "vectors")
     return mtree.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def _render_sql(turns: str) -> str:
+    return f"coalesce(list_aggregate(list_transform({turns}, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), 'string_agg', ''), '')"
+
+
+def _mask_sql(turns: str) -> str:
+    begin = f"coalesce(list_sum(list_transform({turns}[1 : i - 1], lambda t: length(t.role) + length(t.text) + 24)), 0) + 13 + length({turns}[i].role)"
+    spans = f"list_transform(list_filter(generate_series(1, len({turns})), lambda i: {turns}[i].role = 'assistant'), lambda i: CAST(CAST({begin} AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({begin} + length({turns}[i].text) + 10 AS BIGINT) AS VARCHAR))"
+    return f"coalesce(list_aggregate({spans}, 'string_agg', ','), '')"
+
+
+def _escape_sql(column: str) -> str:
+    return f"regexp_replace({column}, '<([\\\\]*)\\|im_', '<\\1\\\\|im_', 'g')"
+
+
+@query(f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+     conv AS (SELECT conv_id, list({{'role': {_escape_sql("role")}, 'text': {_escape_sql("text")}}} ORDER BY turn NULLS FIRST, role, text) AS t,
+                     arg_min([role, text], (turn IS NOT NULL, turn, role, text)) AS opening,
+                     coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS said FROM turns GROUP BY conv_id),
+     best AS (SELECT opening, arg_min(conv_id, (-said, conv_id)) AS chosen_id FROM conv GROUP BY opening),
+     two AS (SELECT arg_min(conv_id, (-said, conv_id)) AS chosen_id, arg_max(conv_id, (-said, conv_id)) AS rejected_id FROM conv GROUP BY conv_id // 2),
+     ids AS (SELECT chosen_id, conv_id AS rejected_id FROM conv JOIN best USING (opening) UNION SELECT chosen_id, rejected_id FROM two),
+     pair AS (SELECT chosen_id, rejected_id, c.t AS c, r.t AS r, least(len(c.t), len(r.t)) AS m
+              FROM ids JOIN conv r ON r.conv_id = rejected_id JOIN conv c ON c.conv_id = chosen_id WHERE rejected_id <> chosen_id),
+     n AS (SELECT *, coalesce(list_position(list_transform(generate_series(1, m), lambda i: c[i] = r[i]), false) - 1, m) AS k FROM pair),
+     cut AS (SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS n_common, c[1 : k] AS p, c[k + 1 :] AS x, r[k + 1 :] AS y FROM n)
+SELECT chosen_id, rejected_id, n_common, sha256({_render_sql("p")}) AS prompt_sha256, sha256({_render_sql("x")}) AS chosen_sha256, sha256({_render_sql("y")}) AS rejected_sha256,
+       {_mask_sql("x")} AS chosen_mask, {_mask_sql("y")} AS rejected_mask
+FROM cut
+""")
+def op5_preference_pairs(spark, sf):
+    """All conversations with one opening paired with the chosen one of them, and each with its neighbour by number."""
+    conversations = preferences.gathered(table(spark, sf, "conversations"))
+    pairs = preferences.pairs_by_opening(conversations).union(preferences.pairs_by_number(conversations))
+    out = preferences.format_pairs(conversations, pairs)
+    return out.select(
+        "chosen_id", "rejected_id", "n_common", *(F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")),
+        preferences.listed(F.col("chosen_mask")).alias("chosen_mask"), preferences.listed(F.col("rejected_mask")).alias("rejected_mask"),
+    )
