@@ -8,9 +8,10 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: Bytes of text one numpy pass works on; longer texts are passes of their own.
 PASS_BYTES = 4 << 20
@@ -132,3 +133,32 @@ def with_results(
                 yield pa.RecordBatch.from_arrays([rows.slice(start, stop - start), *work(part)], ["row", *(f.name for f in fields)])
 
     return packed.mapInArrow(run, StructType([packed.schema["row"], *fields]))
+
+
+def packed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` and the text as ``packed``: compressed UTF-8, so that a shuffle moves a third of it. Null becomes empty."""
+
+    def make():
+        press = zstandard.ZstdCompressor(level=1)
+
+        def work(texts: pa.Array) -> list[pa.Array]:
+            return [pa.array([press.compress((t or "").encode()) for t in texts.to_pylist()], pa.binary())]
+
+        return work
+
+    return with_results(df, text, [StructField("packed", BinaryType())], make, keep).select("row.*", "packed")
+
+
+def unpacked(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with the text in place of ``packed``, the last column."""
+    let_workers_import(df.sparkSession)
+    *others, last = df.schema.fields
+
+    def run(batches):
+        open_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            at = batch.num_columns - 1
+            texts = pa.array([open_.decompress(p.as_py()).decode() for p in batch.column(at)], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], texts], [*batch.schema.names[:at], text])
+
+    return df.mapInArrow(run, StructType([*others, StructField(text, StringType())]))

@@ -102,20 +102,6 @@ def _blocks(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return found.select("row.*", F.explode("blocks").alias("b")).select("doc_id", "tag", "b.*")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """``doc_id, tag`` and the text in UTF-8, compressed: what is shuffled is a third of the text."""
-
-    def make():
-        press = zstandard.ZstdCompressor(level=1)
-
-        def work(texts: pa.Array) -> list[pa.Array]:
-            return [pa.array([press.compress((t or "").encode()) for t in texts.to_pylist()], pa.binary())]
-
-        return work
-
-    return with_results(docs, "text", [StructField("packed", BinaryType())], make, ["doc_id", "tag"]).select("row.*", "packed")
-
-
 def _same_text(a: str, b: str):
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.tag").eqNullSafe(F.col(f"{b}.tag"))
 
@@ -244,7 +230,7 @@ def remove_repeats(
     repeated = freeze(ranked, "blocks")
 
     settled = repeated.where("nth > 1" if keep_first else "copies > 1").select("doc_id", "tag", "start", (F.col("n") + (length - 1)).alias("size"))
-    packed = _packed(source)
+    packed = common.packed(source, "text", ["doc_id", "tag"])
     segments = freeze(_cut(packed, repeated.where("nth = 1 AND differ"), length), "segments")
     positions = _sorted_matches(segments.where("NOT many"), length, keep_first).union(_counted_matches(segments.where("many"), length, keep_first))
     spans = settled.union(positions.withColumn("size", F.lit(length)))
