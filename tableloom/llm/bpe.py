@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
 #: Pieces of text are encoded once and then looked up; the table starts anew when it holds so many pieces.
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 400_000
 
 # The split pattern of the vocabulary file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
@@ -108,7 +108,7 @@ class Encoder:
         pair = (a, b)
         found = self.known.get(pair)
         if found is None:
-            if len(self.known) > 2_000_000:
+            if len(self.known) > MEMO_PIECES:
                 self.known.clear()
             found = self.known[pair] = self._compatible(a, b)
         return found
