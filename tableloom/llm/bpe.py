@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
+from tableloom.llm.common import held_by_worker, with_results
+
 #: Pieces of text are encoded once and then looked up; the table starts anew when it holds so many pieces.
 MEMO_PIECES = 400_000
 
@@ -168,9 +170,6 @@ class Pieces(dict):
         return ids
 
 
-_shared: dict[str, "Codec"] = {}
-
-
 class Codec:
     """Encoder, decoder and splitter of a vocabulary, made once in each worker process and used by all its tasks."""
 
@@ -179,10 +178,7 @@ class Codec:
 
     @staticmethod
     def of(key: str, sent) -> Codec:
-        if key not in _shared:
-            _shared.clear()
-            _shared[key] = Codec(sent.value)
-        return _shared[key]
+        return held_by_worker(key, lambda: Codec(sent.value))
 
     def encode(self, text: str) -> bytes:
         return b"".join(
@@ -244,8 +240,6 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", keep: list[str]
     Null and empty texts have no ids; rows are independent, so repeated rows give equal results and an empty table
     an empty one. ``path`` names the vocabulary file on the driver.
     """
-    from tableloom.llm.common import with_results
-
     vocabulary = load_vocabulary(path)
     key = hashlib.sha256(repr((vocabulary.tokens, vocabulary.parts, vocabulary.special)).encode()).hexdigest()
     sent = df.sparkSession.sparkContext.broadcast(vocabulary)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: Bytes of text one numpy pass works on; longer texts are passes of their own.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -26,6 +26,17 @@ def let_workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+_held: dict[str, object] = {}
+
+
+def held_by_worker(key: str, make: Callable[[], object]):
+    """What ``make`` gave for this key in this worker process; only the last key's is held, whatever operator it is of."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def text_batches(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each."""
     sizes = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1] \
@@ -113,7 +124,8 @@ def word_spans(data: np.ndarray, is_word: np.ndarray, offsets: np.ndarray) -> tu
 
 
 def with_results(
-    df: DataFrame, text: str, fields: list[StructField], make: Callable[[], Callable[[pa.Array], list[pa.Array]]], keep: list[str] | None = None
+    df: DataFrame, text: str, fields: list[StructField], make: Callable[[], Callable[[pa.Array], list[pa.Array]]], keep: list[str] | None = None,
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """Rows as ``row`` (a struct of ``keep``, or of all columns) beside result columns computed from the text.
 
@@ -128,7 +140,7 @@ def with_results(
         work = make()
         for batch in batches:
             rows, texts = batch.column(0), batch.column(1)
-            for start, stop in text_batches(texts):
+            for start, stop in text_batches(texts, pass_bytes):
                 part = texts.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays([rows.slice(start, stop - start), *work(part)], ["row", *(f.name for f in fields)])
 

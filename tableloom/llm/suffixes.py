@@ -33,8 +33,11 @@ GRAM = 50
 #: Different blocks of one anchor that are gathered; more are counted instead.
 GATHERED = 2_000
 
+#: Bytes of text whose anchors are found in one go; each takes some dozens of bytes of memory.
+ANCHORED = 1 << 20
+
 #: Blocks whose suffixes are sorted in one go.
-SORTED = 2_000
+SORTED = 500
 
 
 def _prefix_sums(data: np.ndarray) -> np.ndarray:
@@ -98,7 +101,7 @@ def _blocks(docs: DataFrame, length: int, gram: int) -> DataFrame:
         )
         return [pa.ListArray.from_arrays(pa.array(offsets), values)]
 
-    found = with_results(docs, "text", [StructField("blocks", ArrayType(BLOCK))], lambda: work, ["doc_id", "tag"])
+    found = with_results(docs, "text", [StructField("blocks", ArrayType(BLOCK))], lambda: work, ["doc_id", "tag"], ANCHORED)
     return found.select("row.*", F.explode("blocks").alias("b")).select("doc_id", "tag", "b.*")
 
 

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tableloom.llm import bpe
-from tests.llm.conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 

@@ -3,8 +3,8 @@ from __future__ import annotations
 import random
 
 from tableloom.llm import forest
-from tests.llm.conftest import ODD_TEXTS
-from tests.llm.test_winnow import words
+from llm.conftest import ODD_TEXTS
+from llm.test_winnow import words
 
 
 def sets(text, n=5):

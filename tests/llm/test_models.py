@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableloom.llm import kneser_ney, language, toxicity
-from tests.llm.conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 SYLLABLES = {"en": ["th", "er", "ing", "on", "ed"], "de": ["sch", "ung", "ein", "ü", "keit"], "fr": ["eau", "é", "tion", "ç", "oi"]}
 

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from tableloom.llm import pii
-from tests.llm.conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 
 def luhn(digits):

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tableloom.llm import suffixes
-from tests.llm.conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 
 def brute(rows, length, keep_first):

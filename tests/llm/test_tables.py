@@ -11,7 +11,7 @@ import pytest
 
 from tableloom.llm import mtree, preferences, warc
 from tableloom.llm.queries import ORACLES, QUERIES
-from tests.test_queries_against_sql import SF, TABLES, canonical
+from test_queries_against_sql import SF, TABLES, canonical
 
 
 @pytest.fixture(scope="module")

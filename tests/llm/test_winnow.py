@@ -4,7 +4,7 @@ import random
 import re
 
 from tableloom.llm import winnow
-from tests.llm.conftest import ODD_TEXTS
+from llm.conftest import ODD_TEXTS
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
