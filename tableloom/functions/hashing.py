@@ -27,10 +27,10 @@ def prefixed_md5(*parts: Column | str) -> Column:
 def multiset_digest(*parts: Column | str) -> dict[str, Column]:
     """Order-free aggregates that together identify a bag of rows.
 
-    The 64-bit row hash is summed in three slices of at most 22 bits, so no sum overflows below
+    Each part is hashed with a flag that tells null from any value, as the hash alone skips nulls. The 64-bit row hash is summed in three slices of at most 22 bits, so no sum overflows below
     2**41 rows in a group, and all buffers are longs that stay in the hash aggregate.
     """
-    h = F.xxhash64(*[_c(p) for p in parts])
+    h = F.xxhash64(*[x for p in parts for x in (F.isnull(_c(p)), _c(p))])
     mask = F.lit((1 << 22) - 1).cast("long")
     return {
         "row_count": F.count(F.lit(1)),

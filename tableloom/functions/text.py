@@ -1,4 +1,4 @@
-"""Text normalisation."""
+"""Text helpers of the table operators."""
 
 from __future__ import annotations
 
@@ -6,29 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _strip_quotes(text: Column) -> Column:
-    return F.btrim(text, F.lit("'"))
-
-
-def principal_name(account: Column) -> Column:
-    """``'user'@'host'`` as ``user@host``, or ``user`` alone where the host is the wildcard."""
-    user = _strip_quotes(F.substring_index(account, "@", 1))
-    host = _strip_quotes(F.substring_index(account, "@", -1))
-    return F.when(host == "%", user).otherwise(F.concat(user, F.lit("@"), host))
-
-
-def snake_label(text: Column) -> Column:
-    """Lower-cased with blanks as underscores."""
-    return F.lower(F.replace(text, F.lit(" "), F.lit("_")))
-
-
 def same_name(left: Column, right: Column) -> Column:
     """Case-insensitive name equality."""
     return F.upper(left) == F.upper(right)
 
 
-def boundary_text(text: Column) -> Column:
-    """A partition bound as ``yyyy-MM-dd HH:mm:ss``, whichever accepted spelling it came in."""
-    t = F.replace(F.trim(text), F.lit("T"), F.lit(" "))
-    t = F.regexp_replace(t, r"[.]0+$", "")
-    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.concat(t, F.lit(" 00:00:00"))).otherwise(t)
+def bound_text(bound: Column) -> Column:
+    """A partition bound in one spelling, by way of the time it stands for; null if it stands for none."""
+    return F.date_format(bound.try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+
+
+def squeezed(text: Column) -> Column:
+    """Trimmed, runs of white space as one space, lower case: how labels of different writers are compared."""
+    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))

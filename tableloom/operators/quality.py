@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.names import as_list, col, fresh_name, quoted, resolve
+from tableloom.functions.names import as_list, col, fresh_name, quoted, resolve, same_keys
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -68,22 +68,31 @@ def bag_difference(a: DataFrame, b: DataFrame, side: str = "side", copies: str =
 
 
 def keyed_difference(a: DataFrame, b: DataFrame, keys: Sequence[str] | str) -> DataFrame:
-    """Keys whose rows differ between two versions: only_a, only_b or changed, with the columns that differ."""
+    """Keys whose rows differ between two versions: only_a, only_b or changed, with the columns that differ.
+
+    Both versions must have the same columns, and a key at most one row in each; a repeated key stops the job. Rows of a key
+    are folded on the map side first, so a key of very many rows is found out before anything is joined.
+    """
     keys = resolve(a, as_list(keys))
     keyed = {k.lower() for k in keys}
+    odd = {c.lower() for c in a.columns} ^ {c.lower() for c in b.columns}
+    if odd:
+        raise ValueError(f"columns {sorted(odd)} are in one version only")
     rest = [c for c in a.columns if c.lower() not in keyed]
-    left = a.select("*", F.lit(True).alias("in_a")).alias("a")
-    right = b.select("*", F.lit(True).alias("in_b")).alias("b")
-    on = [F.col(f"a.{quoted(k)}").eqNullSafe(F.col(f"b.{quoted(k)}")) for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    differing = F.concat_ws(
-        ",", *[F.when(~F.col(f"a.{quoted(c)}").eqNullSafe(F.col(f"b.{quoted(c)}")), F.lit(c)) for c in rest]
-    )
-    change = F.when(F.col("in_b").isNull(), "only_a").when(F.col("in_a").isNull(), "only_b").otherwise("changed")
+    row = fresh_name(a.columns, "version_row")
+
+    def once(df: DataFrame, side: str) -> DataFrame:
+        folded = df.groupBy(*[col(k) for k in keys]).agg(
+            F.first(F.struct(F.lit(True).alias("there"), *[col(c) for c in rest])).alias(row), F.count(F.lit(1)).alias(f"{row}_n")
+        )
+        repeated = F.raise_error(F.lit(f"a key has several rows in version {side}"))
+        return folded.select(*[col(k) for k in keys], F.when(col(f"{row}_n") == 1, col(row)).otherwise(repeated.cast(folded.schema[row].dataType)).alias(row))
+
+    old, new = (F.col(f"{side}.{quoted(row)}") for side in "ab")
+    differing = F.concat_ws(",", *[F.when(~old[c].eqNullSafe(new[c]), F.lit(c)) for c in rest])
+    change = F.when(new.isNull(), "only_a").when(old.isNull(), "only_b").otherwise("changed")
     return (
-        left.join(right, cond, "full")
+        once(a, "a").alias("a").join(once(b, "b").alias("b"), same_keys("a", "b", keys), "full")
         .select(
             *[F.coalesce(F.col(f"a.{quoted(k)}"), F.col(f"b.{quoted(k)}")).alias(k) for k in keys],
             change.alias("change"),

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableloom.functions.hashing import multiset_digest
 from tableloom.functions.names import as_columns, as_list, col, same_keys
@@ -32,9 +33,18 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
+def _hashable(f: T.StructField) -> Column:
+    """A column as something whose hash tells all its values apart: nested values as JSON with their nulls, maps in key order."""
+    if isinstance(f.dataType, T.MapType):
+        return F.to_json(F.struct(F.array_sort(F.map_entries(col(f.name))).alias("m")), {"ignoreNullFields": "false"})
+    if isinstance(f.dataType, (T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(col(f.name).alias("v")), {"ignoreNullFields": "false"})
+    return col(f.name)
+
+
 def fingerprints(df: DataFrame, partition: Mapping[str, Column | str]) -> DataFrame:
     """Row count and content digest per partition, in one scan and one small shuffle."""
-    aggs = multiset_digest(*[col(c) for c in df.columns])
+    aggs = multiset_digest(*[_hashable(f) for f in df.schema])
     return df.groupBy(*[e.alias(n) for n, e in as_columns(partition).items()]).agg(*[e.alias(n) for n, e in aggs.items()])
 
 

@@ -132,11 +132,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             metadata["__CHAR_VARCHAR_TYPE_STRING"], kind = kind.simpleString(), T.StringType()
         value = F.lit(None).cast(kind) if found is None else col(found)
         if found is not None and df.schema[found].dataType != kind:
-            value = value.cast(kind)
+            value = value.cast(kind) if can_store(df.schema[found].dataType, kind) else _whole_cast(value, kind, f.name)
         out.append(value.alias(f.name, metadata=metadata) if metadata else value.alias(f.name))
     return df.select(*out)
 
 
+def _whole_cast(value: Column, kind: T.DataType, name: str) -> Column:
+    """A cast that stops the job on a value it cannot take, whatever the session says of ANSI mode."""
+    taken = value.try_cast(kind)
+    failed = F.raise_error(F.concat(F.lit(f"a value of {name} does not fit {kind.simpleString()}: "), value.cast("string")))
+    return F.when(value.isNotNull() & taken.isNull(), failed.cast(kind)).otherwise(taken)
+
+
 def apply_contract(df: DataFrame, contract: T.StructType | None) -> DataFrame:
     """Cast and order the model's columns as declared; the sets of names must be equal.
 
@@ -163,6 +170,9 @@ def string_width_plan(batch: DataFrame, declared: Mapping[str, int]) -> DataFram
     """
     by_name = {n.lower(): w for n, w in declared.items()}
     texts = [f.name for f in batch.schema if isinstance(f.dataType, T.StringType) and f.name.lower() in by_name]
+    if not texts:
+        empty = "column_name string, declared_width bigint, max_length bigint, needs_widening boolean"
+        return batch.sparkSession.createDataFrame([], empty)
     maxima = batch.agg(*[F.max(F.length(col(c))).cast("bigint").alias(c) for c in texts])
     rows = [
         F.struct(F.lit(c).alias("column_name"), F.lit(by_name[c.lower()]).cast("bigint").alias("declared_width"),
@@ -220,7 +230,3 @@ def can_store(source: T.DataType, target: T.DataType) -> bool:
             return True
         return isinstance(source, (T.VarcharType, T.CharType)) and source.length <= target.length
     return False
-
-
-def drop_columns(df: DataFrame, names) -> DataFrame:
-    return df.select(*[col(c) for c in others(df, as_list(names))])

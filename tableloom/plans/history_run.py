@@ -44,7 +44,7 @@ def _visible(run: int) -> str:
 def _publish(publisher: Publisher, table: str, columns: list[str], run: int) -> None:
     listed = ", ".join(quoted(c) for c in columns)
     publisher.spark.sql(
-        f"CREATE OR REPLACE VIEW {publisher.name(table)} TBLPROPERTIES ('history_run' = '{run}') AS "
+        f"CREATE OR REPLACE VIEW {publisher.name(table)} TBLPROPERTIES ('table_model' = 'history', 'history_run' = '{run}') AS "
         f"SELECT {listed} FROM {publisher.name(_versions_table(table))} WHERE {_visible(run)}"
     )
 
@@ -67,6 +67,7 @@ def run_history(
     before_publish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Build the history on the first call, advance it on later ones, and return it."""
+    publisher.require_model(table, "history")
     with publisher.stage(table, source) as staged:
         history = _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish)
     publisher.drop_stale(table)

@@ -87,6 +87,10 @@ class IncrementalConfig:
             raise ConfigError("a sequence column only works with merge")
         if self.merge_on_read and kind != "merge":
             raise ConfigError("merge_on_read only works with merge")
+        if self.merge_on_read and (self.partition_by or self.bucket_by):
+            raise ConfigError("merge_on_read stores by batch; it cannot be partitioned or bucketed otherwise")
+        if kind == "microbatch" and (self.partition_by or self.bucket_by):
+            raise ConfigError("microbatch stores by window; it cannot be partitioned or bucketed otherwise")
         if self.predicates and kind != "custom":
             raise ConfigError(f"predicates are not supported by {kind}")
         if self.overwrite_partitions is not None:
@@ -141,6 +145,8 @@ def run_incremental(
         unit = check_unit(config.batch_size)
         if floor_to(start, unit) != start or next_window(start, unit) != end:
             raise ConfigError(f"[{start}, {end}) is not one {unit} window")
+        if full_refresh and publisher.exists(table):
+            raise ConfigError("a full refresh from one window would drop all others; use run_backfill")
         windows = [(start, end)]
     return _run(publisher, table, model, config, full_refresh, windows)
 
@@ -177,12 +183,13 @@ def _run(
     windows: Sequence[tuple[datetime, datetime]],
 ) -> DataFrame:
     kind = config.effective
+    publisher.require_model(table, "merge_log" if config.merge_on_read else kind, rebuild=full_refresh)
     batch = apply_contract(model(), config.contract)
     if windows:
         span = windows[0][0], windows[-1][1]
         batch = batch.where(inc.in_window(col(config.event_time), *span))
 
-    props = {"unique_key": ",".join(config.keys), "sequence": config.sequence or "",
+    props = {"table_model": kind, "unique_key": ",".join(config.keys), "sequence": config.sequence or "",
              "batch_size": config.batch_size or "", "partition_by": ",".join(config.partitions)}
     if config.merge_on_read:
         return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh)
@@ -206,7 +213,7 @@ def _run(
     wide = _widened(target, batch, config)
     publisher.drop_stale(table)  # helpers a killed run left behind
     if kind == "microbatch":
-        return _replace_windows(publisher, table, wide, batch, config, windows)
+        return _replace_windows(publisher, table, wide, batch, config, windows, props)
 
     stored, batch = align(wide, batch, config.on_schema_change)
     same_shape = stored.schema.names == target.schema.names and stored.schema == target.schema
@@ -269,7 +276,9 @@ def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -
         ("partition_by", ",".join(config.partitions)),
     ):
         stored = properties.get(name)
-        if stored is not None and stored.lower() != wanted.lower():
+        if stored is None and config.effective not in ("merge", "microbatch"):
+            continue
+        if (stored or "").lower() != wanted.lower():
             raise ConfigError(f"{table} is stored with {name}={stored!r} but configured with {wanted!r}; rebuild it")
 
 
@@ -327,6 +336,7 @@ def _replace_windows(
     source: DataFrame,
     config: IncrementalConfig,
     windows: Sequence[tuple[datetime, datetime]],
+    props: dict[str, str],
 ) -> DataFrame:
     """Replace stored windows. Only their partitions are written; those the batch has no rows for are emptied."""
     target, labels = wide.drop(WINDOW_COLUMN), [_label(start) for start, _ in windows]
@@ -335,7 +345,7 @@ def _replace_windows(
     if aligned.schema != target.schema or wide.schema != publisher.stored(table).schema:
         kept, batch = align(wide.where(~col(WINDOW_COLUMN).isin(labels)), batch, config.on_schema_change)
         return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN,
-                                 properties={"batch_size": config.batch_size}, hidden=[WINDOW_COLUMN])
+                                 properties=props, hidden=[WINDOW_COLUMN])
     with publisher.stage(table, batch) as staged:
         written = {label for (label,) in inc.partition_values(staged, col(WINDOW_COLUMN))}
         if written:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.names import as_list, col, quoted, resolve
 from tableloom.operators.guards import assert_unique
+from tableloom.operators.layout import key_first
 from tableloom.operators.schema import SchemaChangeError, align, check_protected
 from tableloom.plans.publish import Publisher, insert_partitions
 
@@ -34,14 +35,19 @@ def _latest(publisher: Publisher, version: str, keys: Sequence[str], sequence: s
 
 
 def _publish(publisher, table, version, keys, sequence, last: int) -> DataFrame:
-    props = {"unique_key": ",".join(keys), "sequence": sequence or "", "last_batch": last}
+    props = {"table_model": "merge_log", "unique_key": ",".join(keys), "sequence": sequence or "", "last_batch": last}
     publisher.switch(table, version, props, select=_latest(publisher, version, keys, sequence, last))
     return publisher.read(table)
 
 
 def _rebuild(publisher, table, rows: DataFrame, keys, sequence) -> DataFrame:
-    version = publisher.write_version(table, rows.withColumn(BATCH, F.lit(0)), partition_by=BATCH, gather=False)
-    assert_unique(publisher.spark.table(publisher.name(version)), keys)
+    labelled = key_first(rows, keys).withColumn(BATCH, F.lit(0))
+    version = publisher.write_version(table, labelled, partition_by=BATCH, gather=False)
+    try:
+        assert_unique(publisher.spark.table(publisher.name(version)), keys)
+    except Exception:
+        publisher.spark.sql(f"DROP TABLE IF EXISTS {publisher.name(version)}")
+        raise
     return _publish(publisher, table, version, keys, sequence, 0)
 
 
@@ -55,11 +61,14 @@ def run_merge_log(
     full_refresh: bool = False,
 ) -> DataFrame:
     """Add one batch. It becomes visible when the view is replaced; a refused batch never does."""
+    publisher.require_model(table, "merge_log", rebuild=full_refresh)
     keys = resolve(batch, as_list(keys))
+    if BATCH in (c.lower() for c in batch.columns):
+        raise SchemaChangeError(f"the column name {BATCH} is taken by the log")
     check_protected(batch.schema, batch.schema, keys, sequence)
     known = publisher.properties(table)
     last = known.get("last_batch")
-    if full_refresh or last is None:
+    if full_refresh or not known:
         return _rebuild(publisher, table, batch, keys, sequence)
     if known.get("unique_key", "").lower() != ",".join(keys).lower():
         raise SchemaChangeError(f"{table} is stored with another key; rebuild it")

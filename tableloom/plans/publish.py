@@ -21,6 +21,15 @@ from tableloom.operators.schema import apply_contract
 
 Check = Callable[[DataFrame], None]
 
+#: Storage models whose rows are a plain bag: each may take over from the others.
+BAGS = frozenset({"rebuild", "append", "insert_overwrite", "custom"})
+#: Models an incremental run may rebuild when asked to. Histories and stored aggregates are not among them.
+REBUILDABLE = BAGS | {"merge", "merge_log", "microbatch"}
+
+
+class StorageModelError(ValueError):
+    """A run would change a name that is stored in another way, or that this library does not store."""
+
 
 def _literal(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -80,6 +89,23 @@ class Publisher:
     def current_version(self, table: str) -> str | None:
         return self.property(table, "version_table")
 
+    def require_model(self, table: str, model: str, rebuild: bool = False) -> None:
+        """Refuse a run on a name stored in another way, before anything is written.
+
+        A new name fits every model. With ``rebuild`` the stored rows are to be replaced as a whole, which only models that
+        can be computed again allow. A view that was not published by a run may be taken over by a rebuild alone.
+        """
+        if not self.exists(table):
+            return
+        known = self.properties(table)
+        stored = known.get("table_model")
+        if stored is None and self.spark.catalog.getTable(self.name(table)).tableType != "VIEW":
+            raise StorageModelError(f"{table} is a plain table; drop or rename it first")
+        if rebuild and (stored is None or stored in REBUILDABLE):
+            return
+        if stored is None or (stored != model and not {stored, model} <= BAGS):
+            raise StorageModelError(f"{table} is stored as {stored or 'a view of its own'}, not as {model}; rebuild it")
+
     # -- rebuilds ---------------------------------------------------------------------------
 
     def write_version(
@@ -175,6 +201,8 @@ class Publisher:
         hidden: Sequence[str] = (),
     ) -> DataFrame:
         """Build, check and publish. Any failure before the switch leaves the old rows published."""
+        properties = {"table_model": "rebuild", **(properties or {})}
+        self.require_model(table, str(properties["table_model"]), rebuild=properties["table_model"] in REBUILDABLE)
         version = self.write_version(table, apply_contract(df, contract), partition_by, bucket_by)
         try:
             if check is not None:
@@ -233,7 +261,10 @@ class Publisher:
     # -- views and copies -------------------------------------------------------------------
 
     def create_view(self, table: str, query: str, contract: T.StructType | None = None) -> DataFrame:
-        """Create or replace a view from SQL text. The contract is checked first, so a bad model keeps the old view."""
+        """Create or replace a view from SQL text. The contract is checked first, so a bad model keeps the old view.
+
+        A published name becomes a view of its own, and its versions are dropped once it reads the new query.
+        """
         df = apply_contract(self.spark.sql(query), contract)
         if contract is None:
             body = query
@@ -242,7 +273,10 @@ class Publisher:
                 f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in contract
             )
             body = f"SELECT {casts} FROM ({query})"
+        published = self.current_version(table) is not None
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS {body}")
+        if published:
+            self.drop_stale(table)
         return df
 
     def freeze_view(self, view: str, table: str) -> DataFrame:
@@ -262,3 +296,10 @@ class Publisher:
             order = as_list(order_by) or failures.columns
             failures = failures.orderBy(*[col(c) for c in order]).limit(limit)
         return self.replace(table, failures)
+
+    def view_failures(self, table: str, failures: DataFrame) -> DataFrame:
+        """The failing rows of a data test as a view over those stored under another name, for readers that expect a view."""
+        rows = self.store_failures(f"{table}__rows", failures)
+        shown = ", ".join(quoted(c) for c in rows.columns)
+        self.create_view(table, f"SELECT {shown} FROM {self.name(f'{table}__rows')}")
+        return self.read(table)

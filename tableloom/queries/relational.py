@@ -142,16 +142,12 @@ def scalar_hash_key(spark, sf):
         hashing.prefixed_md5("o_orderpriority", "o_orderstatus").alias("definition_id"))
 
 
-@query("""SELECT c_custkey,
-CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE c_name || '@' || lower(c_mktsegment) END AS principal,
-lower(replace(c_mktsegment || ' Read Only', ' ', '_')) AS label, c_mktsegment = 'FURNITURE' AS is_furniture FROM customer""")
+@query("""SELECT c_custkey, lower(c_mktsegment) || ' ' || lower(c_name) AS label, c_mktsegment = 'FURNITURE' AS is_furniture FROM customer""")
 def scalar_text_normalise(spark, sf):
-    host = F.when(F.col("c_mktsegment") == "BUILDING", "%").otherwise(F.lower("c_mktsegment"))
-    account = F.concat(F.lit("'"), F.col("c_name"), F.lit("'@'"), host, F.lit("'"))
+    written = F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" \t "), F.col("c_name"), F.lit("\n"))
     return table(spark, sf, "customer").select(
         "c_custkey",
-        text.principal_name(account).alias("principal"),
-        text.snake_label(F.concat("c_mktsegment", F.lit(" Read Only"))).alias("label"),
+        text.squeezed(written).alias("label"),
         text.same_name(F.lower("c_mktsegment"), F.lit("Furniture")).alias("is_furniture"))
 
 
@@ -173,7 +169,7 @@ def scalar_time_parse(spark, sf):
         timing.add_interval(ts, 2, "month").alias("plus_months"),
         timing.window_start(ts, "hour").alias("hour_start"),
         timing.window_start(ts, "month").alias("month_start"),
-        text.boundary_text(bound).alias("bound"),
+        text.bound_text(bound).alias("bound"),
         timing.partition_name(ts, "hour").alias("partition_name"))
 
 

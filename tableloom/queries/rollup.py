@@ -39,10 +39,12 @@ def mv_build_immediate(spark, sf):
     return build_rollup(publisher(spark), "orders_by_day", table(spark, sf, "orders"), _by_day, RollupConfig())
 
 
-@query(f"SELECT * FROM ({_day_sql('orders')}) WHERE false")
+@query(f"SELECT *, CAST(0 AS BIGINT) AS rows_before FROM ({_day_sql('orders')})")
 def mv_build_deferred(spark, sf):
-    config = RollupConfig(build="deferred")
-    return build_rollup(publisher(spark), "orders_by_day", table(spark, sf, "orders"), _by_day, config)
+    """Built with its schema only, counted, then filled by its first refresh."""
+    pub, orders, config = publisher(spark), table(spark, sf, "orders"), RollupConfig(build="deferred")
+    before = build_rollup(pub, "orders_by_day", orders, _by_day, config).count()
+    return refresh_rollup(pub, "orders_by_day", orders, _by_day, config).withColumn("rows_before", F.lit(before).cast("long"))
 
 
 @query(f"{ORDERS_MERGED} {_day_sql('merged')}")

@@ -18,14 +18,17 @@ def seed_csv(
     column_types: Mapping[str, str] | None = None,
     schema: T.StructType | None = None,
     timestamp_ntz: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A CSV with a header as a typed table.
 
     Types come from ``schema`` if given, else from Spark's inference; ``column_types`` overrides
     single columns, whose names match without regard to case. Inference reads the file once more,
-    so large files should come with a schema.
+    so large files should come with a schema. A value that its type does not take, a row with too few or too many
+    values and a header that differs from the schema stop the job. ``multi_line`` lets quoted text span lines; each file is then
+    one task, so it is for small files, and without it such a text stops the job.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         prefer = "TIMESTAMP_NTZ" if timestamp_ntz else "TIMESTAMP_LTZ"
         before = spark.conf.get("spark.sql.timestampType")
@@ -47,7 +50,7 @@ def seed_csv(
             for f in schema
         ]
     )
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').schema(typed).csv(path)
+    return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(typed).csv(path)
 
 
 def _as_text(df: DataFrame, types: Mapping[str, str]) -> dict[str, str]:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tableloom.queries.registry import QUERIES
 from tableloom.operators import guards, history, quality
 from tableloom.operators import incremental as inc
 from tableloom.operators.history import HistorySpec
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 WRITES = {  # these publish before they return, so building their plan runs them
     "mv_", "table_", "view_", "overwrite_table", "full_refresh", "store_", "merge_within", "merge_on_read_stored",
     "microbatch_stored", "snapshot_", "bucketed", "cross_", "scan_table", "seed_", "merge_sequence", "custom_"}
-LAZY = sorted(n for n in entry.queries() if not n.startswith(tuple(WRITES)))
+LAZY = sorted(n for n in QUERIES if not n.startswith(tuple(WRITES)))
 
 
 def plan(df) -> str:

@@ -266,18 +266,23 @@ def test_custom_strategy_run(pub, spark, base):
     assert rows(out) == [(1, "alice", 100), (2, "n", 200), (3, "n", 300)]
 
 
+def _as_stored(config):
+    return {"table_model": config.effective, "unique_key": ",".join(config.keys), "sequence": "", "batch_size": "", "partition_by": ""}
+
+
 def test_text_columns_widen_unless_fixed(pub, spark):
     narrow = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.VarcharType(5))])
     short, long = [spark.createDataFrame([r], "id int, name string") for r in [(1, "a"), (2, "expanded")]]
     for name, config in [("t", IncrementalConfig()), ("m", IncrementalConfig(unique_key="id"))]:
-        pub.replace(name, short, contract=narrow)
+        pub.replace(name, short, contract=narrow, properties=_as_stored(config))
         assert declared_widths(pub.stored(name).schema) == {"name": 5}
         out = run_incremental(pub, name, lambda: long, config)
         assert rows(out) == [(1, "a"), (2, "expanded")]
         assert declared_widths(pub.stored(name).schema)["name"] >= 8
-    pub.replace("k", short, contract=narrow)
+    config = IncrementalConfig(unique_key="name")
+    pub.replace("k", short, contract=narrow, properties=_as_stored(config))
     with pytest.raises(SchemaChangeError, match="would have to widen"):
-        run_incremental(pub, "k", lambda: long, IncrementalConfig(unique_key="name"))
+        run_incremental(pub, "k", lambda: long, config)
     pub.replace("c", short, contract=narrow)
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|LENGTH"):
         run_incremental(pub, "c", lambda: long, IncrementalConfig(contract=narrow))
