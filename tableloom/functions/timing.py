@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NTZ = "timestamp_ntz"
 
@@ -27,12 +28,29 @@ def naive_utc(value: datetime) -> datetime:
     return value
 
 
+def utc_of(ts: Column, kind: T.DataType) -> Column:
+    """A time column as naive UTC. One that stands for instants is moved by its microseconds, so the session's zone plays no part."""
+    if not isinstance(kind, T.TimestampType):
+        return ts.cast(NTZ)
+    seconds = F.unix_micros(ts).cast("decimal(24,6)") / F.lit(1_000_000)
+    return F.lit("1970-01-01 00:00:00").cast(NTZ) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def ntz(value: datetime | str) -> Column:
     if isinstance(value, datetime):
         value = naive_utc(value).isoformat(sep=" ")
     return F.lit(value).cast(NTZ)
 
 
+def bound_for(value: datetime | str, kind: T.DataType) -> Column:
+    """A UTC bound to compare a bare column of this type with: an instant for instants, naive time for all others."""
+    if not isinstance(kind, T.TimestampType):
+        return ntz(value)
+    if isinstance(value, datetime):
+        value = naive_utc(value).isoformat(sep=" ")
+    return F.lit(f"{value}+00:00").cast("timestamp")
+
+
 def in_window(ts: Column, start: datetime | str, end: datetime | str) -> Column:
     return (ts >= ntz(start)) & (ts < ntz(end))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.functions.names import col
-from tableloom.functions.timing import NTZ, ntz
+from tableloom.functions.timing import ntz, utc_of
 
 
 def _grade(newest: DataFrame, as_of: datetime | str, warn_after: timedelta | None, error_after: timedelta | None):
@@ -39,7 +39,8 @@ def freshness(
     """
     if where is not None:
         source = source.where(where)
-    newest = source.agg(F.max(col(loaded_at)).cast(NTZ).alias("max_loaded_at"))
+    newest = source.agg(F.max(col(loaded_at)).alias("max_loaded_at"))
+    newest = newest.select(utc_of(F.col("max_loaded_at"), newest.schema["max_loaded_at"].dataType).alias("max_loaded_at"))
     return _grade(newest, as_of, warn_after, error_after)
 
 
@@ -51,4 +52,5 @@ def freshness_of(
 ) -> DataFrame:
     """The same from a caller's own one-row, one-column query."""
     (name,) = newest.columns
-    return _grade(newest.select(col(name).cast(NTZ).alias("max_loaded_at")), as_of, warn_after, error_after)
+    loaded = utc_of(col(name), newest.schema[name].dataType).alias("max_loaded_at")
+    return _grade(newest.select(loaded), as_of, warn_after, error_after)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.hashing import version_id
-from tableloom.functions.names import as_list, col, quoted, resolve
+from tableloom.functions.names import as_list, col, fresh_name, quoted, resolve
 from tableloom.functions.timing import NTZ, ntz
 from tableloom.operators.schema import SchemaChangeError, can_store, diff_schemas
 
@@ -235,11 +235,12 @@ def _versions(paired: DataFrame, columns: list[str], spec: HistorySpec, run_ts,
     if keep_unchanged:
         produced.append(F.when(change == "keep", tagged("keep", _with(cur, columns, schema))))
     rows = paired.select(F.explode(F.array(*produced)).alias("item")).where("item IS NOT NULL")
-    return rows.select("item.change_type", *[F.col(f"item.row.{quoted(c)}").alias(c) for c in columns])
+    tag = fresh_name(columns, "change_type")
+    return rows.select(F.col("item.change_type").alias(tag), *[F.col(f"item.row.{quoted(c)}").alias(c) for c in columns])
 
 
 def change_set(history: DataFrame, source: DataFrame, spec: HistorySpec, run_ts: datetime | str) -> DataFrame:
-    """What this run does: rows tagged insert, update or delete.
+    """What this run does: rows tagged insert, update or delete in the first column, ``change_type`` (with a number if that is taken).
 
     Update and delete rows carry the id of the version they close and the end it gets.
     """
@@ -254,7 +255,7 @@ def apply_changes(history: DataFrame, changes: DataFrame, spec: HistorySpec) ->
     new end where there is one, so unchanged and closed versions need a single pass.
     """
     n = spec.names
-    columns = [c for c in changes.columns if c != "change_type"]
+    tag, *columns = changes.columns
     stored = {c.lower(): c for c in history.columns}
     wide = history.select(
         *[
@@ -263,17 +264,18 @@ def apply_changes(history: DataFrame, changes: DataFrame, spec: HistorySpec) ->
             for c in columns
         ]
     )
-    closings = changes.where(F.col("change_type").isin("update", "delete")).select(
-        col(n.scd_id).alias("closed_id"), col(n.valid_to).alias("closed_at")
+    closed_id, closed_at = fresh_name(columns, "closed_id"), fresh_name(columns, "closed_at")
+    closings = changes.where(col(tag).isin("update", "delete")).select(
+        col(n.scd_id).alias(closed_id), col(n.valid_to).alias(closed_at)
     )
-    kept = wide.join(closings, col(n.scd_id) == F.col("closed_id"), "left").select(
+    kept = wide.join(closings, col(n.scd_id) == col(closed_id), "left").select(
         *[
-            (F.when(F.col("closed_id").isNotNull(), F.col("closed_at")).otherwise(col(c)).alias(c)
+            (F.when(col(closed_id).isNotNull(), col(closed_at)).otherwise(col(c)).alias(c)
              if c.lower() == n.valid_to.lower() else col(c))
             for c in columns
         ]
     )
-    return kept.unionByName(changes.where("change_type = 'insert'").select(*[col(c) for c in columns]))
+    return kept.unionByName(changes.where(col(tag) == "insert").select(*[col(c) for c in columns]))
 
 
 def advance(history: DataFrame, source: DataFrame, spec: HistorySpec, run_ts: datetime | str) -> DataFrame:
@@ -282,11 +284,12 @@ def advance(history: DataFrame, source: DataFrame, spec: HistorySpec, run_ts: da
     Closed versions pass through untouched and are neither joined nor shuffled.
     """
     wide = extend_history(history, source, spec)
-    return closed_rows(wide, spec).unionByName(advance_current(history, source, spec, run_ts).drop("change_type"))
+    decided = advance_current(history, source, spec, run_ts)
+    return closed_rows(wide, spec).unionByName(decided.select(*[col(c) for c in decided.columns[1:]]))
 
 
 def advance_current(history: DataFrame, source: DataFrame, spec: HistorySpec, run_ts: datetime | str) -> DataFrame:
-    """Only the versions this run decides: those still current and those it closes, with ``change_type``."""
+    """Only the versions this run decides: those still current and those it closes, tagged in the first column as by ``change_set``."""
     paired, columns = _matched(history, source, spec, run_ts)
     return _versions(paired, columns, spec, run_ts, keep_unchanged=True)
 
@@ -329,7 +332,7 @@ def advance_touched(
     arriving = source.join(touched, keys, "left_semi")
     kept = extend_history(current.join(as_stored, stored, "left_anti"), source, spec)
     decided = advance_current(changed, arriving, spec, run_ts)
-    return decided.unionByName(kept.withColumn("change_type", F.lit("keep")))
+    return decided.unionByName(kept.withColumn(decided.columns[0], F.lit("keep")))
 
 
 def source_violations(

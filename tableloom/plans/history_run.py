@@ -76,6 +76,9 @@ def run_history(
 
 def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish) -> DataFrame:
     spark, versions = publisher.spark, publisher.name(_versions_table(table))
+    taken = {c.lower() for c in source.columns} & {RUN.lower(), CLOSED.lower()}
+    if taken:
+        raise ValueError(f"the column names {sorted(taken)} are taken by the stored history")
     if not publisher.exists(table):
         if validate:
             raise_on_violations(source_violations(source, spec), "history source")
@@ -118,8 +121,8 @@ def _commit(publisher, table, decided, source, spec, added, run, validate, befor
         have = {c.lower() for c in spark.table(versions).columns}
         if any(c.lower() not in have for c in added):
             spark.sql(f"ALTER TABLE {versions} ADD COLUMNS ({listed})")
-    columns = decided.drop("change_type").columns
-    _write_run(publisher, table, decided, F.col("change_type").isin("update", "delete"), run)
+    tag, *columns = decided.columns
+    _write_run(publisher, table, decided, col(tag).isin("update", "delete"), run)
     if validate:
         written = spark.table(versions).where(f"{RUN} = {run}").select(*[col(c) for c in columns])
         past = spark.table(versions).where(f"{CLOSED} AND {RUN} <= {last}").select(col(spec.names.scd_id))

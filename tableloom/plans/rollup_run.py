@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+import hashlib
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -23,15 +25,21 @@ from tableloom.plans.publish import Check, Publisher
 class RollupConfig:
     """``partition`` names stored columns and how the base computes them (columns or SQL text).
 
-    Without it every refresh is complete.
+    Without it every refresh is complete. ``definition`` is the model's text or version; with the result's columns and the
+    partition expressions it makes the definition that is stored. If a refresh comes with another one, ``apply`` rebuilds all,
+    ``continue`` keeps the stored rows untouched, and ``fail`` stops the run.
     """
 
     build: str = "immediate"
     refresh: str = "auto"
     partition: Mapping[str, Column | str] = field(default_factory=dict)
     fingerprint: str = "rows"
+    definition: str = ""
+    on_definition_change: str = "apply"
 
     def validate(self) -> None:
+        if self.on_definition_change not in ("apply", "continue", "fail"):
+            raise ValueError(f"on_definition_change {self.on_definition_change!r} is none of apply, continue, fail")
         if self.build not in ("immediate", "deferred"):
             raise ValueError(f"build {self.build!r} is neither immediate nor deferred")
         if self.refresh not in ("auto", "complete"):
@@ -39,10 +47,24 @@ class RollupConfig:
         if self.fingerprint not in ("rows", "files"):
             raise ValueError(f"fingerprint {self.fingerprint!r} is neither rows nor files")
 
+    def defined(self, rows: DataFrame) -> str:
+        """A digest of what the aggregate is; reads no rows."""
+        columns = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema]
+        parts = [f"{n}={e if isinstance(e, str) else e._jc.toString()}" for n, e in self.partition.items()]
+        return hashlib.sha256(json.dumps([self.definition, columns, parts]).encode()).hexdigest()
+
     def digest(self, base: DataFrame) -> DataFrame:
         return (fingerprints if self.fingerprint == "rows" else file_fingerprints)(base, self.partition)
 
 
+class DefinitionChanged(ValueError):
+    """A refresh came with another definition than the stored one's."""
+
+
+def _stored(config: RollupConfig, rows: DataFrame) -> dict[str, str]:
+    return {"table_model": "rollup", "definition": config.defined(rows)}
+
+
 def _prints(table: str) -> str:
     return f"{table}__fingerprints"
 
@@ -52,20 +74,22 @@ def build_rollup(
 ) -> DataFrame:
     """Create the stored aggregate, or only its schema if the build is deferred."""
     config.validate()
+    publisher.require_model(table, "rollup")
     rows = model(base)
     if config.build == "deferred":
         if config.partition:
             publisher.replace(_prints(table), empty_like(config.digest(base)))
-        return publisher.replace(table, empty_like(rows), partition_by=list(config.partition), check=check)
+        return publisher.replace(table, empty_like(rows), partition_by=list(config.partition), check=check, properties=_stored(config, rows))
     return _complete(publisher, table, base, model, config, check)
 
 
 def _complete(publisher, table, base, model, config, check=None) -> DataFrame:
+    rows = model(base)
     if not config.partition:
-        return publisher.replace(table, model(base), check=check)
+        return publisher.replace(table, rows, check=check, properties=_stored(config, rows))
     # Fingerprints are taken first: a base that changes meanwhile looks stale next time, never fresh.
     prints = publisher.write_version(_prints(table), config.digest(base))
-    out = publisher.replace(table, model(base), partition_by=list(config.partition), check=check)
+    out = publisher.replace(table, rows, partition_by=list(config.partition), check=check, properties=_stored(config, rows))
     publisher.switch(_prints(table), prints)
     return out
 
@@ -73,8 +97,15 @@ def _complete(publisher, table, base, model, config, check=None) -> DataFrame:
 def refresh_rollup(
     publisher: Publisher, table: str, base: DataFrame, model: Model, config: RollupConfig, check: Check | None = None
 ) -> DataFrame:
-    """Bring the stored aggregate up to date with its base."""
+    """Bring the stored aggregate up to date with its base, and with its definition if that changed."""
     config.validate()
+    publisher.require_model(table, "rollup")
+    if publisher.exists(table) and publisher.property(table, "definition") != config.defined(model(base)):
+        if config.on_definition_change == "continue":
+            return publisher.read(table)
+        if config.on_definition_change == "fail":
+            raise DefinitionChanged(f"{table} is stored by another definition")
+        return _complete(publisher, table, base, model, config, check)
     if config.refresh == "complete" or not config.partition or not publisher.exists(_prints(table)):
         return _complete(publisher, table, base, model, config, check)
     prints = publisher.write_version(_prints(table), config.digest(base))

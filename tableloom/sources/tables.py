@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tableloom.functions.names import col, quoted
-from tableloom.functions.timing import in_window, ntz
+from tableloom.functions.timing import bound_for
 
 
 def relation_name(name: str, schema: str | None = None, database: str | None = None) -> str:
@@ -31,10 +31,9 @@ def event_time_scan(source: DataFrame, event_time: str, start: datetime | None,
 
     The comparison is on the bare column, so it reaches the Parquet reader.
     """
-    if start is not None and end is not None:
-        return source.where(in_window(col(event_time), start, end))
+    kind = source.select(col(event_time)).schema[0].dataType
     if start is not None:
-        return source.where(col(event_time) >= ntz(start))
-    return source if end is None else source.where(col(event_time) < ntz(end))
+        source = source.where(col(event_time) >= bound_for(start, kind))
+    return source if end is None else source.where(col(event_time) < bound_for(end, kind))
 
 
