@@ -87,17 +87,35 @@ def blocks(texts: pa.Array, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return text[first], grams[anchor[first]], all_bytes, starts[first] - offsets[text[first]], last - first + 1
 
 
-BLOCK = StructType([StructField("anchor", LongType()), StructField("whole", LongType()), StructField("start", IntegerType()), StructField("n", IntegerType())])
+BLOCK = StructType([
+    StructField("anchor", LongType()), StructField("whole", LongType()), StructField("start", IntegerType()), StructField("n", IntegerType()),
+    StructField("more", ArrayType(IntegerType())),
+])
 
 
 def _blocks(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """A row for each kind of block in a text; ``more`` has the places where it occurs again in it (null: none), so that a text
+    that repeats itself thousands of times is one row."""
+
     def work(texts: pa.Array) -> list[pa.Array]:
         text, anchor, whole, start, n = blocks(texts, length, gram)
+        order = np.lexsort((start, whole, anchor, text))
+        text, anchor, whole, start, n = (x[order] for x in (text, anchor, whole, start, n))
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])
+        first = np.flatnonzero(new)
+        again = np.diff(np.append(first, len(text))) - 1
+        ends = np.zeros(len(first) + 1, np.int32)
+        np.cumsum(again, out=ends[1:])
+        more = pa.ListArray.from_arrays(
+            pa.array(ends, mask=np.append(again == 0, False)) if len(first) else pa.array(ends), pa.array(start[~new].astype(np.int32))
+        )
+        text, anchor, whole, start, n = (x[first] for x in (text, anchor, whole, start, n))
         offsets = np.zeros(len(texts) + 1, np.int32)
         np.cumsum(np.bincount(text, minlength=len(texts)), out=offsets[1:])
         values = pa.StructArray.from_arrays(
-            [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
-            ["anchor", "whole", "start", "n"],
+            [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), more],
+            ["anchor", "whole", "start", "n", "more"],
         )
         return [pa.ListArray.from_arrays(pa.array(offsets), values)]
 
@@ -226,13 +244,16 @@ def remove_repeats(
     kind = Window.partitionBy("anchor", "whole")
     order = kind.orderBy(F.col("doc_id").asc_nulls_last(), "tag", "start")
     ranked = found.repartition("anchor").select(
-        "doc_id", "tag", "anchor", "start", "n", F.count(F.lit(1)).over(kind).alias("copies"), F.row_number().over(order).alias("nth"),
+        "doc_id", "tag", "anchor", "start", "n", "more", F.sum(F.when(F.col("more").isNull(), 1).otherwise(1 + F.size("more"))).over(kind).alias("copies"), F.row_number().over(order).alias("nth"),
         (F.min("whole").over(group) != F.max("whole").over(group)).alias("differ"),
     ).where("copies > 1 OR differ")
     ranked = ranked.withColumn("many", F.sum((F.col("nth") == 1).cast("int")).over(group) > GATHERED)
     repeated = freeze(ranked, "blocks")
 
-    settled = repeated.where("nth > 1" if keep_first else "copies > 1").select("doc_id", "tag", "start", (F.col("n") + (length - 1)).alias("size"))
+    later = F.coalesce("more", F.array().cast("array<int>"))
+    places = F.concat(F.array("start"), later)
+    gone = F.when(F.col("nth") > 1, places).otherwise(later) if keep_first else places
+    settled = repeated.where("copies > 1").select("doc_id", "tag", F.explode(gone).alias("start"), (F.col("n") + (length - 1)).alias("size"))
     packed = common.packed(source, "text", ["doc_id", "tag"])
     segments = freeze(_cut(packed, repeated.where("nth = 1 AND differ"), length), "segments")
     positions = _sorted_matches(segments.where("NOT many"), length, keep_first).union(_counted_matches(segments.where("many"), length, keep_first))
