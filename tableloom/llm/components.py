@@ -7,25 +7,40 @@ from pyspark.sql import functions as F
 
 from tableloom.session import freeze
 
-#: Rounds at most; each at least halves the distance to the smallest label, so this is never met.
-ROUNDS = 60
-
 
 def components(edges: DataFrame) -> DataFrame:
     """``id, root`` for each id in ``a, b``: the smallest id it is connected to.
 
-    In a round every id takes the smallest label around it, then the label of that label. Labels are unique rows, minima
-    are folded on the map side, and a much linked id is a skewed join's many rows, which adaptive execution splits.
+    In a round every id hooks to the smallest id around it, the trees this makes are flattened by doubling, and each tree becomes
+    one id, its root, in the graph of the next round. Only ids smaller than all around them stay. Of these, one that nothing hooked
+    to sees a smaller id in the round after, and as many ids hooked as there are others: two rounds at least halve the ids. So any
+    graph settles, in rounds that grow with the logarithm of its ids, and rounds are as many as it takes.
+    Minima are folded on the map side, and a much linked id is a skewed join's many rows, which adaptive execution splits.
     """
-    both = freeze(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct(), "edges")
-    labels = freeze(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
-    for _ in range(ROUNDS):
-        around = both.join(labels, both["b"] == labels["id"]).groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-        taken = labels.join(around, "id").select("id", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+    turned = lambda e: e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    left = freeze(turned(edges.where("a <> b").select("a", "b")), "edges")
+    rounds = []
+    while True:
+        trees = freeze(left.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+        trees = _flat(trees)
+        rounds.append(trees)
+        of = lambda end: trees.select(F.col("id").alias(end), F.col("root").alias(f"root_{end}"))  # noqa: B023, E731
+        met = left.where("a < b").join(of("a"), "a").join(of("b"), "b").where("root_a <> root_b")
+        left = freeze(turned(met.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), "edges")
+        if left.isEmpty():
+            break
+    labels = rounds.pop()
+    while rounds:  # a round's roots are the ids of the round after, unless nothing was left around them
         heads = labels.select(F.col("id").alias("root"), F.col("root").alias("head"))
-        moved = taken.join(heads, "root", "left").select("id", "old", F.least("root", F.coalesce("head", "root")).alias("root"))
-        moved = freeze(moved, "labels")
-        labels = moved.select("id", "root")
-        if moved.where("root <> old").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle")
+        labels = freeze(rounds.pop().join(heads, "root", "left").select("id", F.coalesce("head", "root").alias("root")), "labels")
+    return labels
+
+
+def _flat(trees: DataFrame) -> DataFrame:
+    """Each id's root in place of its parent; a pass halves every id's way."""
+    while True:
+        heads = trees.where("root <> id").select(F.col("id").alias("root"), F.col("root").alias("head"))
+        moved = freeze(trees.join(heads, "root", "left").select("id", F.coalesce("head", "root").alias("root"), F.col("head").isNotNull().alias("moved")), "labels")
+        trees = moved.select("id", "root")
+        if moved.where("moved").isEmpty():
+            return trees
