@@ -17,7 +17,7 @@ from tableloom.llm.common import with_results
 from tableloom.llm.kneser_ney import Model, word_values, words_of
 
 ORDER = 4
-SLOT_BITS = 18
+SLOT_BITS = kneser_ney.KEY_BITS
 
 #: Texts from which the usual cross-entropy and its spread are measured.
 CALIBRATION_ROWS = 2_000

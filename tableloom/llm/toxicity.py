@@ -22,7 +22,7 @@ from tableloom.llm.common import with_results
 from tableloom.llm.kneser_ney import Model, word_values, words_of
 
 ORDER = 6
-SLOT_BITS = 20
+SLOT_BITS = kneser_ney.KEY_BITS
 
 #: Labelled texts kept out of the counts to fit the curve.
 CALIBRATION_ROWS = 4_000
