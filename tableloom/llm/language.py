@@ -19,8 +19,9 @@ from tableloom.llm.kneser_ney import Model, word_values, words_of
 ORDER = 4
 SLOT_BITS = kneser_ney.KEY_BITS
 
-#: Texts from which the usual cross-entropy and its spread are measured.
-CALIBRATION_ROWS = 2_000
+#: Different texts from which the usual cross-entropy and its spread are measured, an equal part of them (and not under
+#: ``CALIBRATION_LEAST``) for each language.
+CALIBRATION_ROWS, CALIBRATION_LEAST = 2_000, 50
 
 #: A text is rejected if its cross-entropy is so many standard deviations above its language's usual one, and also
 #: most of the way to that of letters drawn at random.
@@ -60,13 +61,13 @@ class Entropies:
 
 
 def fit(rows: DataFrame) -> Identifier:
-    """Fit on ``label, text``: counts over all rows, the rejection limits from about ``CALIBRATION_ROWS`` of them.
+    """Fit on ``label, text``: counts over all rows, the rejection limits from some texts of each, see ``CALIBRATION_ROWS``.
 
     Null labels and texts are left out. Without rows nothing is known and every text is unknown.
     """
     model = kneser_ney.fit(rows, ORDER, SLOT_BITS)
     rows = rows.where("label IS NOT NULL AND text IS NOT NULL").select("label", "text")
-    sample, _ = kneser_ney.bounded_sample(rows, CALIBRATION_ROWS, rows.count())
+    sample, _, _ = kneser_ney.sampled_texts(rows.withColumn("label", F.col("label").cast("string")), lambda texts, labels: max(CALIBRATION_ROWS // labels, CALIBRATION_LEAST))
     sent = rows.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
     classes = {c: i for i, c in enumerate(model.classes)}
@@ -75,13 +76,13 @@ def fit(rows: DataFrame) -> Identifier:
         entropies = Entropies(word_values(key, sent))
         for frame in frames:
             found, chars = entropies(frame.text.tolist())
-            own = found[np.arange(len(frame)), [classes[x] for x in frame.label]]
+            own = found[np.arange(len(frame)), [classes.get(x, 0) for x in frame.label]]
             yield pd.DataFrame({"label": frame.label, "chars": chars, "entropy": own})[chars > 0]
 
     n = len(model.classes)
     usual, spread, one = np.zeros(n), np.zeros(n), np.zeros(n)
     if n:
-        measured = sample.mapInPandas(run, "label string, chars long, entropy double").toPandas()  # at most twice the sample's size
+        measured = sample.mapInPandas(run, "label string, chars long, entropy double").toPandas()  # the sample's numbers
         for c, i in classes.items():
             own = measured[measured.label == c]
             weights = own.chars / max(own.chars.sum(), 1)

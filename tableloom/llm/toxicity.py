@@ -1,8 +1,8 @@
 """Toxicity by two Kneser-Ney models, of toxic and of ordinary texts, whose lower orders are counted together.
 
 A word's evidence is the difference of its log-likelihoods under the two models. A text is described by the length-normalised
-difference of its likelihoods and by its strongest words; a logistic curve fitted on texts kept out of the counts turns
-these into a score.
+difference of its likelihoods and by its strongest words; a logistic curve turns these into a score. The curve is fitted on some texts
+of each class as models see them that are counted without these texts; the models that score are counted over all rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tableloom.llm.kneser_ney import Model, word_values, words_of
 ORDER = 6
 SLOT_BITS = kneser_ney.KEY_BITS
 
-#: Labelled texts kept out of the counts to fit the curve.
+#: Different texts that fit the curve, half of them of each class: of a class's texts a fifth at most, but ten of them or half if these are few.
 CALIBRATION_ROWS = 4_000
 
 #: Evidence of a word, in nats, beyond what chance resemblance gives.
@@ -91,21 +91,30 @@ def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: DataFrame) -> Scorer:
-    """Fit on ``label`` (0 or 1) and ``text``: counts over all rows but the few kept for the curve, see ``CALIBRATION_ROWS``.
+    """Fit on ``label`` (0 or 1) and ``text``: counts over all rows, the curve from some texts of each class, see ``CALIBRATION_ROWS``.
 
-    Null labels and texts are left out. If a class is missing, every score is the share of toxic rows (0.5 without any rows).
+    Copies of a text are one for the curve, whose intercept is then moved to the classes' shares of all rows. If a class has one text
+    only, the curve is fitted on the models that score. Null labels and texts are left out. If a class is missing or has no
+    words, every score is the share of toxic rows (0.5 without any rows).
     """
     rows = rows.where("label IN (0, 1) AND text IS NOT NULL").select(F.col("label").cast("int").cast("string").alias("label"), "text")
-    seen = rows.groupBy("label").count().collect()  # two rows
-    count = {r[0]: r[1] for r in seen}
+    fifth = lambda texts, labels: min(CALIBRATION_ROWS // 2, max(texts // 5, min(10, -(-texts // 2))))
+    sample, chosen, seen = kneser_ney.sampled_texts(rows, fifth)
+    count = {label: n for label, (n, _) in seen.items()}
     total = sum(count.values())
     prior = count.get("1", 0) / total if total else 0.5
-    sample, rest = kneser_ney.bounded_sample(rows, CALIBRATION_ROWS, total)
-    model = kneser_ney.fit(rest, ORDER, SLOT_BITS, shared_backoff=True)
-    nothing = Scorer(model, None, np.zeros(FEATURES), np.ones(FEATURES), prior)
-    if len(model.classes) < 2:
-        return nothing
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    fitted = lambda counted: kneser_ney.fit(counted, ORDER, SLOT_BITS, shared_backoff=True)
+    nothing = lambda model: Scorer(model, None, np.zeros(FEATURES), np.ones(FEATURES), prior)
+    if len(seen) < 2:
+        return nothing(fitted(rows))
+    others = rows.join(F.broadcast(chosen.select("tag").distinct()), F.xxhash64("text") == F.col("tag"), "left_anti")
+    held = fitted(others)
+    model = None
+    if len(held.classes) < 2:
+        held = model = fitted(rows)
+    if len(held.classes) < 2:
+        return nothing(held)
+    sent = rows.sparkSession.sparkContext.broadcast(held)
     key = uuid.uuid4().hex
 
     def run(frames):
@@ -114,12 +123,15 @@ def fit(rows: DataFrame) -> Scorer:
             yield pd.DataFrame(found, columns=names).assign(y=(frame.label == "1").astype(float).to_numpy())
 
     names = [f"f{i}" for i in range(FEATURES)]
-    kept = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).toPandas()  # at most twice the sample's size
-    if kept.y.nunique() < 2:
-        return nothing
+    kept = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).toPandas()  # at most CALIBRATION_ROWS
+    sent.unpersist()
+    del held
     x, y = kept[names].to_numpy(), kept.y.to_numpy()
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    return Scorer(model, _curve((x - centre) / scale, y), centre, scale, prior)
+    weights = _curve((x - centre) / scale, y)
+    odds = lambda of: np.log(seen["1"][of] / seen["0"][of])
+    weights[0] += odds(0) - odds(1)
+    return Scorer(model or fitted(rows), weights, centre, scale, prior)
 
 
 def score(df: DataFrame, scorer: Scorer, text: str = "text", keep: list[str] | None = None) -> DataFrame:
