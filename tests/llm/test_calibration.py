@@ -18,3 +18,18 @@ def test_all_labelled_rows_are_counted(spark):
     rows = labelled(spark, random.Random(1), 30, 10, 2)
     table = toxicity.fit(rows).model.tables[-1]
     assert table.counts.sum() == sum(len(w) + 1 for x in rows.collect() for w in kneser_ney.words_of(x.text))
+
+
+def test_rare_toxic_texts_and_a_hot_text_still_give_a_curve(spark):
+    r = random.Random(2)
+    rows = labelled(spark, r, 400, 4)
+    hot = spark.createDataFrame([(0, "one very common line of words")] * 500, "label int, text string")
+    scorer = toxicity.fit(rows.union(hot))
+    assert scorer.weights is not None
+    unseen = spark.createDataFrame([(0, text(r, "en", 30)), (1, text(r, "en", 25) + " vrakkulo zomplat vrakkul")], "label int, text string")
+    found = {x.row.label: x.score for x in toxicity.score(unseen, scorer).collect()}
+    assert found[1] > 10 * found[0]
+
+
+def test_one_text_of_a_class(spark):
+    assert toxicity.fit(labelled(spark, random.Random(3), 20, 1)).weights is not None
