@@ -1,7 +1,7 @@
 """Personal data by patterns and by bootstrapping, with DataFrame functions only.
 
-Seeds are the matches of fixed patterns (e-mail and IP addresses, card and phone numbers). Every identifier-like token is an
-instance; the word before it, and the two words before it, are its lexical patterns. The graph of patterns and instances is scored in rounds: a
+Seeds are the matches of fixed patterns (e-mail and IP addresses, card and phone numbers), whatever white space they hold. They and every
+identifier-like token or run of digit groups are instances; the word before it, and the two words before it, are its lexical patterns. The graph of patterns and instances is scored in rounds: a
 pattern is as good as its instances on average, an instance as its best patterns together. Tokens behind patterns of high
 confidence are found too, though no fixed pattern knows them.
 """
@@ -20,10 +20,13 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-#: A token with a digit, up to white space.
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+#: A token with a digit, or with an @ inside, up to white space.
+TOKEN = r"(?<!\S)(?:[^\s0-9]*+[0-9]\S*+|[^\s@]++@\p{L}\S*+)"
 
-#: Characters and digits of an identifier-like token.
+#: Two or more digit groups with a space between.
+GROUPS = r"(?<!\S)[^\s\p{L}\p{N}]*+[0-9][0-9().-]*+(?:\x20[(]?[0-9][0-9().-]*+(?=[^\s\p{L}\p{N}]*+(?!\S)))++"
+
+#: Characters and digits of an identifier-like token; one with an @ needs no digits.
 TOKEN_SIZE, TOKEN_DIGITS = (6, 64), 3
 
 ROUNDS = 3
@@ -80,21 +83,36 @@ def _base(text: Column) -> dict[str, Column]:
     }
 
 
-def _tokens(text: Column) -> Column:
-    """Identifier-like tokens: where they are, their text and their patterns."""
-    lead = r"^[^\p{L}\p{N}+]+"
+def _words_before(gap: Column) -> Column:
+    """The words of the text before an instance, back to the token before with a digit or an @."""
+    near = F.regexp_replace(gap, r"(?s)^.*(?:[0-9]|\S@\p{L})\S*", "")
+    return F.filter(F.split(F.lower(near), r"[^\p{L}]+"), lambda w: w != "")
+
+
+def _overlaps(spans: Column, t: Column) -> Column:
+    return F.exists(spans, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))
+
+
+def _instance(start: Column, end: Column, token: Column, gap: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), token.alias("token"), _contexts(_words_before(gap)).alias("contexts"))
+
+
+def _seeds(spans: Column) -> Column:
+    """The spans of a base kind as instances."""
+    return F.transform(spans, lambda s: _instance(s["start"], s["end"], s["match"], s["gap"]))
+
+
+def _cores(text: Column, pattern: str, lead: str) -> Column:
+    """Matches without what leads and trails, if they are identifier-like: where they are, their text and their patterns."""
 
     def cut(s):
         front = F.regexp_replace(s["match"], lead, "")
         core = F.regexp_replace(front, r"[^\p{L}\p{N}]+$", "")
         start = s["start"] + F.length(s["match"]) - F.length(front)
-        before = F.filter(F.split(F.lower(s["gap"]), r"[^\p{L}]+"), lambda w: w != "")
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("token"), _contexts(before).alias("contexts"))
+        return _instance(start, start + F.length(core), core, s["gap"])
 
-    cores = F.transform(_matches(text, TOKEN, text.rlike("[0-9]{3}")), cut)
-    return F.filter(
-        cores, lambda t: F.length(t["token"]).between(*TOKEN_SIZE) & (F.length(_digits(t["token"])) >= TOKEN_DIGITS) & (F.size(t["contexts"]) > 0)
-    )
+    shaped = lambda t: (F.length(_digits(t["token"])) >= TOKEN_DIGITS) | t["token"].contains("@")
+    return F.filter(F.transform(_matches(text, pattern, text.rlike("[0-9@]")), cut), lambda t: F.length(t["token"]).between(*TOKEN_SIZE) & shaped(t) & (F.size(t["contexts"]) > 0))
 
 
 def _contexts(words: Column) -> Column:
@@ -132,20 +150,26 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | No
     """Each row as ``row`` with ``base`` and ``spans``, arrays of ``kind, start, end`` (code points, end exclusive) in the order of
     ``KINDS`` and of start; ``spans`` has the base spans and those that bootstrapping found.
 
+    A base span is an instance with the words before it; a token that overlaps one is none of its own.
     Null texts count as empty and have no spans. Kinds are matched apart from each other, so their spans may overlap; a found
     token never overlaps a base span. Repeated rows get equal results; an empty table gives no rows.
     """
     columns = [F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]
     source = docs.select(F.struct(*columns).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     kinds = _base(F.col("text"))
-    found = source.select("row", *(c.alias(k) for k, c in kinds.items()), _tokens(F.col("text")).alias("tokens"))
+    found = source.select(
+        "row", *(c.alias(k) for k, c in kinds.items()), _cores(F.col("text"), GROUPS, r"^[^\p{N}+(]+").alias("groups"),
+        _cores(F.col("text"), TOKEN, r"^[^\p{L}\p{N}+]+").alias("single"),
+    )
     named = lambda kind: F.transform(F.col(kind), lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     base = F.concat(*(named(k) for k in kinds))
-    rows = found.select("row", base.alias("base"), "tokens")
-    rows = rows.select(
-        "row", "base",
-        F.transform("tokens", lambda t: t.withField("seed", F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))).alias("tokens"),
-    )
+    seeds = F.concat(*(_seeds(F.col(k)) for k in kinds))
+    apart = lambda name, spans: F.filter(name, lambda t: ~_overlaps(F.col(spans), t))
+    rows = found.select("row", base.alias("base"), seeds.alias("seeds"), "groups", "single")
+    rows = rows.select("row", "base", "seeds", apart("groups", "base").alias("groups"), apart("single", "base").alias("single"))
+    others = F.concat("groups", apart("single", "groups"))
+    marked = lambda instances, seed: F.transform(instances, lambda t: t.withField("seed", F.lit(seed)))
+    rows = rows.select("row", "base", F.concat(marked(F.col("seeds"), True), marked(others, False)).alias("tokens"))
     rows = freeze(rows.withColumn("at", F.monotonically_increasing_id()), "personal")
     tokens = rows.select("at", F.explode("tokens").alias("t")).select("at", "t.*").withColumn("context", F.explode("contexts"))
     edges = freeze(tokens.groupBy("context", "token").agg(F.max("seed").alias("seed")), "contexts")
