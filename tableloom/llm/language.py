@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from tableloom.llm import kneser_ney
-from tableloom.llm.common import with_results
+from tableloom.llm.common import PASS_BYTES, with_results
 from tableloom.llm.kneser_ney import Model, word_values, words_of
 
 ORDER = 4
@@ -131,7 +131,8 @@ def identify(df: DataFrame, identifier: Identifier, text: str = "text", keep: li
         return work
 
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
-    return with_results(df, text, fields, make, keep)
+    # a pass holds a value for each word and class
+    return with_results(df, text, fields, make, keep, max(4 * PASS_BYTES // max(len(identifier.model.classes), 4), 1 << 14))
 
 
 def held_out(key: str, parts: int, part: int):
