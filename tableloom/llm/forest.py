@@ -1,8 +1,8 @@
 """Jaccard join of word n-grams by a MinHash LSH forest.
 
-Each tree of the forest is a prefix trie of signatures. Two texts are candidates if they share a prefix of ``depth`` hashes
-in some tree; starting from the longest prefix, the depth is shortened until pairs at the threshold are met with at
-least the target recall. Candidates are verified on their full sets of n-grams. Texts with one set are one class from the
+Two texts are candidates if they share the first ``depth`` hashes of some tree. The depth is fixed before any text is read: the longest
+with which pairs at the threshold meet with at least the target recall. So the trees are bands of one length. All pairs of
+fitting sizes in a group of connected candidates are verified on their full sets of n-grams. Texts with one set are one class from the
 start. Verification runs block by block inside groups of connected candidates: it counts links without emitting pairs.
 """
 
@@ -97,9 +97,8 @@ def _pairs_of_block(rows: list[tuple], two: bool, similarity: float) -> list[tup
     """Links among the members of a block (or between two): ``id, links, root`` of each member with a link."""
     ids = np.array([r[0] for r in rows])
     side = np.array([r[1] for r in rows])
-    trees = np.array([r[2] for r in rows])
-    sizes = np.array([len(r[3]) for r in rows])
-    flat = np.concatenate([r[3] for r in rows])
+    sizes = np.array([len(r[2]) for r in rows])
+    flat = np.concatenate([r[2] for r in rows])
     _, flat = np.unique(flat, return_inverse=True)
     starts = np.cumsum(sizes) - sizes
     seen = np.zeros(flat.max() + 1, bool)
@@ -112,9 +111,8 @@ def _pairs_of_block(rows: list[tuple], two: bool, similarity: float) -> list[tup
         return i
 
     for i in range(len(rows)):
-        met = (trees[i + 1:] == trees[i]).any(axis=1)
-        if two:  # pairs within one block are counted where that block is alone
-            met &= side[i + 1:] != side[i]
+        # pairs within one block are counted where that block is alone
+        met = side[i + 1:] != side[i] if two else np.ones(len(rows) - i - 1, bool)
         least, most = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
         met = np.flatnonzero(met & (least >= similarity * most)) + i + 1
         if not len(met):
@@ -174,18 +172,18 @@ def link_classes(
     near = components(nodes.join(shared, ["tree", "prefix"]).where("id <> a").select("a", F.col("id").alias("b")).distinct())
 
     # the sets of all candidates, dealt to blocks of their group; a large group's blocks meet two by two
-    wanted = near.join(sets, "id").select("id", "root", "trees", "copy_id", "tag", "key_a", "key_b")
+    wanted = near.join(sets, "id").select("id", "root", "copy_id", "tag", "key_a", "key_b")
     chosen = wanted.select(F.col("tag").alias("of_tag"), "copy_id").distinct()
     texts = source.join(chosen, (F.col("tag") == F.col("of_tag")) & F.col("doc_id").eqNullSafe(F.col("copy_id")), "left_semi")
     grams = _sets(texts, "text", n, ["doc_id", "tag"]).select("row.doc_id", "row.tag", "key_a", "key_b", "grams")
     same_row = (F.col("g.tag") == F.col("w.tag")) & F.col("g.doc_id").eqNullSafe(F.col("w.copy_id")) & (F.col("g.key_a") == F.col("w.key_a")) & (F.col("g.key_b") == F.col("w.key_b"))
-    filled = grams.alias("g").join(wanted.alias("w"), same_row).groupBy("w.id").agg(F.first("w.root").alias("root"), F.first("w.trees").alias("trees"), F.first("g.grams").alias("grams"))
+    filled = grams.alias("g").join(wanted.alias("w"), same_row).groupBy("w.id").agg(F.first("w.root").alias("root"), F.first("g.grams").alias("grams"))
     groups = near.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (
         filled.join(groups, "root").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("id", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("side"), "trees", "grams")
+        .select("id", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("side"), "grams")
         .repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "id")
     )
 
@@ -206,7 +204,7 @@ def link_classes(
                     for frame in done():
                         yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
                     group, held = key, []
-                held.append((ids[i], sides[i], batch.column(5)[i].values.to_numpy(), batch.column(6)[i].values.to_numpy()))
+                held.append((ids[i], sides[i], batch.column(5)[i].values.to_numpy()))
         for frame in done():
             yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
