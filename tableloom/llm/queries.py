@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, common, forest, language, mtree, pii, preferences, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, common, forest, language, mtree, pii, preferences, ranking, suffixes, toxicity, warc, winnow
 from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,26 @@ def op5_preference_pairs(spark, sf):
         "chosen_id", "rejected_id", "n_common", *(F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")),
         preferences.listed(F.col("chosen_mask")).alias("chosen_mask"), preferences.listed(F.col("rejected_mask")).alias("rejected_mask"),
     )
+
+
+#: The terms of a text, as the contract of the ranked search defines them.
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+     q AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+     asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY item_id, term),
+     total AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM d WHERE len(w) > 0),
+     tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY doc_id, n, term),
+     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+     hit AS (SELECT item_id, doc_id,
+                    times * CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll))) AS part
+             FROM asked JOIN tf USING (term) JOIN df USING (term), total),
+     score AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM hit GROUP BY item_id, doc_id HAVING sum(part) > 0),
+     ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM score)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+""")
+def op13_ranked_search(spark, sf):
+    """The twenty best documents of every benchmark item."""
+    return ranking.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 20).select("item_id", "rank", "doc_id", "score")
