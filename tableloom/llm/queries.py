@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, common, forest, language, mtree, pii, preferences, ranking, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, common, forest, language, mtree, phrases, pii, preferences, ranking, suffixes, toxicity, warc, winnow
 from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,27 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 def op13_ranked_search(spark, sf):
     """The twenty best documents of every benchmark item."""
     return ranking.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 20).select("item_id", "rank", "doc_id", "score")
+
+
+@query(r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     s AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     g AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+           FROM s, LATERAL (SELECT unnest(generate_series(1, 4)) AS m) x, LATERAL (SELECT unnest(generate_series(1, len(w) - m + 1)) AS i) y),
+     f AS (SELECT lang, m, phrase, count(*) AS n FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+     total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM s GROUP BY lang),
+     c AS (SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+     cut AS (SELECT c.lang, c.phrase, a, k, x.n AS l, y.n AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (x.n + y.n) AS BIGINT) AS score
+             FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM c) c
+             JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 :], ' ')),
+     worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     inside AS (SELECT c.lang, array_to_string(c.w[i : i + s - 1], ' ') AS phrase, max(a) AS b
+                FROM c, LATERAL (SELECT unnest(generate_series(2, m - 1)) AS s) x, LATERAL (SELECT unnest(generate_series(1, m - s + 1)) AS i) y GROUP BY 1, 2),
+     kept AS (SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase) WHERE b IS NULL OR 100 * CAST(b AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark, sf):
+    """The two thousand strongest phrases of every language."""
+    return phrases.collocations(table(spark, sf, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
