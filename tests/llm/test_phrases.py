@@ -75,5 +75,5 @@ def test_dense_and_sparse_tiles_count_alike(many):
 
 def test_a_full_sieve_changes_no_result(documents, monkeypatch):
     docs = [("x y z u v w " * 5, "en"), ("y z q", "de")] * 3
-    monkeypatch.setattr(phrases, "SIEVE_BITS", 1)
+    monkeypatch.setattr(phrases, "SIEVE_BITS", 3)
     assert found(documents, docs, least=4, top=20) == expected(docs, 4, 20)
