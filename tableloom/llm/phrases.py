@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import MIX, let_workers_import, mix64, span_hashes, text_bytes
-from tableloom.llm.segments import SEGMENT_BYTES, Tokens, gathered, lowered
+from tableloom.llm.segments import Tokens, gathered, lowered
 from tableloom.session import freeze
 
 LONGEST = 4
@@ -26,6 +26,12 @@ LEAST = 30
 #: Ids along a side of a tile, and the occurrences from which a tile is dense.
 TILE, DENSE = 512, 512 * 512 // 8
 
+#: Bytes of text in a segment.
+SEGMENT_BYTES = 4 << 20
+
+#: Rows passed on at once.
+ROWS = 20_000
+
 #: Bits of the sieve of frequent phrases of one length that every task gets: a fixed size.
 SIEVE_BITS = 22
 
@@ -67,11 +73,11 @@ class Symbols:
 
     def __init__(self, texts: pa.ChunkedArray, langs: pa.ChunkedArray):
         data, offsets = lowered(texts)
-        self.tokens = tokens = Tokens(data, offsets, WORD)
+        tokens = Tokens(data, offsets, WORD)
         piece = np.cumsum(BREAK[data], dtype=np.int32)[tokens.starts] if len(tokens.starts) else tokens.starts
         self.follows = (tokens.text[1:] == tokens.text[:-1]) & (piece[1:] == piece[:-1])
         coded = langs.combine_chunks().dictionary_encode()
-        self.langs = coded.dictionary
+        self.langs, self.dictionary = coded.dictionary, tokens.words
         lang = coded.indices.to_numpy().astype(np.int64)[tokens.text]
         many = max(len(tokens.words), 1)
         keys, self.at = _ranked(lang * many + tokens.ids)
@@ -103,7 +109,7 @@ class Symbols:
         self.words, self.lang, self.hashes = np.column_stack([self.words[a], self.words[b, -1]]), self.lang[a], _joined(self.hashes[a], self.hashes[b])
 
     def phrases(self, words: np.ndarray, lang: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        parts = [self.tokens.words.take(pa.array(words[:, j])) for j in range(words.shape[1])]
+        parts = [self.dictionary.take(pa.array(words[:, j])) for j in range(words.shape[1])]
         text = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
         return pa.RecordBatch.from_arrays([self.langs.take(pa.array(lang)), text, pa.array(n, pa.int64())], ["lang", "phrase", "n"])
 
@@ -144,7 +150,8 @@ def phrase_counts(docs: DataFrame, size: int, sieves: list[np.ndarray], segment_
             symbols = Symbols(table["text"], table["lang"])
             if size == 1:
                 n = np.bincount(symbols.at, minlength=len(symbols.lang))
-                yield symbols.phrases(symbols.words, symbols.lang, n)
+                for i in range(0, len(n), ROWS):
+                    yield symbols.phrases(symbols.words[i:i + ROWS], symbols.lang[i:i + ROWS], n[i:i + ROWS])
                 total = np.bincount(symbols.lang, n, minlength=len(symbols.langs)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([symbols.langs, pa.array([""] * len(total)), pa.array(total)], ["lang", "phrase", "n"])
                 continue
@@ -154,9 +161,9 @@ def phrase_counts(docs: DataFrame, size: int, sieves: list[np.ndarray], segment_
             symbols.sift(flags[-1])
             _, a, b = symbols.pairs()
             a, b, n = pair_counts(a, b)
-            for i in range(0, len(a), 100_000):
-                x, y = a[i:i + 100_000], b[i:i + 100_000]
-                yield symbols.phrases(np.column_stack([symbols.words[x], symbols.words[y, -1]]), symbols.lang[x], n[i:i + 100_000])
+            for i in range(0, len(a), ROWS):
+                x, y = a[i:i + ROWS], b[i:i + ROWS]
+                yield symbols.phrases(np.column_stack([symbols.words[x], symbols.words[y, -1]]), symbols.lang[x], n[i:i + ROWS])
 
     found = docs.select("text", "lang").mapInArrow(run, "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
