@@ -24,7 +24,7 @@ from tableloom.llm.common import let_workers_import, text_bytes
 from tableloom.llm.segments import Tokens, gathered, lowered
 from tableloom.session import freeze
 
-DEPTH = 4
+DEPTH = 5
 
 #: Stands before and after a text: no byte of UTF-8 has this value.
 EDGE = 0xFF
@@ -56,22 +56,23 @@ def runs_of_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return of, out
 
 
-def log_gamma_half(n: np.ndarray) -> np.ndarray:
-    """log of gamma(n + 1/2) / gamma(1/2), by Stirling's series beyond a shift of 8."""
-    x = n + 8.5
-    series = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+def _log_gamma(n: np.ndarray, start: float) -> np.ndarray:
+    """log of gamma(n + start), by Stirling's series beyond a shift of 8."""
+    x = n + start + 8
+    series = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7)
     for j in range(8):
-        series = series - np.log(n + 0.5 + j)
-    return series - 0.5 * np.log(np.pi)
+        series = series - np.log(n + start + j)
+    return series
+
+
+def log_gamma_half(n: np.ndarray) -> np.ndarray:
+    """log of gamma(n + 1/2) / gamma(1/2)."""
+    return _log_gamma(n, 0.5) - 0.5 * np.log(np.pi)
 
 
 def log_gamma_one(n: np.ndarray) -> np.ndarray:
     """log of gamma(n + 1)."""
-    x = n + 9.0
-    series = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
-    for j in range(8):
-        series = series - np.log(n + 1 + j)
-    return series
+    return _log_gamma(n, 1.0)
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, common, forest, language, mtree, phrases, pii, preferences, ranking, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, common, ctw, forest, language, mtree, phrases, pii, preferences, ranking, suffixes, toxicity, warc, winnow
 from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,11 @@ SELECT lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total U
 def op11_collocations(spark, sf):
     """The two thousand strongest phrases of every language."""
     return phrases.collocations(table(spark, sf, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query()
+def op12_context_trees(spark, sf):
+    """The log probability of every document, by models of the rows that are not held out."""
+    held = language.held_out("doc_id", 10, 0)
+    out = ctw.score(table(spark, sf, "documents"), ~held, keep=["doc_id"])
+    return out.select("row.doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
