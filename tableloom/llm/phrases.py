@@ -10,6 +10,8 @@ that from a sieve of fixed size; what passes it for nothing costs rows, never re
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,8 +31,8 @@ TILE, DENSE = 512, 512 * 512 // 8
 #: Bytes of text in a segment.
 SEGMENT_BYTES = 4 << 20
 
-#: Rows passed on at once.
-ROWS = 20_000
+#: Phrases passed on at once, and the parts they are dealt to by hash. A segment's phrases of one part travel as one row.
+PHRASES, PARTS = 200_000, 4_096
 
 #: Bits of the sieve of frequent phrases of one length that every task gets: a fixed size.
 SIEVE_BITS = 22
@@ -108,10 +110,20 @@ class Symbols:
         self.size += 1
         self.words, self.lang, self.hashes = np.column_stack([self.words[a], self.words[b, -1]]), self.lang[a], _joined(self.hashes[a], self.hashes[b])
 
-    def phrases(self, words: np.ndarray, lang: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        parts = [self.dictionary.take(pa.array(words[:, j])) for j in range(words.shape[1])]
-        text = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-        return pa.RecordBatch.from_arrays([self.langs.take(pa.array(lang)), text, pa.array(n, pa.int64())], ["lang", "phrase", "n"])
+    def batches(self, words: np.ndarray, lang: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``part, lang, phrases, n``: phrases of one part and language in a row, joined by line ends, which no phrase holds."""
+        part = (hashes >> np.uint64(44)).astype(np.int64) % PARTS * max(len(self.langs), 1) + lang
+        order = np.argsort(part, kind="stable")
+        for i in range(0, len(order), PHRASES):
+            some = order[i:i + PHRASES]
+            columns = [self.dictionary.take(pa.array(words[some, j])) for j in range(words.shape[1])]
+            text = pc.binary_join_element_wise(*columns, " ") if len(columns) > 1 else columns[0]
+            first = np.flatnonzero(np.diff(part[some], prepend=-1))
+            offsets = pa.array(np.append(first, len(some)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                pa.array((part[some[first]] // max(len(self.langs), 1)).astype(np.int32)), self.langs.take(pa.array(lang[some[first]])),
+                pc.binary_join(pa.ListArray.from_arrays(offsets, text), "\n"), pa.ListArray.from_arrays(offsets, pa.array(n[some], pa.int64())),
+            ], ["part", "lang", "phrases", "n"])
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,10 +162,9 @@ def phrase_counts(docs: DataFrame, size: int, sieves: list[np.ndarray], segment_
             symbols = Symbols(table["text"], table["lang"])
             if size == 1:
                 n = np.bincount(symbols.at, minlength=len(symbols.lang))
-                for i in range(0, len(n), ROWS):
-                    yield symbols.phrases(symbols.words[i:i + ROWS], symbols.lang[i:i + ROWS], n[i:i + ROWS])
-                total = np.bincount(symbols.lang, n, minlength=len(symbols.langs)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([symbols.langs, pa.array([""] * len(total)), pa.array(total)], ["lang", "phrase", "n"])
+                yield from symbols.batches(symbols.words, symbols.lang, symbols.hashes, n)
+                total = np.bincount(symbols.lang, n, len(symbols.langs)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(total), np.int32)), symbols.langs, pa.array([""] * len(total)), pa.array(total[:, None].tolist(), pa.list_(pa.int64()))], ["part", "lang", "phrases", "n"])
                 continue
             for sieve in flags[:-1]:
                 symbols.sift(sieve)
@@ -161,12 +172,12 @@ def phrase_counts(docs: DataFrame, size: int, sieves: list[np.ndarray], segment_
             symbols.sift(flags[-1])
             _, a, b = symbols.pairs()
             a, b, n = pair_counts(a, b)
-            for i in range(0, len(a), ROWS):
-                x, y = a[i:i + ROWS], b[i:i + ROWS]
-                yield symbols.phrases(np.column_stack([symbols.words[x], symbols.words[y, -1]]), symbols.lang[x], n[i:i + ROWS])
+            yield from symbols.batches(np.column_stack([symbols.words[a], symbols.words[b, -1]]), symbols.lang[a], _joined(symbols.hashes[a], symbols.hashes[b]), n)
 
-    found = docs.select("text", "lang").mapInArrow(run, "lang string, phrase string, n long")
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    found = docs.select("text", "lang").mapInArrow(run, "part int, lang string, phrases string, n array<long>").repartition("part")
+    # each part's rows are together now, so the sums need no other exchange
+    each = found.select("part", "lang", F.explode(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), "n")).alias("e")).select("part", "lang", "e.phrase", "e.n")
+    return each.groupBy("part", "lang", "phrase").agg(F.sum("n").alias("n")).drop("part")
 
 
 def phrase_sieve(frequent: DataFrame, size: int) -> np.ndarray:
