@@ -7,14 +7,14 @@ is deterministic.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.names import as_list, col, fresh_name, others, quoted, resolve, same_keys
+from tableloom.functions.names import as_columns, as_list, col, fresh_name, others, quoted, resolve, same_keys
 from tableloom.functions.timing import in_window, ntz, windows_between
 from tableloom.operators.guards import fail_if_repeated, reject_rows
 
@@ -79,27 +79,21 @@ def upsert_sequenced(
     return kept.unionByName(fail_if_repeated(winners, keys, within=batch) if guard else winners)
 
 
-def partition_values(rows: DataFrame, *partition: Column) -> list[tuple]:
-    """The distinct partition values of a batch: one small row per stored partition.
+def within_partitions(rows: DataFrame, touched: DataFrame, partition: Mapping[str, Column | str] | Sequence[str]) -> DataFrame:
+    """Rows in the listed partitions, however many there are. Null is a partition of its own.
 
-    The commit of a partitioned write lists the same partitions on the driver.
+    ``partition`` names the columns of ``touched`` and how ``rows`` computes them. Rows without a null in them are found by plain
+    equality, which lets Spark prune a partitioned scan by the list at run time. It does so for lists that pass a selective
+    filter only, hence a comparison that always holds. Rows with a null are few partitions, and compared null-safely.
     """
-    return [tuple(r) for r in rows.select(*[p.alias(f"p{i}") for i, p in enumerate(partition)]).distinct().collect()]
-
-
-def in_partitions(values: Sequence[tuple], *partition: Column) -> Column:
-    """A literal predicate for those partitions, which prunes a partitioned scan while it is planned."""
-    if len(partition) == 1:
-        known = [v for (v,) in values if v is not None]
-        cond = partition[0].isin(known) if known else F.lit(False)
-        return cond | partition[0].isNull() if len(known) < len(values) else cond
-    cond = F.lit(False)
-    for value in values:
-        term = F.lit(True)
-        for p, v in zip(partition, value):
-            term = term & p.eqNullSafe(F.lit(v))
-        cond = cond | term
-    return cond
+    exprs = as_columns(partition) if isinstance(partition, Mapping) else {p: col(p) for p in partition}
+    names = list(exprs)
+    any_null = reduce(lambda a, b: a | b, [e.isNull() for e in exprs.values()])
+    listed = [F.col(f"touched_{i}") for i in range(len(names))]
+    keys = touched.select(*[col(n).alias(f"touched_{i}") for i, n in enumerate(names)]).where(F.xxhash64(*listed) >= F.lit(-(2**63)))
+    plain = rows.where(~any_null).join(keys, all_of([e == k for e, k in zip(exprs.values(), listed)]), "left_semi")
+    nulls = rows.where(any_null).join(keys.where(reduce(lambda a, b: a | b, [k.isNull() for k in listed])), all_of([e.eqNullSafe(k) for e, k in zip(exprs.values(), listed)]), "left_semi")
+    return plain.unionByName(nulls)
 
 
 def latest_by_key(log: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str) -> DataFrame:

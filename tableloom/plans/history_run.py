@@ -28,7 +28,7 @@ from tableloom.operators.history import (
     source_violations,
     touched_keys,
 )
-from tableloom.plans.publish import Publisher, insert_partitions
+from tableloom.plans.publish import Publisher, StorageModelError
 
 RUN, CLOSED = "history_run", "history_closed"
 
@@ -51,10 +51,9 @@ def _publish(publisher: Publisher, table: str, columns: list[str], run: int) ->
 
 def _write_run(publisher: Publisher, table: str, rows: DataFrame, closed, run: int) -> None:
     versions = publisher.name(_versions_table(table))
-    publisher.spark.sql(f"ALTER TABLE {versions} DROP IF EXISTS PARTITION ({RUN} = {run})")
-    stored = publisher.spark.table(versions).columns
-    labelled = rows.withColumn(RUN, F.lit(run)).withColumn(CLOSED, closed)
-    insert_partitions(labelled.select(*[col(c) for c in stored]), versions)
+    # what a failed attempt at this run left; some catalogs only drop partitions that are named in full
+    publisher.spark.sql(f"ALTER TABLE {versions} DROP IF EXISTS PARTITION ({RUN} = {run}, {CLOSED} = true), PARTITION ({RUN} = {run}, {CLOSED} = false)")
+    publisher.insert(_versions_table(table), rows.withColumn(RUN, F.lit(run)).withColumn(CLOSED, closed))
 
 
 def run_history(
@@ -82,6 +81,8 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
     if not publisher.exists(table):
         if validate:
             raise_on_violations(source_violations(source, spec), "history source")
+        if publisher.property(_versions_table(table), "published"):
+            raise StorageModelError(f"{_versions_table(table)} holds a history whose view {table} is gone; restore the view, or drop the table to begin anew")
         first = initial_history(source, spec, run_ts)
         listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in first.schema)
         spark.sql(f"DROP TABLE IF EXISTS {versions}")
@@ -94,6 +95,8 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
         if before_publish is not None:
             before_publish()
         _publish(publisher, table, first.columns, 0)
+        # from here on the past must not be taken for what a failed first run left
+        spark.sql(f"ALTER TABLE {versions} SET TBLPROPERTIES ('published' = 'true')")
         return publisher.read(table)
 
     last = int(publisher.property(table, "history_run"))

@@ -189,6 +189,8 @@ def _run(
         span = windows[0][0], windows[-1][1]
         batch = batch.where(inc.in_window(col(config.event_time), *span))
 
+    if kind == "microbatch" and full_refresh:
+        _refuse_lost_windows(publisher, table, windows)
     props = {"table_model": kind, "unique_key": ",".join(config.keys), "sequence": config.sequence or "",
              "batch_size": config.batch_size or "", "partition_by": ",".join(config.partitions)}
     if config.merge_on_read:
@@ -228,8 +230,7 @@ def _run(
         if kind == "merge":
             assert_unique(staged, config.keys)
             if same_shape and _partition_merge(config, target):
-                partition = [col(p) for p in config.partitions]
-                touched = target.where(inc.in_partitions(inc.partition_values(staged, *partition), *partition))
+                touched = inc.within_partitions(target, staged.select(*[col(p) for p in config.partitions]).distinct(), config.partitions)
                 with _winners(publisher, table, touched, staged, config) as rows:
                     return publisher.overwrite_partitions(table, inc.upsert(touched, rows, config.keys, guard=False))
             with _winners(publisher, table, stored, staged, config) as rows:
@@ -299,19 +300,14 @@ def _overwritten(stored: DataFrame, batch: DataFrame, config: IncrementalConfig)
 def _overwrite(
     publisher: Publisher, table: str, target: DataFrame, batch: DataFrame, config: IncrementalConfig
 ) -> DataFrame:
-    """Replace stored partitions in place; partitions without a batch row are emptied only if named."""
+    """Replace stored partitions; partitions without a batch row are emptied only if named."""
     named = as_list(config.overwrite_partitions)
     if named == ["*"]:
         return publisher.overwrite_partitions(table, batch)
-    partition = col(config.partitions[0])
-    checked = inc.overwrite_partitions(target.limit(0), batch, partition, named)
-    with publisher.stage(table, checked) as staged:
-        written = {str(v) for (v,) in inc.partition_values(staged, partition)}
-        publisher.overwrite_partitions(table, staged)
-    for value in named:
-        if str(value) not in written:
-            publisher.drop_partition(table, **{config.partitions[0]: value})
-    return publisher.read(table)
+    (partition,) = config.partitions
+    checked = inc.overwrite_partitions(target.limit(0), batch, col(partition), named)
+    listed = publisher.spark.createDataFrame([(str(v),) for v in named], T.StructType([T.StructField(partition, T.StringType())]))
+    return publisher.overwrite_partitions(table, checked, listed)
 
 
 # -- microbatch -----------------------------------------------------------------------------
@@ -329,6 +325,17 @@ def _label_windows(df: DataFrame, config: IncrementalConfig) -> DataFrame:
     return df.withColumn(WINDOW_COLUMN, batch_id(start, "hour"))
 
 
+def _refuse_lost_windows(publisher: Publisher, table: str, windows: Sequence[tuple[datetime, datetime]]) -> None:
+    """A full refresh replaces the whole table, so its range must cover every stored window."""
+    if publisher.property(table, "table_model") != "microbatch":
+        return
+    first, last = _label(windows[0][0]), _label(windows[-1][0])
+    window = col(WINDOW_COLUMN)
+    outside = publisher.stored(table).where((window < first) | (window > last) | window.isNull()).select(window)
+    if not outside.isEmpty():
+        raise ConfigError(f"a full refresh of [{windows[0][0]}, {windows[-1][1]}) would drop the windows of {table} outside it")
+
+
 def _replace_windows(
     publisher: Publisher,
     table: str,
@@ -338,7 +345,7 @@ def _replace_windows(
     windows: Sequence[tuple[datetime, datetime]],
     props: dict[str, str],
 ) -> DataFrame:
-    """Replace stored windows. Only their partitions are written; those the batch has no rows for are emptied."""
+    """Replace stored windows in one step. Only their partitions are written; those the batch has no rows for are emptied."""
     target, labels = wide.drop(WINDOW_COLUMN), [_label(start) for start, _ in windows]
     aligned, batch = align(target, source, config.on_schema_change)
     batch = _label_windows(batch, config)
@@ -346,11 +353,5 @@ def _replace_windows(
         kept, batch = align(wide.where(~col(WINDOW_COLUMN).isin(labels)), batch, config.on_schema_change)
         return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN,
                                  properties=props, hidden=[WINDOW_COLUMN])
-    with publisher.stage(table, batch) as staged:
-        written = {label for (label,) in inc.partition_values(staged, col(WINDOW_COLUMN))}
-        if written:
-            publisher.overwrite_partitions(table, staged)
-    for label in labels:
-        if label not in written:
-            publisher.drop_partition(table, **{WINDOW_COLUMN: label})
-    return publisher.read(table)
+    listed = publisher.spark.createDataFrame([(label,) for label in labels], f"{WINDOW_COLUMN} string")
+    return publisher.overwrite_partitions(table, batch, listed)

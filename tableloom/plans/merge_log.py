@@ -16,7 +16,7 @@ from tableloom.functions.names import as_list, col, quoted, resolve
 from tableloom.operators.guards import assert_unique
 from tableloom.operators.layout import key_first
 from tableloom.operators.schema import SchemaChangeError, align, check_protected
-from tableloom.plans.publish import Publisher, insert_partitions
+from tableloom.plans.publish import Publisher
 
 BATCH = "batch_no"
 
@@ -83,11 +83,9 @@ def run_merge_log(
         _rebuild(publisher, table, current, keys, sequence)
         last = 0
     version, run = publisher.current_version(table), int(last) + 1
-    columns = publisher.spark.table(publisher.name(version)).columns
-    labelled = aligned.withColumn(BATCH, F.lit(run)).select(*[col(c) for c in columns])
     # A failed earlier attempt at this batch number was never visible and is replaced here.
     publisher.drop_partition(table, **{BATCH: run})
-    insert_partitions(labelled, publisher.name(version))
+    publisher.insert(version, aligned.withColumn(BATCH, F.lit(run)))
     try:
         assert_unique(publisher.stored(table).where(col(BATCH) == run), keys)
     except Exception:

@@ -4,6 +4,11 @@ A published name is a view over a managed table that is never changed by a rebui
 writes a new table and then repoints the view in one catalog operation. A failed build leaves the
 view, and with it the old rows, as they were. The version before the current one is kept until the
 next rebuild, so queries that started on it can finish.
+
+In partitioned versions each write stores its rows of each partition under a slot of their own, the first partition level. Replacing
+some partitions adds slots, and lists which slots are live in a small table; repointing the view at that list is the one
+step that changes what readers see. A failure before it leaves slots no view shows. Readers prune by their list at run time, so
+they never open other slots: those that only the version before the current one shows are kept for it, and dropped by the next write.
 """
 
 from __future__ import annotations
@@ -12,11 +17,12 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.names import as_list, col, quoted
+from tableloom.operators.incremental import anti_by_keys
 from tableloom.operators.schema import apply_contract
 
 Check = Callable[[DataFrame], None]
@@ -44,21 +50,21 @@ def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = N
     return df.hint("rebalance", *([partitions] if partitions else []), *[col(c) for c in columns])
 
 
-def insert_partitions(df: DataFrame, table: str, gather_by: Sequence[str] = ()) -> None:
-    """Dynamic partition overwrite. The mode must be a session setting for inserts into catalog tables.
+#: The hidden first partition level: a write's number and a digest of the partition's values.
+SLOT = "write_slot"
 
-    ``gather_by`` names the partition columns if the rows are spread over many partitions; for one or
-    two partitions another shuffle would gain nothing.
-    """
-    conf = df.sparkSession.conf
-    if gather_by:
-        df = rebalanced(df, gather_by)
-    before = conf.get("spark.sql.sources.partitionOverwriteMode")
-    conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        conf.set("spark.sql.sources.partitionOverwriteMode", before)
+#: Partitions dropped by one statement.
+DROPPED_AT_ONCE = 500
+
+
+def _slot(write: str, partition: Sequence[str]) -> Column:
+    # files know no difference between an empty text and null
+    values = F.to_json(F.array(*[F.nullif(col(p).cast("string"), F.lit("")) for p in partition]))
+    return F.concat(F.lit(f"{write}-"), F.substring(F.sha2(values, 256), 1, 32))
+
+
+def _spec(values: Mapping[str, str | None]) -> str:
+    return "PARTITION (" + ", ".join(f"{quoted(k)} = {'NULL' if v is None else _literal(v)}" for k, v in values.items()) + ")"
 
 
 class Publisher:
@@ -115,10 +121,12 @@ class Publisher:
         partition_by: Sequence[str] | str | None = None,
         bucket_by: tuple[int, Sequence[str] | str] | None = None,
         gather: bool = True,
+        slots: bool = False,
     ) -> str:
         """Write a new version that nobody reads yet and return its table name.
 
-        Rows are gathered by their partition or bucket first, unless ``gather`` is off.
+        Rows are gathered by their partition or bucket first, unless ``gather`` is off. A version with ``slots`` is one whose
+        partitions can be replaced one by one.
         """
         version = f"{table.lower()}__v_{uuid.uuid4().hex[:12]}"
         if not gather:
@@ -127,9 +135,14 @@ class Publisher:
             df = rebalanced(df, as_list(partition_by))
         elif bucket_by:
             df = rebalanced(df, as_list(bucket_by[1]), bucket_by[0])
+        levels = as_list(partition_by)
+        if slots:
+            if SLOT in (c.lower() for c in df.columns):
+                raise ValueError(f"the column name {SLOT} is taken by partitioned tables")
+            df, levels = df.withColumn(SLOT, _slot("0", levels)), [SLOT, *levels]
         writer = df.write.format("parquet").mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*as_list(partition_by))
+        if levels:
+            writer = writer.partitionBy(*levels)
         if bucket_by:
             buckets, columns = bucket_by
             columns = as_list(columns)
@@ -144,20 +157,27 @@ class Publisher:
         properties: Mapping[str, object] | None = None,
         hidden: Sequence[str] = (),
         select: str | None = None,
+        live: str | None = None,
     ) -> None:
         """Point the published name at a version, then drop versions older than the one just left.
 
         ``hidden`` columns serve the layout only and are not part of the published view. ``select``
-        is the view's query where it is more than the columns of the version.
+        is the view's query where it is more than the columns of the version. ``live`` is the table of the slots to
+        show, if they are not those the version was written with.
         """
         old = self.properties(table)
         before = old.get("version_table")
         if before == version:
             before = old.get("previous_table")
         if select is None:
-            shown = [c for c in self.spark.table(self.name(version)).columns if c not in hidden]
-            select = f"SELECT {', '.join(quoted(c) for c in shown)} FROM {self.name(version)}"
-        stored = {"version_table": version, "previous_table": before or "", **(properties or {})}
+            columns = self.spark.table(self.name(version)).columns
+            shown = ", ".join(f"v.{quoted(c)}" for c in columns if c not in (*hidden, SLOT))
+            select = f"SELECT {shown} FROM {self.name(version)} v"
+            if live:
+                select += f" LEFT SEMI JOIN {self.name(live)} l ON v.{SLOT} = l.{SLOT} AND l.live = 1"
+            elif SLOT in columns:
+                select += f" WHERE v.{SLOT} LIKE '0-%'"
+        stored = {"version_table": version, "previous_table": before or "", **(properties or {}), "live_table": live or "", "previous_live": old.get("live_table") or ""}
         props = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in stored.items())
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({props}) AS {select}"
@@ -167,10 +187,10 @@ class Publisher:
     def drop_stale(self, table: str) -> None:
         """Drop stages, and versions that are neither current nor the one before: leftovers of earlier runs."""
         now = self.properties(table)
-        keep = {now.get("version_table"), now.get("previous_table"), *self._staged}
+        keep = {*(now.get(k) for k in ("version_table", "previous_table", "live_table", "previous_live")), *self._staged}
         listed = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '{table}__*'").collect()
         for name in (row["tableName"] for row in listed):
-            if name.startswith((f"{table.lower()}__v_", f"{table.lower()}__stage_")) and name not in keep:
+            if name.startswith(tuple(f"{table.lower()}__{kind}_" for kind in ("v", "stage", "live"))) and name not in keep:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
 
     @contextmanager
@@ -203,10 +223,10 @@ class Publisher:
         """Build, check and publish. Any failure before the switch leaves the old rows published."""
         properties = {"table_model": "rebuild", **(properties or {})}
         self.require_model(table, str(properties["table_model"]), rebuild=properties["table_model"] in REBUILDABLE)
-        version = self.write_version(table, apply_contract(df, contract), partition_by, bucket_by)
+        version = self.write_version(table, apply_contract(df, contract), partition_by, bucket_by, slots=bool(partition_by))
         try:
             if check is not None:
-                check(self.spark.table(self.name(version)))
+                check(self.spark.table(self.name(version)).drop(SLOT))
             self.switch(table, version, properties, hidden)
         except Exception:
             if self.current_version(table) != version:
@@ -223,48 +243,120 @@ class Publisher:
         return version
 
     def stored(self, table: str) -> DataFrame:
-        """The current version with its layout columns."""
-        return self.spark.table(self.name(self._current(table)))
+        """The published rows of the current version with its layout columns."""
+        version, live = self._current(table), self.property(table, "live_table")
+        rows = self.spark.table(self.name(version))
+        if SLOT not in rows.columns:
+            return rows
+        if live:
+            rows = rows.join(self.spark.table(self.name(live)).where("live = 1").select(SLOT), SLOT, "left_semi")
+        else:
+            rows = rows.where(col(SLOT).startswith("0-"))
+        return rows.drop(SLOT)
 
     def partitions(self, version: str) -> list[str]:
-        """The partition columns of a stored table."""
+        """The partition columns of a stored table, without the slot."""
         described = [r["col_name"] for r in self.spark.sql(f"DESCRIBE TABLE {self.name(version)}").collect()]
         if "# Partition Information" not in described:
             return []
-        return [n for n in described[described.index("# Partition Information") + 1 :] if not n.startswith("#")]
+        return [n for n in described[described.index("# Partition Information") + 1 :] if not n.startswith("#") and n != SLOT]
+
+    def insert(self, version: str, rows: DataFrame, gather_by: Sequence[str] = ()) -> None:
+        """Add rows to a stored table, columns matched by name. A failing insert commits no file."""
+        rows = rows.select(*[col(c) for c in self.spark.table(self.name(version)).columns])
+        (rebalanced(rows, gather_by) if gather_by else rows).write.insertInto(self.name(version))
 
     def append(self, table: str, batch: DataFrame) -> DataFrame:
-        """Insert by name. A failing insert commits no file."""
+        """Insert by name. A failing insert changes nothing; into a partitioned table, neither does one that is cut short."""
         version = self._current(table)
-        batch = batch.select(*[col(c) for c in self.spark.table(self.name(version)).columns])
-        partitions = self.partitions(version)
-        (rebalanced(batch, partitions) if partitions else batch).write.insertInto(self.name(version))
+        if SLOT in self.spark.table(self.name(version)).columns:
+            return self._write_slots(table, version, batch, None, keep=True)
+        self.insert(version, batch, self.partitions(version))
         return self.read(table)
 
-    def overwrite_partitions(self, table: str, batch: DataFrame) -> DataFrame:
-        """Replace the stored partitions the batch has rows for, and no others.
+    def overwrite_partitions(
+        self, table: str, batch: DataFrame, named: DataFrame | None = None, before_publish: Callable[[], None] | None = None
+    ) -> DataFrame:
+        """Replace the stored partitions the batch has rows for, and those ``named``, which are emptied if it has none.
 
-        The version must be partitioned. Only the touched partitions are written, and files appear
-        when the job commits, so a failing job changes nothing. Running it again gives the same.
+        The version must be partitioned; ``named`` has its partition columns. All partitions change in one step, and a failure
+        before it changes nothing. Which partitions are touched stays a table: the driver sees none of them until, a write later,
+        they are dropped from the catalog. Running this again gives the same.
         """
         version = self._current(table)
-        columns = self.spark.table(self.name(version)).columns
-        insert_partitions(batch.select(*[col(c) for c in columns]), self.name(version), self.partitions(version))
+        if SLOT not in self.spark.table(self.name(version)).columns:
+            raise ValueError(f"{table} is not stored by partition")
+        return self._write_slots(table, version, batch, named, keep=False, before_publish=before_publish)
+
+    def _write_slots(self, table, version, batch, named, keep: bool, before_publish=None) -> DataFrame:
+        known, partitions = self.properties(table), self.partitions(version)
+        stored = self.spark.table(self.name(version))
+        write = self._begin_write(version, known, partitions)
+        self.insert(version, batch.withColumn(SLOT, _slot(write, partitions)), partitions)
+
+        entries = [col(SLOT), *[col(p) for p in partitions]]
+        new = stored.where(col(SLOT).startswith(f"{write}-")).select(*entries).distinct()  # no data column is read for this
+        live = self.spark.table(self.name(known["live_table"])).drop("live") if known.get("live_table") \
+            else stored.where(col(SLOT).startswith("0-")).select(*entries).distinct()
+        with self.stage(table, new) as new:
+            if not keep:
+                touched = new.select(*entries[1:])
+                if named is not None:
+                    # the table's types decide which values are the same
+                    touched = touched.unionByName(named.select(*[col(p).cast(stored.schema[p].dataType).alias(p) for p in partitions])).distinct()
+                live = anti_by_keys(live, touched, partitions)
+            listed = f"{table.lower()}__live_{uuid.uuid4().hex[:12]}"
+            live.unionByName(new).withColumn("live", F.lit(1)).write.format("parquet").saveAsTable(self.name(listed))
+        if before_publish is not None:
+            before_publish()
+        own = {k: v for k, v in known.items() if not k.startswith(("view.", "previous_", "version_", "live_"))}
+        shown = {c.lower() for c in self.read(table).columns}
+        self.switch(table, version, own, hidden=[c for c in stored.columns if c.lower() not in shown], live=listed)
         return self.read(table)
 
+    def _begin_write(self, version: str, known: Mapping[str, str], partitions: Sequence[str]) -> str:
+        """A number for this write, after the slots nobody needs any more are dropped.
+
+        Those are the slots that the version before the current one showed and the current one does not, and what a write
+        left that was never published.
+        """
+        marks = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(version)}").collect()}
+        last = int(marks.get("last_write", "0"))
+        specs = []
+        if known.get("live_table"):
+            current = self.spark.table(self.name(known["live_table"]))
+            if known.get("previous_live"):
+                before = self.spark.table(self.name(known["previous_live"])).drop("live")
+            else:
+                before = self.spark.table(self.name(version)).where(col(SLOT).startswith("0-")).select(*[col(c) for c in (SLOT, *partitions)]).distinct()
+            gone = before.join(current.select(SLOT), SLOT, "left_anti").select(col(SLOT), *[col(p).cast("string").alias(p) for p in partitions])
+            specs += [_spec(r.asDict()) for r in gone.collect()]  # entries of the catalog, of the partitions one write replaced
+        if last:
+            shown = col(SLOT).startswith(f"{last}-")
+            lost = self.spark.table(self.name(version)).where(shown).select(*[col(c) for c in (SLOT, *partitions)]).distinct()
+            if known.get("live_table"):
+                lost = lost.join(self.spark.table(self.name(known["live_table"])).select(SLOT), SLOT, "left_anti")
+            specs += [_spec(r.asDict()) for r in lost.select(col(SLOT), *[col(p).cast("string").alias(p) for p in partitions]).collect()]
+        for i in range(0, len(specs), DROPPED_AT_ONCE):
+            self.spark.sql(f"ALTER TABLE {self.name(version)} DROP IF EXISTS {', '.join(specs[i:i + DROPPED_AT_ONCE])}")
+        # a number is taken before anything is written under it, so no two writes share one
+        self.spark.sql(f"ALTER TABLE {self.name(version)} SET TBLPROPERTIES ('last_write' = '{last + 1}')")
+        return str(last + 1)
+
     def drop_partition(self, table: str, **spec: object) -> None:
         """Empty one stored partition."""
         version = self._current(table)
-        parts = ", ".join(f"{quoted(k)} = {'NULL' if v is None else _literal(v)}" for k, v in spec.items())
-        self.spark.sql(f"ALTER TABLE {self.name(version)} DROP IF EXISTS PARTITION ({parts})")
+        self.spark.sql(f"ALTER TABLE {self.name(version)} DROP IF EXISTS {_spec(spec)}")
 
     # -- views and copies -------------------------------------------------------------------
 
     def create_view(self, table: str, query: str, contract: T.StructType | None = None) -> DataFrame:
         """Create or replace a view from SQL text. The contract is checked first, so a bad model keeps the old view.
 
-        A published name becomes a view of its own, and its versions are dropped once it reads the new query.
+        A published name becomes a view of its own, and its versions are dropped once it reads the new query; histories and
+        stored aggregates, which cannot be computed again, are refused.
         """
+        self.require_model(table, "view", rebuild=True)
         df = apply_contract(self.spark.sql(query), contract)
         if contract is None:
             body = query

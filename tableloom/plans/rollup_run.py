@@ -9,8 +9,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 
-from tableloom.functions.names import as_columns, col
-from tableloom.operators.incremental import in_partitions, partition_values
+from tableloom.functions.names import col
+from tableloom.operators.incremental import within_partitions
 from tableloom.operators.rollup import (
     Model,
     empty_like,
@@ -119,19 +119,11 @@ def refresh_rollup(
 def rewrite_partitions(
     publisher: Publisher, table: str, base: DataFrame, model: Model, partition: Mapping[str, Column | str], stale: DataFrame
 ) -> DataFrame:
-    """Recompute the listed partitions from the base and store them; those left without rows are dropped.
+    """Recompute the listed partitions from the base and store them in one step; those left without rows go.
 
     Running this again gives the same result, so a run that was cut short can simply be repeated.
     """
-    names = list(partition)
-    values = partition_values(stale, *[col(n) for n in names])
-    if not values:
-        return publisher.read(table)
-    rows = model(base.where(in_partitions(values, *as_columns(partition).values())))
-    with publisher.stage(table, rows) as fresh:
-        written = set(partition_values(fresh, *[col(n) for n in names]))
-        publisher.overwrite_partitions(table, fresh)
-    for value in values:
-        if value not in written:
-            publisher.drop_partition(table, **dict(zip(names, value)))
-    return publisher.read(table)
+    with publisher.stage(table, stale.select(*[col(n) for n in partition]).distinct()) as listed:
+        if listed.isEmpty():
+            return publisher.read(table)
+        return publisher.overwrite_partitions(table, model(within_partitions(base, listed, partition)), listed)

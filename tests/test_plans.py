@@ -113,7 +113,7 @@ def test_hot_keys_give_whole_results(spark, pub):
         labelled = df.withColumn("p", F.when(F.col("k") == 7, "hot").otherwise(F.concat(F.lit("p"), F.col("k") % 5)))
         stored = pub.replace("hot", labelled, partition_by="p")
         assert stored.count() == n
-        assert pub.stored("hot").where("p = 'hot'").select(F.input_file_name()).distinct().count() > 1
+        assert pub.stored("hot").where("p = 'hot'").select(F.col("_metadata.file_path")).distinct().count() > 1
         assert pub.replace("buckets", df, bucket_by=(4, "k")).groupBy("k").count().where("k = 7").first()[1] == hot
         with pytest.raises(Exception, match="duplicate key in batch"):
             guards.require_unique(df, "k").count()

@@ -41,12 +41,12 @@ def test_deferred_build_is_empty_until_refreshed(pub, orders):
 
 def test_refresh_of_stale_partitions_only(spark, pub, orders):
     build_rollup(pub, "mv", orders, daily, BY_DAY)
-    file_of = {r.order_date: r.f for r in pub.stored("mv").select("order_date", F.input_file_name().alias("f")).collect()}
+    file_of = {r.order_date: r.f for r in pub.spark.table(pub.name(pub.current_version("mv"))).select("order_date", F.col("_metadata.file_path").alias("f")).collect()}
     changed = spark.createDataFrame([(1, date(2024, 7, 1), 100), (2, date(2024, 7, 1), 201), (5, date(2024, 7, 4), 7)], ORDERS)
     after = changed.union(orders.where("order_id = 3"))
     out = refresh_rollup(pub, "mv", after, daily, BY_DAY)
     assert rows(out.select("order_date", "sales")) == [(date(2024, 7, 1), 301), (date(2024, 7, 2), 50), (date(2024, 7, 4), 7)]
-    now = {r.order_date: r.f for r in pub.stored("mv").select("order_date", F.input_file_name().alias("f")).collect()}
+    now = {r.order_date: r.f for r in pub.spark.table(pub.name(pub.current_version("mv"))).select("order_date", F.col("_metadata.file_path").alias("f")).collect()}
     assert now[date(2024, 7, 2)] == file_of[date(2024, 7, 2)]
     gone = refresh_rollup(pub, "mv", after.where("order_id <> 5"), daily, BY_DAY)
     assert gone.count() == 2

@@ -189,3 +189,38 @@ def test_sources_may_have_the_names_of_helpers(spark, pub):
     assert history.where("part = 1").count() == 2 and "change_type" in history.columns
     run_history(pub, "h", first, spec, "2024-01-01 00:00:00")
     assert run_history(pub, "h", then, spec, "2024-02-01 00:00:00").count() == history.count()
+
+
+def test_a_view_takes_over_neither_histories_nor_aggregates(spark, pub):
+    from datetime import datetime
+
+    from tableloom.operators.history import HistorySpec
+    from tableloom.plans.history_run import run_history
+
+    spec = HistorySpec(keys="crate", check_cols=("weight",))
+    for day, weight in enumerate((10, 11, 12), start=1):
+        run_history(pub, "crates", spark.createDataFrame([(1, weight)], "crate int, weight int"), spec, datetime(2024, 5, day))
+    with pytest.raises(StorageModelError):
+        pub.create_view("crates", "SELECT 1 AS crate")
+    assert pub.read("crates").count() == 3
+    spark.sql(f"DROP VIEW {pub.name('crates')}")
+    with pytest.raises(StorageModelError, match="view crates is gone"):
+        run_history(pub, "crates", spark.createDataFrame([(1, 13)], "crate int, weight int"), spec, datetime(2024, 5, 9))
+    assert spark.table(pub.name("crates__versions")).count() > 3
+
+
+def test_a_failed_history_run_leaves_nothing_behind_for_the_next(spark, pub):
+    spec = HistorySpec(keys="crate", check_cols=("weight",))
+
+    def crates(*weights):
+        return spark.createDataFrame(list(enumerate(weights)), "crate int, weight int")
+
+    def killed():
+        raise RuntimeError("killed")
+
+    run_history(pub, "crates", crates(5, 6), spec, datetime(2024, 5, 1))
+    with pytest.raises(RuntimeError, match="killed"):
+        run_history(pub, "crates", crates(7, 6), spec, datetime(2024, 5, 2), before_publish=killed)
+    assert pub.read("crates").count() == 2
+    out = run_history(pub, "crates", crates(5, 9), spec, datetime(2024, 5, 2))
+    assert sorted((r.crate, r.weight, r.valid_to is None) for r in out.collect()) == [(0, 5, True), (1, 6, False), (1, 9, True)]
