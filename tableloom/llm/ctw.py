@@ -5,22 +5,25 @@ has a node for every beginning of a byte, with the counts of both choices. A nod
 mixed half and half with the product of its longer contexts' mixtures, up to the empty context: no depth is chosen, all of them vote, each
 with the weight that its code length on the training texts has earned.
 
-Texts are gathered into segments. Spark adds up the counts of the different runs of ``DEPTH + 1`` bytes, of all texts, and the mixtures are worked out
-from those: the trees under each context of two bytes in a task of their own, the two depths above, which have 255 * 257 nodes
-at most, on the driver. Every run then has one logarithm, which is joined back to the segments it stands in.
+Texts are gathered into segments. A segment's different runs of ``DEPTH + 1`` bytes, and its different words, are dealt to parts and travel there
+packed, a row for each part. A part adds up what all segments have of its runs and works out the trees under its contexts of two
+bytes; the two depths above, which have 255 * 257 nodes at most, are put together on the driver. Every run then has one logarithm, which a
+part sends back to the segments that asked for it, segment by segment as they stream past.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tableloom.llm.common import let_workers_import, text_bytes
+from tableloom.llm.common import MIX, let_workers_import, mix64, span_hashes, text_bytes
 from tableloom.llm.segments import Tokens, gathered, lowered
 from tableloom.session import freeze
 
@@ -32,6 +35,9 @@ EDGE = 0xFF
 #: Bytes of text in a segment, and in one numpy pass over a part of it.
 SEGMENT_BYTES, PASS_BYTES = 32 << 20, 2 << 20
 
+#: Parts that runs, and words, are dealt to.
+PARTS = 4_096
+
 WORD = np.ones(256, bool)
 WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
@@ -129,17 +135,20 @@ class Roots:
         return self.none.predict(bits, known, self.one.predict(bits, (runs >> 8 & 255) << 8 | known, longer))
 
 
-def fit_roots(counts: DataFrame) -> Roots:
-    """From ``run, n``: the trees under each two bytes are summed up in their tasks, 65,280 rows at most come to the driver."""
-
-    def run(table: pa.Table) -> pa.Table:
-        runs, n = table["run"].to_numpy(), table["n"].to_numpy()
-        parts = [levels(runs, n, bit, 2)[1][-1][0] for bit in range(8)]
-        whole = lambda name: np.concatenate([getattr(p, name) for p in parts])
-        return pa.table({"node": whole("keys") & 0xFFFF, "zeros": whole("zeros"), "ones": whole("ones"), "below": whole("mixed")})
+def fit_roots(sums: DataFrame) -> Roots:
+    """From a row of ``keys, n`` for each part: the trees under each two bytes are summed up in their tasks, 65,280 rows at most come to the driver."""
+    let_workers_import(sums.sparkSession)
 
-    under = counts.where("n > 0").groupBy(F.shiftright("run", 8).bitwiseAND(F.lit(0xFFFF)).alias("two"))
-    nodes = under.applyInArrow(run, "node long, zeros double, ones double, below double")
+    def run(batches):
+        for batch in batches:
+            for keys, n in zip(batch.column(0), batch.column(1)):
+                runs, n = np.frombuffer(keys.as_py(), "<i8"), np.frombuffer(n.as_py(), "<i8")
+                runs, n = runs[n > 0], n[n > 0]
+                for bit in range(8 if len(runs) else 0):
+                    level = levels(runs, n, bit, 2)[1][-1][0]
+                    yield pa.RecordBatch.from_arrays([pa.array(level.keys & 0xFFFF), pa.array(level.zeros), pa.array(level.ones), pa.array(level.mixed)], ["node", "zeros", "ones", "below"])
+
+    nodes = sums.select("keys", "n").mapInArrow(run, "node long, zeros double, ones double, below double")
     found = nodes.groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).toArrow()
     at = found["node"].to_numpy()
     arrays = []
@@ -149,22 +158,16 @@ def fit_roots(counts: DataFrame) -> Roots:
     return Roots(*(a.reshape(256, 256) for a in arrays))
 
 
-def log_probabilities(counts: DataFrame, roots: Roots) -> DataFrame:
-    """``run, value`` for each row of ``run, n``: the log10 of the run's last byte's probability after the bytes before it."""
-    sent = counts.sparkSession.sparkContext.broadcast(roots)
-
-    def run(table: pa.Table) -> pa.Table:
-        runs, n = table["run"].to_numpy(), table["n"].to_numpy()
-        total = np.zeros(len(runs))
-        for bit in range(8):
-            bits, nodes = levels(runs, n, bit, 2)
-            p = None
-            for level, at in nodes:
-                p = level.predict(bits, at, p)
-            total += np.log10(sent.value.predict(runs, bit, bits, p))
-        return pa.table({"run": runs, "value": total})
-
-    return counts.groupBy(F.shiftright("run", 8).bitwiseAND(F.lit(0xFFFF)).alias("two")).applyInArrow(run, "run long, value double")
+def log_probabilities(runs: np.ndarray, n: np.ndarray, roots: Roots) -> np.ndarray:
+    """The log10 of each run's last byte's probability after the bytes before it; all runs of their contexts of two bytes must be there."""
+    total = np.zeros(len(runs))
+    for bit in range(8):
+        bits, nodes = levels(runs, n, bit, 2)
+        p = None
+        for level, at in nodes:
+            p = level.predict(bits, at, p)
+        total += np.log10(roots.predict(runs, bit, bits, p))
+    return total
 
 
 def _packed_segments(df: DataFrame, text: str, trained: Column, keep: list[str]) -> DataFrame:
@@ -224,17 +227,39 @@ def _by_segment(batches):
                 yield int(segment[a]), batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False), batch.column(2).slice(a, b - a)
 
 
+def _dealt(keys: np.ndarray) -> np.ndarray:
+    """The part of each run, which that of all runs after the same two bytes is."""
+    return (mix64(keys >> 8 & 0xFFFF) >> np.uint64(40)).astype(np.int64) % PARTS
+
+
+PACKED = "part int, segment long, keys binary, n binary"
+
+
+def _packed(segment: int, part: np.ndarray, pack, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A segment's rows of keys sorted by part; ``pack`` gives the bytes of a range of keys."""
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)).tolist()
+    spans = list(zip(cuts, cuts[1:]))
+    n = n.astype("<i8")
+    for i in range(0, len(spans), 512):
+        some = spans[i:i + 512]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([int(part[a]) for a, _ in some], pa.int32()), pa.array([segment] * len(some), pa.int64()),
+            pa.array([pack(a, b) for a, b in some], pa.binary()), pa.array([n[a:b].tobytes() for a, b in some], pa.binary()),
+        ], ["part", "segment", "keys", "n"])
+
+
 def run_counts(parts: DataFrame) -> DataFrame:
-    """``segment, run, n``: a segment's different runs of bytes, with their occurrences in training texts, which may be none."""
+    """A segment's different runs of bytes, with their occurrences in training texts, which may be none: a row for each part."""
 
     def run(batches):
         sums, segment = _Sums(), None
 
         def out():
             sums.fold()
-            for i in range(0, len(sums.keys), 100_000):
-                keys = sums.keys[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), segment)), pa.array(keys), pa.array(sums.n[i:i + 100_000])], ["segment", "run", "n"])
+            part = _dealt(sums.keys)
+            order = np.argsort(part, kind="stable")
+            keys = sums.keys[order].astype("<i8")
+            yield from _packed(segment, part[order], lambda a, b: keys[a:b].tobytes(), sums.n[order])
 
         for number, trained, packed in _by_segment(batches):
             if number != segment and segment is not None:
@@ -250,19 +275,23 @@ def run_counts(parts: DataFrame) -> DataFrame:
         if segment is not None:
             yield from out()
 
-    return parts.select("segment", "trained", "packed").mapInArrow(run, "segment long, run long, n long")
+    return parts.select("segment", "trained", "packed").mapInArrow(run, PACKED)
 
 
 def word_counts(parts: DataFrame) -> DataFrame:
-    """``segment, word, n`` as `run_counts` for words, and for the end of a text."""
+    """As `run_counts` for words, joined by line ends, and for the end of a text."""
 
     def run(batches):
         held, segment, rows = [], None, 0
 
         def out():
-            summed = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")])
-            for batch in pa.table({"segment": np.full(len(summed), segment), "word": summed["word"], "n": summed["n_sum"]}).to_batches(100_000):
-                yield batch
+            summed = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).combine_chunks()
+            words = summed["word"].chunk(0)
+            data, offsets = text_bytes(words)
+            part = (span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(40)).astype(np.int64) % PARTS
+            order = np.argsort(part, kind="stable")
+            words = words.take(pa.array(order))
+            yield from _packed(segment, part[order], lambda a, b: "\n".join(words.slice(a, b - a).to_pylist()).encode(), summed["n_sum"].to_numpy()[order])
 
         for number, trained, packed in _by_segment(batches):
             if number != segment and segment is not None:
@@ -275,47 +304,151 @@ def word_counts(parts: DataFrame) -> DataFrame:
                 n = np.bincount(tokens.ids, used[tokens.text], len(tokens.words)).astype(np.int64)
                 held.append(pa.table({"word": pa.concat_arrays([tokens.words, pa.array([END])]), "n": np.append(n, int(used.sum()))}))
                 rows += len(n)
-                if rows > 1_000_000:
+                if rows > 500_000:
                     held = [pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks()]
                     rows = 0
         if segment is not None:
             yield from out()
 
-    return parts.select("segment", "trained", "packed").mapInArrow(run, "segment long, word string, n long")
+    return parts.select("segment", "trained", "packed").mapInArrow(run, PACKED)
+
+
+def _words(keys: bytes) -> list[str]:
+    return keys.decode().split("\n")
+
+
+def summed(packed: DataFrame, words: bool) -> DataFrame:
+    """``part, keys, n``: each part's different keys and their sums over all segments."""
+    let_workers_import(packed.sparkSession)
+
+    def run(batches):
+        part, sums, counts = None, _Sums(), {}
+
+        def out():
+            sums.fold()
+            keys = "\n".join(counts).encode() if words else sums.keys.astype("<i8").tobytes()
+            n = np.fromiter(counts.values(), "<i8", len(counts)) if words else sums.n.astype("<i8")
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([keys], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["part", "keys", "n"])
+
+        for batch in batches:
+            for own, keys, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if own != part and part is not None:
+                    yield from out()
+                    sums, counts = _Sums(), {}
+                part, n = own, np.frombuffer(n.as_py(), "<i8")
+                if words:
+                    for word, c in zip(_words(keys.as_py()), n.tolist()):
+                        counts[word] = counts.get(word, 0) + c
+                else:
+                    sums.add(np.frombuffer(keys.as_py(), "<i8"), n)
+        if part is not None:
+            yield from out()
+
+    return packed.select("part", "keys", "n").repartition("part").sortWithinPartitions("part").mapInArrow(run, "part int, keys binary, n binary")
+
+
+def answered(packed: DataFrame, sums: DataFrame, words: bool) -> DataFrame:
+    """``segment, is_word, keys, values``: what every segment asked for, from its part's sums or logarithms (``n``)."""
+    let_workers_import(packed.sparkSession)
+
+    def run(batches):
+        known: tuple | dict = {}
+        for batch in batches:
+            found = []
+            for segment, keys, n in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if segment is None:  # the part's own row, which comes first
+                    names, values = (_words(keys.as_py()) if words else np.frombuffer(keys.as_py(), "<i8")), np.frombuffer(n.as_py(), "<i8" if words else "<f8")
+                    known = dict(zip(names, values.tolist())) if words else (names, values)
+                    continue
+                asked = keys.as_py()
+                values = np.array([known[w] for w in _words(asked)], float) if words else known[1][np.searchsorted(known[0], np.frombuffer(asked, "<i8"))]
+                found.append((segment, asked, values.astype("<f8").tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([f[0] for f in found], pa.int64()), pa.array([words] * len(found)), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.binary()),
+            ], ["segment", "is_word", "keys", "values"])
+
+    rows = packed.select("part", "segment", "keys", F.lit(None).cast("binary").alias("n")).unionAll(sums.select("part", F.lit(None).cast("long").alias("segment"), "keys", "n"))
+    return rows.repartition("part").sortWithinPartitions("part", F.asc_nulls_first("segment")).mapInArrow(run, "segment long, is_word boolean, keys binary, values binary")
+
+
+class Lookup:
+    """Values by run: one probe of a table finds most, sorted arrays have the runs that share a place with another."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(int(4 * len(keys)).bit_length(), 4)
+        self.keys, self.values = keys, values
+        place = self._place(keys)
+        self.table = np.zeros(1 << self.bits, np.int32)
+        self.table[place] = np.arange(len(keys), dtype=np.int32)
+        rest = np.flatnonzero(self.table[place] != np.arange(len(keys)))
+        rest = rest[np.argsort(keys[rest])]
+        self.more, self.more_values = keys[rest], values[rest]
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * MIX >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.table[self._place(keys)]
+        out = self.values[at]
+        other = np.flatnonzero(self.keys[at] != keys)
+        if len(other):
+            out[other] = self.more_values[np.searchsorted(self.more, keys[other])]
+        return out
 
 
 def score_segments(parts: DataFrame, replies: DataFrame) -> DataFrame:
     """Each row with its numbers, from its segment's values of runs and counts of words."""
-    fields = [("n_tokens", LongType()), ("n_known", LongType()), ("log_counts", DoubleType()), ("score", DoubleType()), ("n_bytes", LongType()), ("new_words", LongType())]
+    fields = [("n_tokens", LongType()), ("n_known", LongType()), ("log_counts", DoubleType()), ("score", DoubleType()), ("n_bytes", LongType())]
     schema = StructType([parts.schema["trained"], parts.schema["row"], *(StructField(n, t) for n, t in fields)])
 
     def run(texts_of: pa.Table, replies: pa.Table) -> pa.Table:
-        is_run = pc.is_valid(replies["run"])
-        runs = replies.filter(is_run)
-        order = np.argsort(runs["run"].to_numpy(), kind="stable")
-        keys, values = runs["run"].to_numpy()[order], runs["value"].to_numpy()[order]
-        words = replies.filter(pc.invert(is_run))
-        names, counts = words["word"].combine_chunks(), words["n"].to_numpy()
+        of_words = replies["is_word"].combine_chunks()
+        values = lambda rows: np.concatenate([np.frombuffer(v.as_py(), "<f8") for v in rows["values"]])
+        runs = replies.filter(pc.invert(of_words))
+        value_of = Lookup(np.concatenate([np.frombuffer(k.as_py(), "<i8") for k in runs["keys"]]), values(runs))
+        words = replies.filter(of_words)
+        names = pa.concat_arrays([pc.split_pattern(pa.array([k.as_py().decode()]), "\n").flatten() for k in words["keys"]])
+        counts = values(words)
         logs = np.log10(counts + 0.1)
-        end = int(pc.index_in(pa.scalar(END), names).as_py())
+        end = int(pc.index(names, END).as_py())
         found = {n: np.zeros(len(texts_of), np.int64 if isinstance(t, LongType) else float) for n, t in fields}
         for start, texts in _passes(texts_of["packed"].combine_chunks()):
             stop = start + len(texts)
             of, own = runs_of_bytes(texts)
-            found["score"][start:stop] = np.bincount(of, values[np.searchsorted(keys, own)], len(texts))
+            found["score"][start:stop] = np.bincount(of, value_of(own), len(texts))
             found["n_bytes"][start:stop] = np.bincount(of, minlength=len(texts)) - 1
             tokens = Tokens(*lowered(texts), WORD)
             at = pc.index_in(tokens.words, value_set=names).to_numpy(zero_copy_only=False)[tokens.ids].astype(np.int64)
             found["n_tokens"][start:stop] = tokens.counts + 1
             found["n_known"][start:stop] = np.bincount(tokens.text, counts[at] > 0, len(texts)) + (counts[end] > 0)
             found["log_counts"][start:stop] = np.bincount(tokens.text, logs[at], len(texts)) + logs[end]
-        # the segment's words that are counted for the whole corpus here
-        found["new_words"][0] = int(pc.sum(words["new"]).as_py() or 0)
         return pa.table([texts_of["trained"], texts_of["row"], *(pa.array(a) for a in found.values())], names=[f.name for f in schema.fields])
 
     return parts.groupBy("segment").cogroup(replies.groupBy("segment")).applyInArrow(run, schema)
 
 
+def _with_logarithms(sums: DataFrame, roots: Roots) -> DataFrame:
+    sent = sums.sparkSession.sparkContext.broadcast(roots)
+
+    def run(batches):
+        for batch in batches:
+            for part, keys, n in zip(batch.column(0), batch.column(1), batch.column(2)):
+                values = log_probabilities(np.frombuffer(keys.as_py(), "<i8"), np.frombuffer(n.as_py(), "<i8"), sent.value)
+                yield pa.RecordBatch.from_arrays([pa.array([part.as_py()], pa.int32()), pa.array([keys.as_py()], pa.binary()), pa.array([values.astype("<f8").tobytes()], pa.binary())], ["part", "keys", "n"])
+
+    return sums.mapInArrow(run, "part int, keys binary, n binary")
+
+
+def _different(sums: DataFrame) -> DataFrame:
+    """``words``: how many of a part's keys were counted at all."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int((np.frombuffer(n.as_py(), "<i8") > 0).sum()) for n in batch.column(0)], pa.int64())], ["words"])
+
+    return sums.select("n").mapInArrow(run, "words long")
+
+
 def score(df: DataFrame, trained: Column, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Each row as ``row`` with ``score``, the log10 of its text's probability, ``bits_per_byte``, its code length for each byte, and a plain word model beside it.
 
@@ -326,15 +459,12 @@ def score(df: DataFrame, trained: Column, text: str = "text", keep: list[str] |
     """
     let_workers_import(df.sparkSession)
     parts = freeze(_packed_segments(df, text, trained, keep if keep is not None else df.columns), "segments")
-    runs = freeze(run_counts(parts), "runs")
-    counts = freeze(runs.groupBy("run").agg(F.sum("n").alias("n")), "run_counts")
-    values = log_probabilities(counts, fit_roots(counts))
-    by_word = Window.partitionBy("word")
-    words = word_counts(parts).withColumn("c", F.sum("n").over(by_word)).withColumn("nth", F.row_number().over(by_word.orderBy("segment")))
-    replies = runs.select("segment", "run").join(values, "run").select("segment", "run", "value", F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("int").alias("new"))
-    replies = replies.unionAll(words.select("segment", F.lit(None).cast("long").alias("run"), F.lit(None).cast("double").alias("value"), "word", F.col("c").alias("n"), ((F.col("nth") == 1) & (F.col("c") > 0)).cast("int").alias("new")))
+    runs, words = freeze(run_counts(parts), "runs"), freeze(word_counts(parts), "words")
+    run_sums, word_sums = freeze(summed(runs, False), "run_sums"), freeze(summed(words, True), "word_sums")
+    replies = answered(runs, _with_logarithms(run_sums, fit_roots(run_sums)), False).unionAll(answered(words, word_sums, True))
     scored = freeze(score_segments(parts, replies), "scored")
-    total, different = scored.agg(F.coalesce(F.sum(F.when(F.col("trained"), F.col("n_tokens"))), F.lit(0)), F.coalesce(F.sum("new_words"), F.lit(0))).first()
+    total = scored.agg(F.coalesce(F.sum(F.when(F.col("trained"), F.col("n_tokens"))), F.lit(0))).first()[0]
+    different = _different(word_sums).agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     return scored.select(
         "row", "trained", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         (F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(total + 0.1 * (different + 1)))).alias("base_score"), "score",

@@ -95,17 +95,28 @@ def test_scores_are_those_of_the_definition(documents, monkeypatch, small):
 def test_probabilities_of_all_next_bytes_add_up_to_one(spark):
     """Of any context, seen or not, the 256 next bytes share one probability."""
     rng = np.random.default_rng(2)
+    number = lambda values: int.from_bytes(bytes(int(v) for v in values), "big")
     seen = rng.integers(97, 100, (300, ctw.DEPTH + 1))
     asked = [list(seen[0][:ctw.DEPTH]), [97, 97, 98, 99, 97], [1, 2, 3, 4, 97], [250, 251, 252, 253, 254]]
-    rows = Counter(int.from_bytes(bytes(r.tolist()), "big") for r in seen)
+    rows = Counter(number(r) for r in seen)
     for context in asked:
         for byte in range(256):
-            rows.setdefault(int.from_bytes(bytes([int(c) for c in context] + [byte]), "big"), 0)
-    counts = spark.createDataFrame(list(rows.items()), "run long, n long")
-    values = {r.run: r.value for r in ctw.log_probabilities(counts, ctw.fit_roots(counts)).collect()}
+            rows.setdefault(number([*context, byte]), 0)
+    runs = np.array(sorted(rows))
+    counts = np.array([rows[r] for r in runs.tolist()])
+    part = ctw._dealt(runs)
+    sums = spark.createDataFrame([(int(p), runs[part == p].astype("<i8").tobytes(), counts[part == p].astype("<i8").tobytes()) for p in set(part.tolist())], "part int, keys binary, n binary")
+    values = dict(zip(runs.tolist(), ctw.log_probabilities(runs, counts, ctw.fit_roots(sums))))
     for context in asked:
-        own = [values[int.from_bytes(bytes([int(c) for c in context] + [byte]), "big")] for byte in range(256)]
-        assert sum(10**v for v in own) == pytest.approx(1)
+        assert sum(10 ** values[number([*context, byte])] for byte in range(256)) == pytest.approx(1)
+
+
+def test_lookup_finds_every_run():
+    keys = np.unique(np.random.default_rng(4).integers(0, 1 << 48, 50_000))
+    values = keys * 0.5
+    lookup = ctw.Lookup(keys, values)
+    assert 0 < len(lookup.more) < len(keys) // 4
+    assert (lookup(keys[::-1]) == values[::-1]).all()
 
 
 def test_log_gamma():
