@@ -23,9 +23,9 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def as_columns(named: Mapping[str, Column | str]) -> dict[str, Column]:
-    """Named expressions, of which text ones are SQL."""
-    return {n: F.expr(e) if isinstance(e, str) else e for n, e in named.items()}
+def as_columns(named: Mapping[str, object]) -> dict[str, Column]:
+    """Named expressions: columns, SQL text, or what has an ``expr`` of its own."""
+    return {n: F.expr(e) if isinstance(e, str) else getattr(e, "expr", e) if not isinstance(e, Column) else e for n, e in named.items()}
 
 
 def fresh_name(taken: Iterable[str], stem: str) -> str:

@@ -2,18 +2,50 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableloom.functions.names import col
+
 NTZ = "timestamp_ntz"
 
 # The batch sizes. Batch ids read 20240110T07, 20240110, 202401 and 2024.
 BATCH_SIZES = ("hour", "day", "month", "year")
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """The year, or the first day of the month, or the day of a date or time column: a partition whose values are ranges of the column."""
+
+    column: str
+    unit: str
+
+    def __post_init__(self):
+        if self.unit not in ("day", "month", "year"):
+            raise ValueError(f"calendar partitions are days, months or years, not {self.unit!r}")
+
+    @property
+    def expr(self) -> Column:
+        if self.unit == "year":
+            return F.year(col(self.column))
+        day = col(self.column).cast("date")
+        return day if self.unit == "day" else F.trunc(day, self.unit)
+
+    def within(self, least: int | date, greatest: int | date, kind: T.DataType) -> Column:
+        """A comparison of the bare column, which reaches a file's statistics, that holds for all rows of these partitions and those between them."""
+        first, last = (datetime(v, 1, 1) if self.unit == "year" else datetime(v.year, v.month, v.day) for v in (least, greatest))
+        stop = next_window(last, self.unit) if (last.year, last.month) < (9999, 12) and (self.unit != "year" or last.year < 9999) else None
+        # the session decides which day an instant lies on, so instants get a day on both sides
+        slack = timedelta(days=1 if isinstance(kind, T.TimestampType) else 0)
+        bound = (lambda v: F.lit(v.date())) if isinstance(kind, T.DateType) else (lambda v: bound_for(v, kind))
+        lower = col(self.column) >= bound(first - slack if first.year > 1 else first)
+        return lower if stop is None else lower & (col(self.column) < bound(stop + slack))
+
+
 def check_unit(unit: str) -> str:
     unit = unit.lower()
     if unit not in BATCH_SIZES:

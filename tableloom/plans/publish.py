@@ -275,20 +275,21 @@ class Publisher:
         return self.read(table)
 
     def overwrite_partitions(
-        self, table: str, batch: DataFrame, named: DataFrame | None = None, before_publish: Callable[[], None] | None = None
+        self, table: str, batch: DataFrame, named: DataFrame | None = None, before_publish: Callable[[], None] | None = None,
+        properties: Mapping[str, object] | None = None,
     ) -> DataFrame:
         """Replace the stored partitions the batch has rows for, and those ``named``, which are emptied if it has none.
 
-        The version must be partitioned; ``named`` has its partition columns. All partitions change in one step, and a failure
-        before it changes nothing. Which partitions are touched stays a table: the driver sees none of them until, a write later,
+        The version must be partitioned; ``named`` has its partition columns. All partitions change in one step, the
+        ``properties`` with them, and a failure before it changes nothing. Which partitions are touched stays a table: the driver sees none of them until, a write later,
         they are dropped from the catalog. Running this again gives the same.
         """
         version = self._current(table)
         if SLOT not in self.spark.table(self.name(version)).columns:
             raise ValueError(f"{table} is not stored by partition")
-        return self._write_slots(table, version, batch, named, keep=False, before_publish=before_publish)
+        return self._write_slots(table, version, batch, named, keep=False, before_publish=before_publish, properties=properties)
 
-    def _write_slots(self, table, version, batch, named, keep: bool, before_publish=None) -> DataFrame:
+    def _write_slots(self, table, version, batch, named, keep: bool, before_publish=None, properties=None) -> DataFrame:
         known, partitions = self.properties(table), self.partitions(version)
         stored = self.spark.table(self.name(version))
         write = self._begin_write(version, known, partitions)
@@ -311,7 +312,7 @@ class Publisher:
             before_publish()
         own = {k: v for k, v in known.items() if not k.startswith(("view.", "previous_", "version_", "live_"))}
         shown = {c.lower() for c in self.read(table).columns}
-        self.switch(table, version, own, hidden=[c for c in stored.columns if c.lower() not in shown], live=listed)
+        self.switch(table, version, {**own, **(properties or {})}, hidden=[c for c in stored.columns if c.lower() not in shown], live=listed)
         return self.read(table)
 
     def _begin_write(self, version: str, known: Mapping[str, str], partitions: Sequence[str]) -> str:

@@ -72,16 +72,16 @@ def test_fingerprints_see_multiplicity(spark):
     assert rollup.stale_partitions(fa, rollup.fingerprints(a.repartition(3), part), "p").count() == 0
 
 
-def test_file_fingerprints(spark):
+def test_changed_files_name_their_partitions(spark):
     path = scratch_path(spark, "files")
+    part = {"p": F.col("p")}
     spark.createDataFrame([(1, 1), (2, 2)], "p int, v int").write.partitionBy("p").parquet(path)
-    before = rollup.file_fingerprints(spark.read.parquet(path), {"p": F.col("p")}).collect()
-    again = rollup.file_fingerprints(spark.read.parquet(path), {"p": F.col("p")}).collect()
-    assert sorted(map(tuple, before)) == sorted(map(tuple, again))
+    before = spark.createDataFrame(rollup.file_partitions(spark.read.parquet(path), part).collect())
+    new, gone = rollup.changed_files(before, spark.read.parquet(path), part)
+    assert new.isEmpty() and gone.isEmpty()
     spark.createDataFrame([(2, 3)], "p int, v int").write.mode("append").partitionBy("p").parquet(path)
-    old = spark.createDataFrame(before)
-    stale = rollup.stale_partitions(old, rollup.file_fingerprints(spark.read.parquet(path), {"p": F.col("p")}), "p")
-    assert rows(stale) == [(2,)]
+    new, gone = rollup.changed_files(before, spark.read.parquet(path), part)
+    assert rows(new.select("p")) == [(2,)] and gone.isEmpty()
 
 
 def test_pure_partition_refresh(spark, orders):
