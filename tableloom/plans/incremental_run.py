@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tableloom.functions.names import as_list, col
 from tableloom.functions.timing import (
-    batch_id, check_unit, floor_to, naive_utc, next_window, window_start, windows_between,
+    BATCH_SIZES, NTZ, add_interval, batch_id, check_unit, floor_to, naive_utc, next_window, ntz, window_start, windows_between,
 )
 from tableloom.operators import incremental as inc
 from tableloom.operators.guards import assert_unique
@@ -22,6 +22,7 @@ from tableloom.operators.layout import key_first
 from tableloom.operators.schema import (
     POLICIES, SchemaChangeError, align, apply_contract, check_protected, conform, declared_widths, string_width_plan,
 )
+from tableloom.operators.windows import require_exact, resolve_partitions
 from tableloom.plans.merge_log import run_merge_log
 from tableloom.plans.publish import Publisher
 
@@ -114,6 +115,12 @@ class IncrementalConfig:
 Model = Callable[[], DataFrame]
 
 
+def stored_properties(config: IncrementalConfig) -> dict[str, str]:
+    """What a table remembers of the runs that store it."""
+    return {"table_model": config.effective, "unique_key": ",".join(config.keys), "sequence": config.sequence or "",
+            "batch_size": config.batch_size or "", "partition_by": ",".join(config.partitions)}
+
+
 def _partition_merge(config: IncrementalConfig, target: DataFrame) -> bool:
     """Whether a merge can be confined to the partitions its batch touches.
 
@@ -191,8 +198,7 @@ def _run(
 
     if kind == "microbatch" and full_refresh:
         _refuse_lost_windows(publisher, table, windows)
-    props = {"table_model": kind, "unique_key": ",".join(config.keys), "sequence": config.sequence or "",
-             "batch_size": config.batch_size or "", "partition_by": ",".join(config.partitions)}
+    props = stored_properties(config)
     if config.merge_on_read:
         return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh)
     first = full_refresh or publisher.current_version(table) is None
@@ -204,7 +210,7 @@ def _run(
                 check=lambda written: assert_unique(written, config.keys),
             )
         if kind == "microbatch":
-            return publisher.replace(table, _label_windows(batch, config), partition_by=WINDOW_COLUMN,
+            return publisher.replace(table, label_windows(batch, config), partition_by=WINDOW_COLUMN,
                                      properties=props, hidden=[WINDOW_COLUMN])
         return publisher.replace(table, batch, partition_by=config.partitions, bucket_by=config.bucket_by, properties=props)
 
@@ -276,6 +282,8 @@ def _check_target(publisher: Publisher, table: str, config: IncrementalConfig) -
         ("batch_size", config.batch_size or ""),
         ("partition_by", ",".join(config.partitions)),
     ):
+        if name == "batch_size" and config.effective == "microbatch":
+            continue  # windows are held against the stored ones each by itself
         stored = properties.get(name)
         if stored is None and config.effective not in ("merge", "microbatch"):
             continue
@@ -315,24 +323,48 @@ def _overwrite(
 WINDOW_COLUMN = "event_window"
 
 
-def _label(start: datetime) -> str:
-    return start.strftime("%Y%m%dT%H")
+def _labels(windows: Sequence[tuple[datetime, datetime]], unit: str) -> list[str]:
+    return [f"{start.strftime('%Y%m%dT%H')}-{unit}" for start, _ in windows]
+
+
+def window_label(ts: Column, unit: str) -> Column:
+    return F.concat(batch_id(window_start(ts, unit), "hour"), F.lit(f"-{unit}"))
+
+
+def label_windows(df: DataFrame, config: IncrementalConfig) -> DataFrame:
+    """Rows with the start and the size of their window as text, which is what they are stored by."""
+    return df.withColumn(WINDOW_COLUMN, window_label(col(config.event_time), check_unit(config.batch_size)))
+
+
+def stored_windows(publisher: Publisher, table: str) -> DataFrame:
+    """The windows a microbatch table has rows of: ``partition_name, lower, upper``."""
+    name = F.col("partition_name")
+    entries = publisher.entries(table).select(col(WINDOW_COLUMN).alias("partition_name"))
+    digits, unit = F.substring(name, 1, 8), F.substring_index(name, "-", -1)
+    lower = F.to_date(digits, "yyyyMMdd").cast(NTZ) + F.make_dt_interval(hours=F.substring(name, 10, 2).cast("int"))
+    upper = F.lit(None).cast(NTZ)
+    for size in BATCH_SIZES:
+        upper = F.when(unit == size, add_interval(F.col("lower"), 1, size).cast(NTZ)).otherwise(upper)
+    return entries.withColumn("lower", lower).withColumn("upper", upper)
 
 
-def _label_windows(df: DataFrame, config: IncrementalConfig) -> DataFrame:
-    """Rows with the start of their window as text, which is what they are stored by."""
-    start = window_start(col(config.event_time), config.batch_size)
-    return df.withColumn(WINDOW_COLUMN, batch_id(start, "hour"))
+def _require_windows(publisher: Publisher, table: str, windows: Sequence[tuple[datetime, datetime]], unit: str) -> None:
+    """Each window of a run must be a stored one, or meet none: one that shares rows with a window of another size would lose or repeat them."""
+    wanted = publisher.spark.createDataFrame(list(windows), f"window_start {NTZ}, window_end {NTZ}")
+    try:
+        require_exact(resolve_partitions(wanted, stored_windows(publisher, table), unit), allow_missing=True).count()
+    except Exception as error:
+        if "no exact partition" not in str(error):
+            raise
+        raise ConfigError(f"{table} stores windows of another batch_size where the run would write; rebuild them first: {str(error).splitlines()[0]}") from error
 
 
 def _refuse_lost_windows(publisher: Publisher, table: str, windows: Sequence[tuple[datetime, datetime]]) -> None:
     """A full refresh replaces the whole table, so its range must cover every stored window."""
     if publisher.property(table, "table_model") != "microbatch":
         return
-    first, last = _label(windows[0][0]), _label(windows[-1][0])
-    window = col(WINDOW_COLUMN)
-    outside = publisher.stored(table).where((window < first) | (window > last) | window.isNull()).select(window)
-    if not outside.isEmpty():
+    outside = (F.col("lower") < ntz(windows[0][0])) | (F.col("upper") > ntz(windows[-1][1])) | F.col("lower").isNull()
+    if not stored_windows(publisher, table).where(outside).isEmpty():
         raise ConfigError(f"a full refresh of [{windows[0][0]}, {windows[-1][1]}) would drop the windows of {table} outside it")
 
 
@@ -346,9 +378,10 @@ def _replace_windows(
     props: dict[str, str],
 ) -> DataFrame:
     """Replace stored windows in one step. Only their partitions are written; those the batch has no rows for are emptied."""
-    target, labels = wide.drop(WINDOW_COLUMN), [_label(start) for start, _ in windows]
+    _require_windows(publisher, table, windows, check_unit(config.batch_size))
+    target, labels = wide.drop(WINDOW_COLUMN), _labels(windows, check_unit(config.batch_size))
     aligned, batch = align(target, source, config.on_schema_change)
-    batch = _label_windows(batch, config)
+    batch = label_windows(batch, config)
     if aligned.schema != target.schema or wide.schema != publisher.stored(table).schema:
         kept, batch = align(wide.where(~col(WINDOW_COLUMN).isin(labels)), batch, config.on_schema_change)
         return publisher.replace(table, kept.unionByName(batch), partition_by=WINDOW_COLUMN,

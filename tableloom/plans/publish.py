@@ -261,6 +261,14 @@ class Publisher:
             return []
         return [n for n in described[described.index("# Partition Information") + 1 :] if not n.startswith("#") and n != SLOT]
 
+    def entries(self, table: str) -> DataFrame:
+        """The published partitions of a table that is stored by partition: a row of their values for each. No data column is read."""
+        version, live = self._current(table), self.property(table, "live_table")
+        partitions = [col(p) for p in self.partitions(version)]
+        if live:
+            return self.spark.table(self.name(live)).select(*partitions).distinct()
+        return self.spark.table(self.name(version)).where(col(SLOT).startswith("0-")).select(*partitions).distinct()
+
     def insert(self, version: str, rows: DataFrame, gather_by: Sequence[str] = ()) -> None:
         """Add rows to a stored table, columns matched by name. A failing insert commits no file."""
         rows = rows.select(*[col(c) for c in self.spark.table(self.name(version)).columns])

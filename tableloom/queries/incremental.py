@@ -184,16 +184,20 @@ parts AS (
   UNION ALL
   SELECT DISTINCT 'w' || strftime(date_trunc('week', d), '%Y%m%d'), date_trunc('week', d)::TIMESTAMP,
          date_trunc('week', d)::TIMESTAMP + INTERVAL 7 DAY
-  FROM days WHERE d >= TIMESTAMP '2024-01-11' AND d < TIMESTAMP '2024-01-22'),
+  FROM days WHERE d >= TIMESTAMP '2024-01-11' AND d < TIMESTAMP '2024-01-22'
+  UNION ALL SELECT 'future', TIMESTAMP '2024-01-28', TIMESTAMP '9999-01-01'
+  UNION ALL SELECT 'turned', TIMESTAMP '2024-01-25', TIMESTAMP '2024-01-23'
+  UNION ALL SELECT 'unknown', TIMESTAMP '2024-01-24', NULL),
 counted AS (
   SELECT w.window_start, w.window_end,
          (SELECT count(*) FROM parts p WHERE p.lower = w.window_start AND p.upper = w.window_end) AS exact_count,
-         (SELECT count(*) FROM parts p WHERE p.lower < w.window_end AND p.upper > w.window_start) AS touching,
+         (SELECT count(*) FROM parts p WHERE p.lower < w.window_end AND p.upper > w.window_start AND p.lower < p.upper) AS touching,
          (SELECT min(partition_name) FROM parts p WHERE p.lower = w.window_start AND p.upper = w.window_end) AS nm
   FROM windows w)
 SELECT window_start, window_end,
        CASE WHEN exact_count = 1 THEN 'exact' WHEN exact_count > 1 THEN 'ambiguous'
-            WHEN touching > 0 THEN 'overlap' ELSE 'missing' END AS status,
+            WHEN touching > 0 THEN 'overlap'
+            WHEN (SELECT count(*) FROM parts p WHERE NOT coalesce(p.lower < p.upper, false)) > 0 THEN 'unparsable' ELSE 'missing' END AS status,
        CASE WHEN exact_count = 1 THEN nm END AS partition_name,
        exact_count, touching - exact_count AS overlap_count
 FROM counted""")
@@ -207,7 +211,11 @@ def microbatch_partition_resolve(spark, sf):
     weekly = days.where((F.col("d") >= ntz("2024-01-11")) & (F.col("d") < ntz("2024-01-22"))).select(
         F.concat(F.lit("w"), batch_id(week, "day")).alias("partition_name"),
         week.alias("lower"), (week + F.expr("INTERVAL 7 DAY")).alias("upper")).distinct()
-    return windows.resolve_partitions(wanted, daily.unionByName(weekly), "day")
+    # an open-ended range, one the wrong way round, and one without an end
+    special = spark.createDataFrame(
+        [("future", datetime(2024, 1, 28), datetime(9999, 1, 1)), ("turned", datetime(2024, 1, 25), datetime(2024, 1, 23)), ("unknown", datetime(2024, 1, 24), None)],
+        f"partition_name string, lower {NTZ}, upper {NTZ}")
+    return windows.resolve_partitions(wanted, daily.unionByName(weekly).unionByName(special), "day")
 
 
 @query(f"{ORDERS} SELECT * FROM loaded UNION ALL SELECT * FROM arriving WHERE o_totalprice >= 100000")

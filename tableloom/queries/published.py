@@ -16,6 +16,8 @@ from tableloom.queries.inputs import (
     ORDERS, ORDERS_MERGED, T0, T1, customers_t0, customers_t1, orders_arriving, orders_loaded, publisher, table,
 )
 from tableloom.queries.registry import query
+from tableloom.session import scratch_path
+from tableloom.streaming.microbatch import replace_windows_on_commit
 
 
 @query("SELECT * FROM orders")
@@ -120,6 +122,19 @@ def microbatch_stored_windows(spark, sf):
     return run_incremental(pub, "orders", lambda: settled, config, window=window)
 
 
+@query("SELECT * FROM events")
+def microbatch_on_commit(spark, sf):
+    """Two commits of event files, the second with events of days the first had; each run replaces the days it has events of."""
+    pub, base, checkpoint = publisher(spark), scratch_path(spark, "events"), scratch_path(spark, "offsets")
+    config = IncrementalConfig(strategy="microbatch", event_time="ts", batch_size="day")
+    events = table(spark, sf, "events")
+    late = F.pmod(F.hash("event_id"), F.lit(3)) == 0
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(base)
+        replace_windows_on_commit(pub, "events", base, events.schema, config, checkpoint, lookback=1).awaitTermination()
+    return pub.read("events")
+
+
 @query(scd_sql("invalidate", "s.c_mktsegment <> h.c_mktsegment OR s.c_nationkey <> h.c_nationkey"))
 def snapshot_stored(spark, sf):
     """Two runs through the stored history; past versions are not rewritten."""

@@ -365,3 +365,37 @@ def test_a_backfill_that_replaces_all_must_cover_what_is_stored(pub, spark):
         run_backfill(pub, "seen", lambda: events, config, datetime(2024, 3, 2), datetime(2024, 3, 3), full_refresh=True)
     assert pub.read("seen").count() == 5
     assert run_backfill(pub, "seen", lambda: events.where("id < 5"), config, datetime(2024, 2, 1), datetime(2024, 4, 1), full_refresh=True).count() == 4
+
+
+def test_windows_of_another_size_may_follow_but_not_overlap(pub, spark):
+    events = spark.createDataFrame([(i, datetime(2024, 3, 1 + i // 24, i % 24)) for i in range(72)], "id int, at timestamp_ntz")
+    daily, hourly = (IncrementalConfig(strategy="microbatch", event_time="at", batch_size=size) for size in ("day", "hour"))
+    run_backfill(pub, "seen", lambda: events, daily, datetime(2024, 3, 1), datetime(2024, 3, 3))
+    with pytest.raises(ConfigError, match="another batch_size.*overlap"):
+        run_backfill(pub, "seen", lambda: events, hourly, datetime(2024, 3, 2, 5), datetime(2024, 3, 2, 6))
+    assert run_backfill(pub, "seen", lambda: events, hourly, datetime(2024, 3, 3), datetime(2024, 3, 4)).count() == 72
+    less = events.where("id <> 50")
+    assert run_incremental(pub, "seen", lambda: less, hourly, window=(datetime(2024, 3, 3, 2), datetime(2024, 3, 3, 3))).count() == 71
+    with pytest.raises(ConfigError, match="another batch_size.*overlap"):
+        run_incremental(pub, "seen", lambda: less, daily, window=(datetime(2024, 3, 3), datetime(2024, 3, 4)))
+
+
+def test_late_events_replace_their_windows(pub, spark):
+    from tableloom.session import scratch_path
+    from tableloom.streaming.microbatch import replace_windows_on_commit
+
+    base, offsets = scratch_path(spark, "seen"), scratch_path(spark, "offsets")
+    config = IncrementalConfig(strategy="microbatch", event_time="at", batch_size="day")
+    shape = "id int, at timestamp_ntz"
+
+    def commit(*events, **options):
+        spark.createDataFrame(list(events), shape).write.mode("append").parquet(base)
+        replace_windows_on_commit(pub, "seen", base, T._parse_datatype_string(shape), config, offsets, **options).awaitTermination()
+        return sorted(r.id for r in pub.read("seen").collect())
+
+    assert commit((1, datetime(2024, 3, 1, 7)), (2, datetime(2024, 3, 2, 7)), (0, None)) == [1, 2]
+    live = {r.event_window: r.write_slot for r in spark.table(pub.name(pub.current_version("seen"))).select("event_window", "write_slot").collect()}
+    assert commit((3, datetime(2024, 3, 1, 9)), (4, datetime(2024, 2, 1))) == [1, 2, 3, 4]
+    now = spark.table(pub.name(pub.property("seen", "live_table"))).collect()
+    assert {r.write_slot for r in now if r.event_window.startswith("20240302")} == {live["20240302T00-day"]}  # the day without new events is as it was
+    assert commit((5, datetime(2024, 3, 2, 1)), lookback=3) == [1, 2, 3, 4, 5]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tableloom.functions import timing
 from tableloom.operators import layout
-from tableloom.operators.windows import require_exact, resolve_partitions
+from tableloom.operators.windows import calendar_cover, require_exact, resolve_partitions
 from tableloom.sources.tables import event_time_scan, relation_name
 
 
@@ -47,6 +48,35 @@ def test_resolution_against_brute_force(spark, unit):
         assert got[lo] == (exact, sum(a < hi and b > lo for _, a, b in parts) - exact)
 
 
+def test_ranges_that_are_not_known_make_missing_windows_unparsable(spark):
+    windows = [(day(1), day(2)), (day(3), day(4)), (day(8), day(9)), (day(6), day(5)), (None, day(7))]
+    parts = [("p1", day(1), day(2)), ("wide", day(3), day(5)), ("turned", day(12), day(10)), ("open", day(20), None)]
+    out = {(r.window_start, r.window_end): r.status for r in resolve(spark, windows, parts).collect()}
+    assert list(out.values()).count("unparsable") == 3
+    assert (out[day(1), day(2)], out[day(3), day(4)], out[day(8), day(9)]) == ("exact", "overlap", "unparsable")
+    with pytest.raises(Exception, match="unparsable"):
+        require_exact(resolve(spark, windows[2:3], parts), allow_missing=True).collect()
+
+
+def test_wide_ranges_are_few_units(spark):
+    wide = [(datetime(1, 1, 1), datetime(9999, 1, 1)), (datetime(1969, 7, 20, 20, 17), datetime(2024, 2, 29, 13, 1)), (day(1), day(2)), (datetime(2024, 1, 1, 5, 10), datetime(2024, 1, 1, 5, 20))]
+    df = spark.createDataFrame(wide, "a timestamp_ntz, b timestamp_ntz")
+    sizes = {r.a: (r.own, r.all) for r in calendar_cover(df, "a", "b").groupBy("a").agg(F.count_if("own").alias("own"), F.count(F.lit(1)).alias("all")).collect()}
+    assert max(n for _, n in sizes.values()) < 150
+    assert sizes[datetime(1, 1, 1)][0] < 70 and sizes[day(1)][0] == 1 and sizes[datetime(2024, 1, 1, 5, 10)][0] == 1
+
+
+def test_overlaps_of_ranges_of_all_widths(spark):
+    rng = random.Random(8)
+    bounds = lambda: sorted(datetime(rng.choice([1, 1899, 1999, 2023, 2024, 9000]), rng.randint(1, 12), rng.randint(1, 28), rng.choice([0, 0, 7, 23]), rng.choice([0, 0, 30])) for _ in range(2))
+    parts = [(f"p{i}", *b) for i, b in enumerate(b for b in (bounds() for _ in range(80)) if b[0] < b[1])] + [("all", datetime(1, 1, 1), datetime(9999, 12, 31))]
+    windows = list({tuple(b) for b in (bounds() for _ in range(80)) if b[0] < b[1]})
+    got = {(r.window_start, r.window_end): (r.exact_count, r.overlap_count) for r in resolve(spark, windows, parts).collect()}
+    for lo, hi in windows:
+        exact = sum((a, b) == (lo, hi) for _, a, b in parts)
+        assert got[lo, hi] == (exact, sum(a < hi and b > lo for _, a, b in parts) - exact)
+
+
 def test_unsafe_windows_fail(spark):
     missing = resolve(spark, [(day(1), day(2))], [("p", day(5), day(6))])
     assert require_exact(missing, allow_missing=True).count() == 1
