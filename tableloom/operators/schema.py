@@ -163,6 +163,12 @@ def null_fill(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in columns.items() if n.lower() not in present])
 
 
+def text_lengths(batch: DataFrame, declared: Mapping[str, int]) -> dict[str, Column]:
+    """The longest text of each column that has a declared width: aggregates to observe while the batch is written."""
+    wanted = {n.lower() for n in declared}
+    return {f.name: F.max(F.length(col(f.name))).alias(f.name) for f in batch.schema if isinstance(f.dataType, T.StringType) and f.name.lower() in wanted}
+
+
 def string_width_plan(batch: DataFrame, declared: Mapping[str, int]) -> DataFrame:
     """Longest text per declared string column, and whether its column must widen.
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from contextlib import nullcontext
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import ExitStack, nullcontext
 from dataclasses import dataclass
 from datetime import datetime
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from tableloom.operators import incremental as inc
 from tableloom.operators.guards import assert_unique
 from tableloom.operators.layout import key_first
 from tableloom.operators.schema import (
-    POLICIES, SchemaChangeError, align, apply_contract, check_protected, conform, declared_widths, string_width_plan,
+    POLICIES, SchemaChangeError, align, apply_contract, check_protected, conform, declared_widths, text_lengths,
 )
 from tableloom.operators.windows import require_exact, resolve_partitions
 from tableloom.plans.merge_log import run_merge_log
@@ -218,8 +218,21 @@ def _run(
     _check_target(publisher, table, config)
     if kind == "merge":
         check_protected(target.schema, batch.schema, config.keys, config.sequence)
-    wide = _widened(target, batch, config)
     publisher.drop_stale(table)  # helpers a killed run left behind
+    with ExitStack() as stages:
+        wide = target
+        lengths = text_lengths(batch, declared_widths(target.schema)) if config.contract is None else {}
+        if lengths:
+            # one pass: the batch is measured while it is written, and all that follows reads what was written
+            seen = Observation()
+            batch = stages.enter_context(publisher.stage(table, batch.observe(seen, *lengths.values())))
+            wide = _widened(target, seen.get, config)
+        return _advance(publisher, table, target, wide, batch, config, windows, props)
+
+
+def _advance(publisher, table, target, wide, batch, config, windows, props) -> DataFrame:
+    """Put a batch into what is stored, by the strategy of the run."""
+    kind = config.effective
     if kind == "microbatch":
         return _replace_windows(publisher, table, wide, batch, config, windows, props)
 
@@ -252,17 +265,14 @@ def _run(
         return publisher.replace(table, result, partition_by=config.partitions, bucket_by=config.bucket_by, properties=props)
 
 
-def _widened(target: DataFrame, batch: DataFrame, config: IncrementalConfig) -> DataFrame:
+def _widened(target: DataFrame, lengths: Mapping[str, int | None], config: IncrementalConfig) -> DataFrame:
     """The target with declared text widths raised to the longest text of the batch.
 
     A contract fixes widths, and keys never change. Stored tables keep the widths they were written
     with, so a run that raises one writes a new version, as for any other schema change.
     """
-    widths = declared_widths(target.schema)
-    if not widths or config.contract is not None:
-        return target
-    plan = string_width_plan(batch, widths).where("needs_widening").collect()  # at most one row per column
-    needed = {r["column_name"].lower(): r["max_length"] for r in plan}
+    widths = {n.lower(): w for n, w in declared_widths(target.schema).items()}
+    needed = {n.lower(): longest for n, longest in lengths.items() if longest is not None and longest > widths[n.lower()]}
     fixed = [c for c in [*config.keys, *as_list(config.sequence)] if c.lower() in needed]
     if fixed:
         raise SchemaChangeError(f"key or sequence columns {fixed} would have to widen; rebuild the table instead")

@@ -2,7 +2,9 @@
 
 Batches go to a log partitioned by batch number. The published view takes, per key, the row of the
 highest sequence and then the latest committed batch. A run costs what its batch costs however
-large the table is; ``compact`` turns the log into one row per key when reads should be cheap again.
+large the table is. The log has two levels: one row per key as of the last folding, and the batches since. All files are
+bucketed by key, so a read groups each bucket where it lies, without a shuffle; ``FOLD_AFTER`` batches are folded into the
+first level by the run that adds the last of them, and ``compact`` does so at any time.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from tableloom.plans.publish import Publisher
 
 BATCH = "batch_no"
 
+#: Buckets of a log, and the batches after which it is folded.
+BUCKETS, FOLD_AFTER = 16, 20
+
 
 def _latest(publisher: Publisher, version: str, keys: Sequence[str], sequence: str | None, last: int) -> str:
     """The view's query. One ``max_by`` per column lets a reader of few columns scan few columns,
@@ -42,7 +47,7 @@ def _publish(publisher, table, version, keys, sequence, last: int) -> DataFrame:
 
 def _rebuild(publisher, table, rows: DataFrame, keys, sequence) -> DataFrame:
     labelled = key_first(rows, keys).withColumn(BATCH, F.lit(0))
-    version = publisher.write_version(table, labelled, partition_by=BATCH, gather=False)
+    version = publisher.write_version(table, labelled.repartition(BUCKETS, *[col(k) for k in keys]), partition_by=BATCH, bucket_by=(BUCKETS, keys), gather=False)
     try:
         assert_unique(publisher.spark.table(publisher.name(version)), keys)
     except Exception:
@@ -91,7 +96,8 @@ def run_merge_log(
     except Exception:
         publisher.drop_partition(table, **{BATCH: run})
         raise
-    return _publish(publisher, table, version, keys, sequence, run)
+    out = _publish(publisher, table, version, keys, sequence, run)
+    return compact(publisher, table) if run >= FOLD_AFTER else out
 
 
 def compact(publisher: Publisher, table: str) -> DataFrame:

@@ -41,6 +41,14 @@ def _literal(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def spread(df: DataFrame, files: int) -> DataFrame:
+    """Rows dealt evenly, whatever their values: so many tasks with equal shares, equal rows and hot keys among them too.
+
+    Spark sorts each task's rows before it deals them, so a task that runs again deals them the same way.
+    """
+    return df.repartition(files)
+
+
 def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Rows gathered by the columns their files are split by.
 
@@ -125,11 +133,16 @@ class Publisher:
     ) -> str:
         """Write a new version that nobody reads yet and return its table name.
 
-        Rows are gathered by their partition or bucket first, unless ``gather`` is off. A version with ``slots`` is one whose
+        Rows are gathered by their partition or bucket first, unless ``gather`` is off. Buckets of no column are a random
+        distribution: so many files of equal size. A version with ``slots`` is one whose
         partitions can be replaced one by one.
         """
         version = f"{table.lower()}__v_{uuid.uuid4().hex[:12]}"
-        if not gather:
+        if bucket_by and not as_list(bucket_by[1]):
+            if partition_by:
+                raise ValueError("a random distribution has no partitions")
+            df, bucket_by = spread(df, bucket_by[0]), None
+        elif not gather:
             pass
         elif partition_by:
             df = rebalanced(df, as_list(partition_by))
@@ -272,7 +285,22 @@ class Publisher:
     def insert(self, version: str, rows: DataFrame, gather_by: Sequence[str] = ()) -> None:
         """Add rows to a stored table, columns matched by name. A failing insert commits no file."""
         rows = rows.select(*[col(c) for c in self.spark.table(self.name(version)).columns])
-        (rebalanced(rows, gather_by) if gather_by else rows).write.insertInto(self.name(version))
+        buckets, columns = self.buckets(version)
+        if buckets and gather_by:
+            rows = rebalanced(rows, [*gather_by, *columns])
+        elif buckets:
+            # the hash and the number the table places rows by: a task has whole buckets
+            rows = rows.repartition(buckets, *[col(c) for c in columns])
+        elif gather_by:
+            rows = rebalanced(rows, gather_by)
+        rows.write.insertInto(self.name(version))
+
+    def buckets(self, version: str) -> tuple[int, list[str]]:
+        """How many buckets a stored table has, and by which columns; 0 if it has none."""
+        known = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(version)}").collect()}
+        if "Num Buckets" not in known:
+            return 0, []
+        return int(known["Num Buckets"]), [c.strip().strip("`") for c in known["Bucket Columns"].strip("[]").split(",")]
 
     def append(self, table: str, batch: DataFrame) -> DataFrame:
         """Insert by name. A failing insert changes nothing; into a partitioned table, neither does one that is cut short."""

@@ -63,6 +63,23 @@ def bucketed_build(spark, sf):
     return rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT 8 AS n_files, count(*) AS n_rows, true AS even FROM lineitem")
+def random_distribution(spark, sf):
+    """Stored in eight files of equal size, though no column decides where a row goes."""
+    pub = publisher(spark)
+    pub.replace("lineitem", table(spark, sf, "lineitem"), bucket_by=(8, ()))
+    files = pub.read("lineitem").groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("n").alias("n_rows"), (F.max("n") - F.min("n") <= F.count(F.lit(1)) * 16).alias("even"))
+
+
+@query("SELECT o_custkey, 2 * count(*) AS n FROM orders GROUP BY 1")
+def bucketed_append(spark, sf):
+    """Appended rows go to the bucket they belong to, a file for each, so grouping by customer still needs no shuffle."""
+    pub, orders = publisher(spark), table(spark, sf, "orders")
+    pub.replace("orders", orders, bucket_by=(8, "o_custkey"))
+    return pub.append("orders", orders).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def view_to_table_freeze(spark, sf):
     pub = publisher(spark)

@@ -399,3 +399,33 @@ def test_late_events_replace_their_windows(pub, spark):
     now = spark.table(pub.name(pub.property("seen", "live_table"))).collect()
     assert {r.write_slot for r in now if r.event_window.startswith("20240302")} == {live["20240302T00-day"]}  # the day without new events is as it was
     assert commit((5, datetime(2024, 3, 2, 1)), lookback=3) == [1, 2, 3, 4, 5]
+
+
+def test_text_widths_are_measured_while_a_volatile_source_is_written_once(pub, spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        reads.add(1)
+        return value
+
+    narrow = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("note", T.VarcharType(4))])
+    pub.replace("notes", spark.createDataFrame([(1, "ab")], "id int, note string"), contract=narrow, properties=_as_stored(IncrementalConfig()))
+    source = spark.createDataFrame([(2, "longer text"), (3, "x")], "id int, note string").withColumn("note", F.udf(counted).asNondeterministic()("note"))
+    for times, width in ((2, 11), (4, 11)):
+        run_incremental(pub, "notes", lambda: source, IncrementalConfig())
+        assert reads.value == times
+        assert declared_widths(pub.stored("notes").schema) == {"note": width}
+    assert pub.read("notes").count() == 5
+
+
+def test_a_log_is_read_bucket_by_bucket_and_folds_itself(pub, spark, monkeypatch):
+    from tableloom.plans import merge_log
+
+    monkeypatch.setattr(merge_log, "FOLD_AFTER", 3)
+    config = IncrementalConfig(unique_key="crate", merge_on_read=True)
+    for n in range(5):
+        batch = spark.range(40 * n, 40 * n + 60).selectExpr("id AS crate", f"{n} AS round")
+        out = run_incremental(pub, "log", lambda b=batch: b, config)
+        assert "Exchange hash" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.round, r["count"]) for r in out.groupBy("round").count().collect()) == [(0, 40), (1, 40), (2, 40), (3, 40), (4, 60)]
+    assert pub.property("log", "last_batch") == "1"

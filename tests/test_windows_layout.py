@@ -161,3 +161,20 @@ def test_bucket_expression_is_the_writers(spark, pub):
     with_bucket = stored.select(
         layout.bucket_of("id", 4).alias("want"), F.regexp_extract("f", r"_(\d{5})(?:\.c\d+)", 1).cast("int").alias("got"))
     assert with_bucket.where("want <> got OR got IS NULL").count() == 0
+
+
+def test_appends_to_buckets_add_a_file_for_each(spark, pub):
+    rows_ = spark.range(0, 4_000, 1, 16).withColumn("v", F.col("id") % 97)
+    pub.replace("b", rows_, bucket_by=(8, "id"))
+    before = set(pub.stored("b").inputFiles())
+    pub.append("b", rows_)
+    assert len(set(pub.stored("b").inputFiles()) - before) == 8
+    grouped = pub.read("b").groupBy("id").count()
+    assert grouped.where("count <> 2").isEmpty()
+    assert "Exchange hash" not in grouped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_random_distribution_splits_equal_rows(spark, pub):
+    pub.replace("r", spark.range(3_000).select(F.lit("same").alias("v")), bucket_by=(6, ()))
+    sizes = [r["count"] for r in pub.read("r").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 6 and max(sizes) - min(sizes) <= 16
