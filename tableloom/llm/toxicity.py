@@ -1,28 +1,33 @@
 """Toxicity by two Kneser-Ney models, of toxic and of ordinary texts, whose lower orders are counted together.
 
-A word's evidence is the difference of its log-likelihoods under the two models. A text is described by the length-normalised
-difference of its likelihoods and by its strongest words; a logistic curve turns these into a score. The curve is fitted on some texts
-of each class as models see them that are counted without these texts; the models that score are counted over all rows.
+A model sees words (runs of letters, lower-cased) as bytes, each byte after the ``DEPTH`` before it. A word's evidence is the difference of its
+log-likelihoods under the two models. A text is described by the length-normalised difference of its likelihoods and by its
+strongest words; a logistic curve turns these into a score.
+
+Counts are Spark tables, one for each order, and stay there: the runs of bytes of the different words of all texts are looked up in them
+order by order, by joins, and summed up to a number for each word, which goes back to the segments of text that hold it. The curve is
+fitted on some texts of each class as the models see them without the counts of these texts; lower orders, which both classes share, keep them.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tableloom.llm import kneser_ney
-from tableloom.llm.common import with_results
-from tableloom.llm.kneser_ney import Model, word_values, words_of
+from tableloom.llm.common import let_workers_import, span_hashes, text_bytes
+from tableloom.llm.ctw import DEPTH, PACKED, PARTS, _by_segment, _packed, _packed_segments, _passes, _words, answered, runs_of_bytes, summed
+from tableloom.llm.segments import Tokens, gathered
+from tableloom.session import freeze
 
-ORDER = 6
-SLOT_BITS = kneser_ney.KEY_BITS
+#: Bytes of a run: the byte that is predicted and those before it.
+ORDER = DEPTH + 1
 
 #: Different texts that fit the curve, half of them of each class: of a class's texts a fifth at most, but ten of them or half if these are few.
 CALIBRATION_ROWS = 4_000
@@ -30,42 +35,197 @@ CALIBRATION_ROWS = 4_000
 #: Evidence of a word, in nats, beyond what chance resemblance gives.
 STRONG = 3.0
 
+#: Evidence travels in whole numbers of so many to a nat.
+PER_NAT = 1_000_000
 
 FEATURES = 5
 
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+
+
+def letters_of(texts: pa.Array) -> Tokens:
+    """The words of texts: runs of letters, lower-cased; whatever is not ASCII counts as a letter."""
+    return Tokens(*text_bytes(pc.utf8_lower(texts)), LETTER)
+
+
+@dataclass
+class Counts:
+    """What both models are made of. ``top`` has a run's occurrences by class (``n0, n1``), and those in texts that fit the curve (``s0, s1``);
+    ``lower[k]`` in how many different longer runs each run of k bytes ends. Discounts by the same names and orders."""
+
+    top: DataFrame
+    lower: dict[int, DataFrame]
+    top_discounts: dict[str, float]
+    discounts: dict[int, float]
+    letters: int
+
 
 @dataclass
 class Scorer:
-    model: Model
+    counts: Counts
     weights: np.ndarray | None
     centre: np.ndarray
     scale: np.ndarray
     prior: float
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
+    def score(self, features: list[Column]) -> Column:
         if self.weights is None:
-            return np.full(len(features), self.prior)
-        x = (features - self.centre) / self.scale
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)))
-
-
-def features(values, texts: list[str | None]) -> np.ndarray:
-    """Length-normalised difference of log-likelihoods; evidence of the strongest and the second strongest word; log of all
-    strong evidence; log of the number of words, as chance evidence grows with it."""
-    words, sizes = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        own = words_of(text)
-        sizes[i] = len(own)
-        words += own
-    out = np.zeros((len(texts), FEATURES))
-    if not words:
-        return out
-    at = values.rows(words)
-    lean = values.values[at, 1] - values.values[at, 0]
-    of = np.repeat(np.arange(len(texts)), sizes)
-    chars = np.bincount(of, np.fromiter(map(len, words), np.float64, len(words)) + 1, len(texts))
-    out[:, 0] = np.bincount(of, lean, len(texts)) / np.maximum(chars, 1)
-    out[:, 3] = np.log1p(np.bincount(of, np.maximum(lean - STRONG, 0), len(texts)))
+            return F.lit(float(self.prior))
+        z = F.lit(float(self.weights[0]))
+        for f, w, c, s in zip(features, self.weights[1:], self.centre, self.scale, strict=True):
+            z = z + (f - float(c)) * float(w / s)
+        return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once + twice else 0.5
+
+
+def _tail(k: int) -> Column:
+    """The last k bytes of a run."""
+    return F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
+
+
+def count(rows: DataFrame) -> Counts:
+    """Counts of ``label`` (0 or 1), ``sampled`` and ``text``: added up over a segment's words, then over all of them."""
+    let_workers_import(rows.sparkSession)
+    kinds = ("n0", "n1", "s0", "s1")
+
+    def words(batches):
+        for _, table in gathered(batches):
+            tokens = letters_of(table["text"].combine_chunks())
+            label, sampled = table["label"].to_numpy()[tokens.text], table["sampled"].to_numpy()[tokens.text]
+            n = [np.bincount(tokens.ids[some], minlength=len(tokens.words)) for some in (label == 0, label == 1, (label == 0) & sampled, (label == 1) & sampled)]
+            for i in range(0, len(tokens.words), 50_000):
+                yield pa.RecordBatch.from_arrays([tokens.words[i:i + 50_000], *(pa.array(c[i:i + 50_000]) for c in n)], ["word", *kinds])
+
+    def grams(batches):
+        for batch in batches:
+            of, runs = runs_of_bytes(batch.column(0))
+            found, at = np.unique(runs, return_inverse=True)
+            n = [np.bincount(at, batch.column(i).to_numpy()[of], len(found)).astype(np.int64) for i in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([pa.array(found), *(pa.array(c) for c in n)], ["gram", *kinds])
+
+    sums = [F.sum(k).alias(k) for k in kinds]
+    different = rows.select("label", "sampled", "text").mapInArrow(words, "word string, n0 long, n1 long, s0 long, s1 long").groupBy("word").agg(*sums)
+    top = freeze(different.mapInArrow(grams, "gram long, n0 long, n1 long, s0 long, s1 long").groupBy("gram").agg(*sums), "top")
+    without = {"n0": F.col("n0"), "n1": F.col("n1"), "h0": F.col("n0") - F.col("s0"), "h1": F.col("n1") - F.col("s1")}
+    few = top.agg(*[F.count_if(c == n).alias(f"{k}_{n}") for k, c in without.items() for n in (1, 2)]).first()
+    lower, discounts, level = {}, {}, top
+    for k in range(ORDER - 1, 0, -1):
+        level = lower[k] = freeze(level.groupBy(_tail(k).alias("gram")).agg(F.count(F.lit(1)).alias("c")), "lower")
+        discounts[k] = _discount(*level.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
+    return Counts(top, lower, {k: _discount(few[f"{k}_1"], few[f"{k}_2"]) for k in without}, discounts, lower[1].count())
+
+
+def _smoothed(n: Column, total: Column, kinds: Column, discount: float, below: Column) -> Column:
+    return F.when(total > 0, (F.greatest(F.coalesce(n, F.lit(0)) - discount, F.lit(0.0)) + discount * kinds * below) / total).otherwise(below)
+
+
+def evidence(counts: Counts, runs: DataFrame, held: bool) -> DataFrame:
+    """``gram, lean`` of the different runs in ``gram``: log-likelihood as toxic less that as ordinary; ``held``: without the counts of the curve's texts."""
+    below = None
+    for k in range(1, ORDER):
+        level = counts.lower[k]
+        contexts = level.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        rows = runs.select(_tail(k).alias("gram")).distinct().join(level, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(contexts, "context", "left")
+        if below is None:
+            rows = rows.withColumn("below", F.lit(1.0 / (counts.letters + 1)))
+        else:
+            rows = rows.withColumn("shorter", _tail(k - 1)).join(below, "shorter")
+        p = _smoothed(F.col("c"), F.col("total"), F.col("kinds"), counts.discounts[k], F.col("below"))
+        below = freeze(rows.select(F.col("gram").alias("shorter"), p.alias("below")), "below")
+    own = {"0": F.col("n0"), "1": F.col("n1")} if not held else {"0": F.col("n0") - F.col("s0"), "1": F.col("n1") - F.col("s1")}
+    top = counts.top.select("gram", *[c.alias(f"c{k}") for k, c in own.items()])
+    contexts = top.groupBy(F.shiftright("gram", 8).alias("context")).agg(*[a for k in own for a in (F.sum(f"c{k}").alias(f"total{k}"), F.count_if(F.col(f"c{k}") > 0).alias(f"kinds{k}"))])
+    rows = runs.join(top, "gram", "left").withColumn("context", F.shiftright("gram", 8)).join(contexts, "context", "left").withColumn("shorter", _tail(ORDER - 1)).join(below, "shorter")
+    p = {k: _smoothed(F.col(f"c{k}"), F.col(f"total{k}"), F.col(f"kinds{k}"), counts.top_discounts[f"{'h' if held else 'n'}{k}"], F.col("below")) for k in own}
+    return rows.select("gram", (F.log(F.greatest(p["1"], F.lit(1e-300))) - F.log(F.greatest(p["0"], F.lit(1e-300)))).alias("lean"))
+
+
+def words_by_part(parts: DataFrame) -> DataFrame:
+    """A segment's different words, a row for each part they are dealt to."""
+
+    def run(batches):
+        held, segment = [], None
+
+        def out():
+            words = pa.concat_arrays(held).unique()
+            data, offsets = text_bytes(words)
+            part = (span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(40)).astype(np.int64) % PARTS
+            order = np.argsort(part, kind="stable")
+            words = words.take(pa.array(order))
+            yield from _packed(segment, part[order], lambda a, b: "\n".join(words.slice(a, b - a).to_pylist()).encode(), np.ones(len(order), np.int64))
+
+        for number, _, packed in _by_segment(batches):
+            if number != segment and segment is not None:
+                yield from out()
+                held = []
+            segment = number
+            for _, texts in _passes(packed):
+                held.append(letters_of(texts).words)
+                if sum(map(len, held)) > 500_000:
+                    held = [pa.concat_arrays(held).unique()]
+        if segment is not None:
+            yield from out()
+
+    return parts.select("segment", "trained", "packed").mapInArrow(run, PACKED)
+
+
+def word_evidence(counts: Counts, sums: DataFrame, held: bool) -> DataFrame:
+    """``part, keys, n`` with the evidence of each of a part's words in place of its count."""
+    let_workers_import(sums.sparkSession)
+
+    def runs(batches):
+        for batch in batches:
+            for part, keys in zip(batch.column(0).to_pylist(), batch.column(1)):
+                of, found = runs_of_bytes(pa.array(_words(keys.as_py())))
+                for i in range(0, len(of), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of[i:i + 100_000]), part, np.int32)), pa.array(of[i:i + 100_000]), pa.array(found[i:i + 100_000])], ["part", "nth", "gram"])
+
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([np.array(v, "<i8").tobytes() for v in batch.column(2).to_pylist()], pa.binary())], ["part", "keys", "n"])
+
+    wanted = freeze(sums.select("part", "keys").mapInArrow(runs, "part int, nth long, gram long"), "wanted")
+    lean = evidence(counts, freeze(wanted.select("gram").distinct(), "asked"), held)
+    by_word = wanted.join(lean, "gram").groupBy("part", "nth").agg(F.round(F.sum("lean") * PER_NAT).cast("long").alias("lean"))
+    in_order = by_word.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("nth", "lean"))).alias("all")).select("part", F.col("all.lean").alias("n"))
+    return sums.select("part", "keys").join(in_order, "part").select("part", "keys", "n").mapInArrow(pack, "part int, keys binary, n binary")
+
+
+def described(df: DataFrame, counts: Counts, held: bool, text: str, keep: list[str]) -> DataFrame:
+    """Each row as ``row`` with ``f0`` and so on: the length-normalised difference of log-likelihoods; evidence of the strongest and the second
+    strongest word; log of all strong evidence; log of the number of words, as chance evidence grows with it."""
+    let_workers_import(df.sparkSession)
+    parts = freeze(_packed_segments(df, text, F.lit(False), keep), "texts")
+    words = freeze(words_by_part(parts), "words")
+    replies = answered(words, word_evidence(counts, freeze(summed(words, True), "different"), held), True)
+    names = [f"f{i}" for i in range(FEATURES)]
+    schema = StructType([parts.schema["row"], *(StructField(n, DoubleType()) for n in names)])
+
+    def run(texts_of: pa.Table, replies: pa.Table) -> pa.Table:
+        known = pa.concat_arrays([pc.split_pattern(pa.array([k.as_py().decode()]), "\n").flatten() for k in replies["keys"]]) if len(replies) else pa.array([], pa.string())
+        value = np.concatenate([np.zeros(0), *(np.frombuffer(v.as_py(), "<f8") for v in replies["values"])]) / PER_NAT
+        out = np.zeros((len(texts_of), FEATURES))
+        for start, texts in _passes(texts_of["packed"].combine_chunks()):
+            tokens = letters_of(texts)
+            if len(tokens.ids):
+                lean = value[pc.index_in(tokens.words, value_set=known).to_numpy(zero_copy_only=False).astype(np.int64)][tokens.ids]
+                out[start:start + len(texts)] = features(lean, tokens)
+        return pa.table([texts_of["row"], *(pa.array(out[:, i]) for i in range(FEATURES))], names=["row", *names])
+
+    return parts.select("segment", "row", "packed").groupBy("segment").cogroup(replies.groupBy("segment")).applyInArrow(run, schema)
+
+
+def features(lean: np.ndarray, tokens: Tokens) -> np.ndarray:
+    """The description of each text from the evidence of its words."""
+    sizes, of, texts = tokens.counts, tokens.text, len(tokens.counts)
+    out, lean = np.zeros((texts, FEATURES)), lean.copy()
+    chars = np.bincount(of, tokens.ends - tokens.starts + 1, texts)
+    out[:, 0] = np.bincount(of, lean, texts) / np.maximum(chars, 1)
+    out[:, 3] = np.log1p(np.bincount(of, np.maximum(lean - STRONG, 0), texts))
     out[:, 4] = np.log1p(sizes)
     some = np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[some]
@@ -100,38 +260,22 @@ def fit(rows: DataFrame) -> Scorer:
     rows = rows.where("label IN (0, 1) AND text IS NOT NULL").select(F.col("label").cast("int").cast("string").alias("label"), "text")
     fifth = lambda texts, labels: min(CALIBRATION_ROWS // 2, max(texts // 5, min(10, -(-texts // 2))))
     sample, chosen, seen = kneser_ney.sampled_texts(rows, fifth)
-    count = {label: n for label, (n, _) in seen.items()}
-    total = sum(count.values())
-    prior = count.get("1", 0) / total if total else 0.5
-    fitted = lambda counted: kneser_ney.fit(counted, ORDER, SLOT_BITS, shared_backoff=True)
-    nothing = lambda model: Scorer(model, None, np.zeros(FEATURES), np.ones(FEATURES), prior)
-    if len(seen) < 2:
-        return nothing(fitted(rows))
-    others = rows.join(F.broadcast(chosen.select("tag").distinct()), F.xxhash64("text") == F.col("tag"), "left_anti")
-    held = fitted(others)
-    model = None
-    if len(held.classes) < 2:
-        held = model = fitted(rows)
-    if len(held.classes) < 2:
-        return nothing(held)
-    sent = rows.sparkSession.sparkContext.broadcast(held)
-    key = uuid.uuid4().hex
-
-    def run(frames):
-        for frame in frames:
-            found = features(word_values(key, sent), frame.text.tolist())
-            yield pd.DataFrame(found, columns=names).assign(y=(frame.label == "1").astype(float).to_numpy())
-
-    names = [f"f{i}" for i in range(FEATURES)]
-    kept = sample.mapInPandas(run, ", ".join(f"{c} double" for c in [*names, "y"])).toPandas()  # at most CALIBRATION_ROWS
-    sent.unpersist()
-    del held
-    x, y = kept[names].to_numpy(), kept.y.to_numpy()
+    sizes = {label: n for label, (n, _) in seen.items()}
+    total = sum(sizes.values())
+    prior = sizes.get("1", 0) / total if total else 0.5
+    tags = F.broadcast(chosen.select("tag", F.lit(True).alias("of_curve")).distinct())  # of bounded size, as CALIBRATION_ROWS says
+    marked = rows.join(tags, F.xxhash64("text") == F.col("tag"), "left").select(F.col("label").cast("int").alias("label"), "text", F.coalesce("of_curve", F.lit(False)).alias("sampled"))
+    counts = count(marked)
+    left = counts.top.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n0", "n1", F.col("n0") - F.col("s0"), F.col("n1") - F.col("s1"))]).first()
+    if len(seen) < 2 or not left[0] or not left[1]:
+        return Scorer(counts, None, np.zeros(FEATURES), np.ones(FEATURES), prior)
+    kept = described(sample, counts, bool(left[2] and left[3]), "text", ["label"]).select("row.label", *[f"f{i}" for i in range(FEATURES)]).toPandas()  # at most CALIBRATION_ROWS
+    x, y = kept[[f"f{i}" for i in range(FEATURES)]].to_numpy(), (kept.label == "1").to_numpy(float)
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     weights = _curve((x - centre) / scale, y)
     odds = lambda of: np.log(seen["1"][of] / seen["0"][of])
     weights[0] += odds(0) - odds(1)
-    return Scorer(model or fitted(rows), weights, centre, scale, prior)
+    return Scorer(counts, weights, centre, scale, prior)
 
 
 def score(df: DataFrame, scorer: Scorer, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -139,21 +283,5 @@ def score(df: DataFrame, scorer: Scorer, text: str = "text", keep: list[str] | N
 
     Null texts and texts without a word have no evidence and get the curve's value for none; equal texts get equal scores.
     """
-    sent = df.sparkSession.sparkContext.broadcast(scorer)
-    key = uuid.uuid4().hex
-
-    def make():
-        own = sent.value
-
-        class Held:
-            value = own.model
-
-        def work(texts: pa.Array) -> list[pa.Array]:
-            if own.weights is None:
-                return [pa.array(np.full(len(texts), own.prior)), pa.array(np.zeros(len(texts)))]
-            found = features(word_values(key, Held), texts.to_pylist())
-            return [pa.array(own.scores(found)), pa.array(found[:, 0])]
-
-        return work
-
-    return with_results(df, text, [StructField("score", DoubleType()), StructField("evidence", DoubleType())], make, keep)
+    out = described(df, scorer.counts, False, text, keep if keep is not None else df.columns)
+    return out.select("row", scorer.score([F.col(f"f{i}") for i in range(FEATURES)]).alias("score"), F.col("f0").alias("evidence"))
