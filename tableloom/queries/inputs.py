@@ -56,9 +56,12 @@ def cents(name: str = "o_totalprice"):
     return F.round(F.col(name) * 100).cast("bigint")
 
 
+CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
 # Customers: at T1 accounts that were overdrawn join, large furniture accounts leave, and others change.
 def customers_t0(spark, sf) -> DataFrame:
-    return table(spark, sf, "customer").where("c_acctbal >= -500").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return table(spark, sf, "customer").where("c_acctbal >= -500").select(*CUSTOMER_COLUMNS)
 
 
 def customers_t1(spark, sf) -> DataFrame:
@@ -66,17 +69,15 @@ def customers_t1(spark, sf) -> DataFrame:
     return (
         table(spark, sf, "customer")
         .where(~((F.col("c_mktsegment") == "FURNITURE") & (balance > 5000)))
-        .select(
-            "c_custkey",
-            F.when(balance < 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey")).alias("c_nationkey"),
-            F.when((balance >= 1000) & (balance < 3000), "CHANGED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
-        )
+        .withColumn("c_nationkey", F.when(balance < 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey")))
+        .withColumn("c_mktsegment", F.when((balance >= 1000) & (balance < 3000), "CHANGED").otherwise(F.col("c_mktsegment")))
+        .select(*CUSTOMER_COLUMNS)
     )
 
 
-CUSTOMERS = """t0 AS (SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal >= -500),
+CUSTOMERS = """t0 AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal >= -500),
 t1 AS (
-  SELECT c_custkey,
+  SELECT c_custkey, c_name, c_acctbal,
          CASE WHEN c_acctbal < 0 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey,
          CASE WHEN c_acctbal >= 1000 AND c_acctbal < 3000 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment
   FROM customer WHERE NOT (c_mktsegment = 'FURNITURE' AND c_acctbal > 5000))"""

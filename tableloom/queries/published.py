@@ -158,4 +158,4 @@ def snapshot_stored(spark, sf):
     pub = publisher(spark)
     spec = HistorySpec(keys="c_custkey", hard_deletes="invalidate")
     run_history(pub, "customers", customers_t0(spark, sf), spec, T0)
-    return run_history(pub, "customers", customers_t1(spark, sf), spec, T1).drop("updated_at")
+    return run_history(pub, "customers", customers_t1(spark, sf), spec, T1)

@@ -12,36 +12,35 @@ from tableloom.operators import incremental as inc
 
 @pytest.fixture
 def base(spark):
-    return spark.createDataFrame([(1, "alice", 100), (2, "bob", 200), (3, "charlie", 300)], "id int, name string, score int")
+    return spark.createDataFrame([(11, "kettle", 24), (12, "ladle", 7), (13, None, 0)], "part int, label string, stock int")
 
 
 def test_append_matches_by_name(spark, base):
-    batch = spark.createDataFrame([(400, "dora", 4), (500, "eve", 5)], "score int, name string, id int")
-    assert rows(inc.append(base, batch)) == rows(base) + [(4, "dora", 400), (5, "eve", 500)]
+    batch = spark.createDataFrame([(3, "whisk", 21), (None, "sieve", 22)], "stock int, label string, part int")
+    assert rows(inc.append(base, batch)) == rows(base) + [(21, "whisk", 3), (22, "sieve", None)]
 
 
 def test_append_keeps_repeated_keys(spark):
-    t = spark.createDataFrame([(1, "initial"), (2, "keep")], "id int, value string")
-    b = spark.createDataFrame([(1, "second"), (3, "new")], "id int, value string")
-    assert inc.append(t, b).count() == 4
+    t = spark.range(5).selectExpr("id % 2 AS shelf", "id AS box")
+    assert rows(inc.append(t, t.where("shelf = 1"))) == [(0, 0), (0, 2), (0, 4), (1, 1), (1, 1), (1, 3), (1, 3)]
 
 
 def test_upsert_replaces_whole_rows(spark, base):
-    batch = spark.createDataFrame([(1, None, 150), (4, "dave", 400)], "id int, name string, score int")
-    assert rows(inc.upsert(base, batch, "ID")) == [
-        (1, None, 150), (2, "bob", 200), (3, "charlie", 300), (4, "dave", 400)]
+    batch = spark.createDataFrame([(12, None, 9), (14, "sieve", 2)], "part int, label string, stock int")
+    assert rows(inc.upsert(base, batch, "PART")) == [(11, "kettle", 24), (12, None, 9), (13, None, 0), (14, "sieve", 2)]
 
 
 def test_upsert_composite_key(spark):
-    t = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "tenant_id int, id int, value string")
-    b = spark.createDataFrame([(1, 1, "A"), (2, 2, "d")], "tenant_id int, id int, value string")
-    assert rows(inc.upsert(t, b, ["tenant_id", "id"])) == [(1, 1, "A"), (1, 2, "b"), (2, 1, "c"), (2, 2, "d")]
+    grid = spark.range(9).selectExpr("id DIV 3 AS aisle", "id % 3 AS bay", "CAST(id AS STRING) AS crate")
+    moved = grid.where("aisle = bay").withColumn("crate", F.lit("moved")).union(spark.sql("SELECT 3L, 0L, 'added'"))
+    out = {(a, b): crate for a, b, crate in rows(inc.upsert(grid, moved, ["aisle", "bay"]))}
+    assert out == {(a, b): "moved" if a == b else str(3 * a + b) for a in range(3) for b in range(3)} | {(3, 0): "added"}
 
 
 def test_upsert_null_key_matches_null_key(spark):
-    t = spark.createDataFrame([(None, "old"), (1, "keep")], "id int, value string")
-    b = spark.createDataFrame([(None, "new")], "id int, value string")
-    assert rows(inc.upsert(t, b, "id")) == [(1, "keep"), (None, "new")]
+    t = spark.createDataFrame([(None, "loose"), (7, "boxed")], "crate int, how string")
+    b = spark.createDataFrame([(None, "wrapped")], "crate int, how string")
+    assert rows(inc.upsert(t, b, "crate")) == [(7, "boxed"), (None, "wrapped")]
 
 
 def test_upsert_reserved_word_key(spark):
@@ -52,10 +51,10 @@ def test_upsert_reserved_word_key(spark):
 
 @pytest.mark.parametrize("target", ["full", "empty"])
 def test_repeated_batch_key_fails(spark, base, target):
-    batch = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "id int, name string, score int")
+    batch = spark.createDataFrame([(13, "tongs", 1), (13, "tongs", 1), (30, None, 2)], "part int, label string, stock int")
     stored = base if target == "full" else base.limit(0)
     with pytest.raises(Exception, match="duplicate key in batch"):
-        inc.upsert(stored, batch, "id").collect()
+        inc.upsert(stored, batch, "part").collect()
 
 
 def test_two_null_keys_are_repeated(spark):
@@ -85,13 +84,13 @@ def test_guard_without_other_columns(spark):
 
 
 def test_lower_sequence_does_not_replace(spark):
-    t = spark.createDataFrame([(1, 10, "first"), (2, 1, "old"), (3, None, "none"), (4, 4, "four")], "id int, seq int, name string")
-    b = spark.createDataFrame(
-        [(1, 5, "stale"), (2, 20, "second"), (3, 0, "some"), (4, 4, "tie"), (5, None, "new")], "id int, seq int, name string")
-    assert rows(inc.upsert_sequenced(t, b, "id", "seq")) == [
-        (1, 10, "first"), (2, 20, "second"), (3, 0, "some"), (4, 4, "tie"), (5, None, "new")]
-    nulls = spark.createDataFrame([(1, None, "late")], "id int, seq int, name string")
-    assert (1, 10, "first") in rows(inc.upsert_sequenced(t, nulls, "id", "seq"))
+    shape = "lot int, revision int, note string"
+    stored = spark.createDataFrame([(5, 70, "held"), (6, 3, "older"), (7, None, "unnumbered"), (8, 12, "even")], shape)
+    arriving = spark.createDataFrame([(5, 69, "behind"), (6, 4, "ahead"), (7, -1, "numbered"), (8, 12, "wins the tie"), (9, None, "fresh")], shape)
+    assert rows(inc.upsert_sequenced(stored, arriving, "lot", "revision")) == [
+        (5, 70, "held"), (6, 4, "ahead"), (7, -1, "numbered"), (8, 12, "wins the tie"), (9, None, "fresh")]
+    without = spark.createDataFrame([(5, None, "no number")], shape)
+    assert (5, 70, "held") in rows(inc.upsert_sequenced(stored, without, "lot", "revision"))
 
 
 def test_repeated_keys_are_refused_before_sequence(spark):
