@@ -4,14 +4,15 @@ A model sees words (runs of letters, lower-cased) as bytes, each byte after the
 log-likelihoods under the two models. A text is described by the length-normalised difference of its likelihoods and by its
 strongest words; a logistic curve turns these into a score.
 
-Counts are Spark tables, one for each order, and stay there: the runs of bytes of the different words of all texts are looked up in them
-order by order, by joins, and summed up to a number for each word, which goes back to the segments of text that hold it. The curve is
+Counts are Spark tables, one for each order, joined order by order to the evidence of every counted run of bytes, and of every context for
+the runs that were not counted after it. Only this last table goes to the tasks that read texts, in ranges of bounded size. The curve is
 fitted on some texts of each class as the models see them without the counts of these texts; lower orders, which both classes share, keep them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tableloom.llm import kneser_ney
-from tableloom.llm.common import let_workers_import, span_hashes, text_bytes
-from tableloom.llm.ctw import DEPTH, PACKED, PARTS, _by_segment, _packed, _packed_segments, _passes, _words, answered, runs_of_bytes, summed
+from tableloom.llm.common import MIX, held_by_worker, let_workers_import, text_batches, text_bytes
+from tableloom.llm.ctw import DEPTH, runs_of_bytes
 from tableloom.llm.segments import Tokens, gathered
 from tableloom.session import freeze
 
@@ -35,8 +36,14 @@ CALIBRATION_ROWS = 4_000
 #: Evidence of a word, in nats, beyond what chance resemblance gives.
 STRONG = 3.0
 
-#: Evidence travels in whole numbers of so many to a nat.
-PER_NAT = 1_000_000
+#: Entries of the table of evidence that tasks hold at once, of 12 bytes each.
+RANGE = 4_000_000
+
+#: Marks the key of a context.
+CONTEXT = 1 << 56
+
+#: Bytes of text in one numpy pass.
+PASS_BYTES = 1 << 20
 
 FEATURES = 5
 
@@ -144,79 +151,103 @@ def evidence(counts: Counts, runs: DataFrame, held: bool) -> DataFrame:
     return rows.select("gram", (F.log(F.greatest(p["1"], F.lit(1e-300))) - F.log(F.greatest(p["0"], F.lit(1e-300)))).alias("lean"))
 
 
-def words_by_part(parts: DataFrame) -> DataFrame:
-    """A segment's different words, a row for each part they are dealt to."""
-
-    def run(batches):
-        held, segment = [], None
-
-        def out():
-            words = pa.concat_arrays(held).unique()
-            data, offsets = text_bytes(words)
-            part = (span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(40)).astype(np.int64) % PARTS
-            order = np.argsort(part, kind="stable")
-            words = words.take(pa.array(order))
-            yield from _packed(segment, part[order], lambda a, b: "\n".join(words.slice(a, b - a).to_pylist()).encode(), np.ones(len(order), np.int64))
-
-        for number, _, packed in _by_segment(batches):
-            if number != segment and segment is not None:
-                yield from out()
-                held = []
-            segment = number
-            for _, texts in _passes(packed):
-                held.append(letters_of(texts).words)
-                if sum(map(len, held)) > 500_000:
-                    held = [pa.concat_arrays(held).unique()]
-        if segment is not None:
-            yield from out()
-
-    return parts.select("segment", "trained", "packed").mapInArrow(run, PACKED)
-
-
-def word_evidence(counts: Counts, sums: DataFrame, held: bool) -> DataFrame:
-    """``part, keys, n`` with the evidence of each of a part's words in place of its count."""
-    let_workers_import(sums.sparkSession)
+def evidence_table(counts: Counts, held: bool) -> DataFrame:
+    """``key, lean`` of every counted run, and of every context with ``CONTEXT`` set, for the runs that were not counted after it.
 
-    def runs(batches):
-        for batch in batches:
-            for part, keys in zip(batch.column(0).to_pylist(), batch.column(1)):
-                of, found = runs_of_bytes(pa.array(_words(keys.as_py())))
-                for i in range(0, len(of), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(of[i:i + 100_000]), part, np.int32)), pa.array(of[i:i + 100_000]), pa.array(found[i:i + 100_000])], ["part", "nth", "gram"])
-
-    def pack(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([np.array(v, "<i8").tobytes() for v in batch.column(2).to_pylist()], pa.binary())], ["part", "keys", "n"])
-
-    wanted = freeze(sums.select("part", "keys").mapInArrow(runs, "part int, nth long, gram long"), "wanted")
-    lean = evidence(counts, freeze(wanted.select("gram").distinct(), "asked"), held)
-    by_word = wanted.join(lean, "gram").groupBy("part", "nth").agg(F.round(F.sum("lean") * PER_NAT).cast("long").alias("lean"))
-    in_order = by_word.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("nth", "lean"))).alias("all")).select("part", F.col("all.lean").alias("n"))
-    return sums.select("part", "keys").join(in_order, "part").select("part", "keys", "n").mapInArrow(pack, "part int, keys binary, n binary")
+    Both models see an uncounted run as the context's share of unseen bytes times the same lower order, so its evidence is
+    the context's alone; after a context that neither model knows there is none.
+    """
+    runs = evidence(counts, counts.top.select("gram"), held).select(F.col("gram").alias("key"), "lean")
+    own = {"0": F.col("n0"), "1": F.col("n1")} if not held else {"0": F.col("n0") - F.col("s0"), "1": F.col("n1") - F.col("s1")}
+    contexts = counts.top.groupBy(F.shiftright("gram", 8).alias("context")).agg(*[a for k, c in own.items() for a in (F.sum(c).alias(f"total{k}"), F.count_if(c > 0).alias(f"kinds{k}"))])
+    share = {k: F.when(F.col(f"total{k}") > 0, counts.top_discounts[f"{'h' if held else 'n'}{k}"] * F.col(f"kinds{k}") / F.col(f"total{k}")).otherwise(F.lit(1.0)) for k in own}
+    backed = contexts.select(F.col("context").bitwiseOR(F.lit(CONTEXT)).alias("key"), (F.log(share["1"]) - F.log(share["0"])).alias("lean"))
+    return runs.unionAll(backed).select("key", F.col("lean").cast("float").alias("lean"))
+
+
+def _range_of(ranges: int) -> Column:
+    """A run and its context lie in one range."""
+    context = F.when(F.col("key") >= CONTEXT, F.col("key") - CONTEXT).otherwise(F.shiftright("key", 8))
+    return F.pmod(F.xxhash64(context), F.lit(ranges))
+
+
+class Evidence:
+    """Evidence by run, from one range of the table: one probe finds most, sorted arrays have the keys that share a place."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(int(2 * len(keys)).bit_length(), 4)
+        self.keys, self.values = keys, values
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        place = self._place(keys)
+        self.table[place] = np.arange(len(keys), dtype=np.int32)
+        rest = np.flatnonzero(self.table[place] != np.arange(len(keys)))
+        self.rest = rest[np.argsort(keys[rest])]
+        self.more = keys[self.rest]
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * MIX >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = self.table[self._place(keys)]
+        other = np.flatnonzero((at >= 0) & (self.keys[at] != keys))
+        at[other] = -1
+        if len(other) and len(self.more):
+            near = np.minimum(np.searchsorted(self.more, keys[other]), len(self.more) - 1)
+            at[other] = np.where(self.more[near] == keys[other], self.rest[near], -1)
+        return at
+
+    def of_words(self, tokens: Tokens) -> np.ndarray:
+        """The evidence of each word of a dictionary."""
+        of, runs = runs_of_bytes(tokens.words)
+        at = self.find(runs)
+        unseen = np.flatnonzero(at < 0)
+        at[unseen] = self.find(runs[unseen] >> 8 | CONTEXT)
+        values = np.where(at >= 0, self.values[at], 0) if len(self.values) else np.zeros(len(at))
+        return np.bincount(of, values, len(tokens.words))
 
 
 def described(df: DataFrame, counts: Counts, held: bool, text: str, keep: list[str]) -> DataFrame:
     """Each row as ``row`` with ``f0`` and so on: the length-normalised difference of log-likelihoods; evidence of the strongest and the second
-    strongest word; log of all strong evidence; log of the number of words, as chance evidence grows with it."""
-    let_workers_import(df.sparkSession)
-    parts = freeze(_packed_segments(df, text, F.lit(False), keep), "texts")
-    words = freeze(words_by_part(parts), "words")
-    replies = answered(words, word_evidence(counts, freeze(summed(words, True), "different"), held), True)
+    strongest word; log of all strong evidence; log of the number of words, as chance evidence grows with it.
+
+    The table of evidence goes to the tasks in ranges of ``RANGE`` entries or so. With more than one, texts are passed over once for each, and
+    carry what their words have gathered so far.
+    """
+    spark = df.sparkSession
+    let_workers_import(spark)
+    table = freeze(evidence_table(counts, held), "evidence")
+    ranges = max(-(-table.count() // RANGE), 1)
     names = [f"f{i}" for i in range(FEATURES)]
-    schema = StructType([parts.schema["row"], *(StructField(n, DoubleType()) for n in names)])
-
-    def run(texts_of: pa.Table, replies: pa.Table) -> pa.Table:
-        known = pa.concat_arrays([pc.split_pattern(pa.array([k.as_py().decode()]), "\n").flatten() for k in replies["keys"]]) if len(replies) else pa.array([], pa.string())
-        value = np.concatenate([np.zeros(0), *(np.frombuffer(v.as_py(), "<f8") for v in replies["values"])]) / PER_NAT
-        out = np.zeros((len(texts_of), FEATURES))
-        for start, texts in _passes(texts_of["packed"].combine_chunks()):
-            tokens = letters_of(texts)
-            if len(tokens.ids):
-                lean = value[pc.index_in(tokens.words, value_set=known).to_numpy(zero_copy_only=False).astype(np.int64)][tokens.ids]
-                out[start:start + len(texts)] = features(lean, tokens)
-        return pa.table([texts_of["row"], *(pa.array(out[:, i]) for i in range(FEATURES))], names=["row", *names])
-
-    return parts.select("segment", "row", "packed").groupBy("segment").cogroup(replies.groupBy("segment")).applyInArrow(run, schema)
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.lit(None).cast("array<float>").alias("lean"))
+    for r in range(ranges):
+        own = table.where(_range_of(ranges) == r).toArrow()  # of bounded size
+        sent = spark.sparkContext.broadcast((own["key"].to_numpy(), own["lean"].to_numpy()))
+        last, key = r == ranges - 1, uuid.uuid4().hex
+
+        def run(batches, sent=sent, last=last, key=key):
+            known = held_by_worker(key, lambda: Evidence(*sent.value))
+            for batch in batches:
+                row, texts, carried = batch.columns
+                for start, stop in text_batches(texts, PASS_BYTES):
+                    part = texts.slice(start, stop - start)
+                    tokens = letters_of(part)
+                    lean = known.of_words(tokens)[tokens.ids] if len(tokens.ids) else np.zeros(0)
+                    before = carried.slice(start, stop - start)
+                    if before.null_count < len(before):
+                        lean = lean + before.flatten().to_numpy()
+                    if last:
+                        out = [pa.array(c) for c in features(lean, tokens).T]
+                        yield pa.RecordBatch.from_arrays([row.slice(start, stop - start), *out], ["row", *names])
+                    else:
+                        lists = pa.ListArray.from_arrays(pa.array(tokens.first.astype(np.int32)), pa.array(lean.astype(np.float32)))
+                        yield pa.RecordBatch.from_arrays([row.slice(start, stop - start), part, lists], ["row", "text", "lean"])
+
+        if last:
+            return rows.mapInArrow(run, StructType([rows.schema["row"], *(StructField(n, DoubleType()) for n in names)]))
+        rows = freeze(rows.mapInArrow(run, rows.schema), "carried")
 
 
 def features(lean: np.ndarray, tokens: Tokens) -> np.ndarray:

@@ -60,7 +60,9 @@ def test_evidence_against_a_plain_computation(spark, held):
         assert value == pytest.approx(lean(g.to_bytes(toxicity.ORDER, "big")), abs=1e-9)
 
 
-def test_a_text_is_described_by_its_words(spark, documents):
+@pytest.mark.parametrize("size", [400, 4_000_000])
+def test_a_text_is_described_by_its_words(spark, documents, monkeypatch, size):
+    monkeypatch.setattr(toxicity, "RANGE", size)
     r = random.Random(7)
     rows = [(i % 2, False, text(r, "de" if i % 2 else "en", 6)) for i in range(24)]
     counts = toxicity.count(spark.createDataFrame(rows, "label int, sampled boolean, text string"))
