@@ -44,7 +44,7 @@ def pairs_by_opening(conversations: DataFrame) -> DataFrame:
 def pairs_by_number(conversations: DataFrame) -> DataFrame:
     """``chosen_id, rejected_id`` of each two conversations numbered 2n and 2n + 1, chosen by the same rule."""
     rows = conversations.select(
-        "conv_id", F.floor(F.col("conv_id") / 2).alias("two"), (-_said(F.col("turns"))).alias("less")
+        "conv_id", F.shiftright("conv_id", 1).alias("two"), (-_said(F.col("turns"))).alias("less")
     )
     best = F.struct("less", "conv_id")
     two = rows.groupBy("two").agg(F.min(best)["conv_id"].alias("chosen_id"), F.max(best)["conv_id"].alias("rejected_id"))

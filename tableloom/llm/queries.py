@@ -173,7 +173,7 @@ WITH turns AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce
                      arg_min([role, text], (turn IS NOT NULL, turn, role, text)) AS opening,
                      coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS said FROM turns GROUP BY conv_id),
      best AS (SELECT opening, arg_min(conv_id, (-said, conv_id)) AS chosen_id FROM conv GROUP BY opening),
-     two AS (SELECT arg_min(conv_id, (-said, conv_id)) AS chosen_id, arg_max(conv_id, (-said, conv_id)) AS rejected_id FROM conv GROUP BY conv_id // 2),
+     two AS (SELECT arg_min(conv_id, (-said, conv_id)) AS chosen_id, arg_max(conv_id, (-said, conv_id)) AS rejected_id FROM conv GROUP BY conv_id >> 1),
      ids AS (SELECT chosen_id, conv_id AS rejected_id FROM conv JOIN best USING (opening) UNION SELECT chosen_id, rejected_id FROM two),
      pair AS (SELECT chosen_id, rejected_id, c.t AS c, r.t AS r, least(len(c.t), len(r.t)) AS m
               FROM ids JOIN conv r ON r.conv_id = rejected_id JOIN conv c ON c.conv_id = chosen_id WHERE rejected_id <> chosen_id),
