@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -191,12 +192,37 @@ class Publisher:
             elif SLOT in columns:
                 select += f" WHERE v.{SLOT} LIKE '0-%'"
         stored = {"version_table": version, "previous_table": before or "", **(properties or {}), "live_table": live or "", "previous_live": old.get("live_table") or ""}
-        props = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in stored.items())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ({props}) AS {select}"
-        )
+        if old.get("descriptions"):
+            stored = {"descriptions": old["descriptions"], **stored}
+        self._define(table, select, stored)
         self.drop_stale(table)
 
+    def _define(self, table: str, select: str, properties: Mapping[str, object]) -> None:
+        """Point a view at a query, with its properties and the descriptions among them, in one catalog operation."""
+        said = json.loads(str(properties.get("descriptions") or "{}"))
+        listed = [(c, said.get("columns", {}).get(c.lower())) for c in self.spark.sql(select).columns]
+        columns = ", ".join(quoted(c) + (f" COMMENT {_literal(text)}" if text else "") for c, text in listed)
+        comment = f" COMMENT {_literal(said['table'])}" if said.get("table") else ""
+        props = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} ({columns}){comment} TBLPROPERTIES ({props}) AS {select}")
+
+    def describe(self, table: str, text: str | None = None, columns: Mapping[str, str] | None = None) -> None:
+        """Describe a published name and columns of it. Descriptions stay through rebuilds, of columns as long as they are there.
+
+        An empty text takes a description away; what is not mentioned stays as it is.
+        """
+        self._current(table)
+        have = {c.lower() for c in self.read(table).columns}
+        unknown = [c for c in columns or {} if c.lower() not in have]
+        if unknown:
+            raise ValueError(f"{table} has no columns {unknown}")
+        known = {k: v for k, v in self.properties(table).items() if not k.startswith("view.")}
+        said = json.loads(known.get("descriptions") or "{}")
+        said = {"table": said.get("table", "") if text is None else text, "columns": said.get("columns", {}) | {c.lower(): t for c, t in (columns or {}).items()}}
+        lines = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        (select,) = [r["data_type"] for r in lines if r["col_name"] == "View Text"]
+        self._define(table, select, {**known, "descriptions": json.dumps(said)})
+
     def drop_stale(self, table: str) -> None:
         """Drop stages, and versions that are neither current nor the one before: leftovers of earlier runs."""
         now = self.properties(table)

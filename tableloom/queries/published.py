@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tableloom.functions.timing import add_interval
 from tableloom.operators import quality
 from tableloom.operators.history import HistorySpec
 from tableloom.plans.history_run import run_history
@@ -107,6 +108,14 @@ def store_failures_limit(spark, sf):
     return publisher(spark).store_failures("customer_unique", failures, limit=25, order_by="unique_field")
 
 
+@query("SELECT o_custkey AS unique_field, count(*) AS n_records FROM orders GROUP BY 1 HAVING count(*) > 1")
+def store_failures_view(spark, sf):
+    """The failing rows as a view over those stored under another name."""
+    pub = publisher(spark)
+    pub.view_failures("customer_unique", quality.unique(table(spark, sf, "orders"), "o_custkey"))
+    return pub.read("customer_unique")
+
+
 @query(f"""{ORDERS_MERGED}
 SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM merged""")
 def merge_within_partitions(spark, sf):
@@ -159,3 +168,21 @@ def snapshot_stored(spark, sf):
     spec = HistorySpec(keys="c_custkey", hard_deletes="invalidate")
     run_history(pub, "customers", customers_t0(spark, sf), spec, T0)
     return run_history(pub, "customers", customers_t1(spark, sf), spec, T1)
+
+
+@query("""
+WITH t1 AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS at FROM orders)
+SELECT *, valid_from AS updated_at FROM (
+SELECT o.*, md5(o.o_orderkey || '|' || CAST(o.o_orderdate AS VARCHAR)) AS scd_id, o.o_orderdate AS valid_from, CASE WHEN t1.at > o.o_orderdate THEN t1.at END AS valid_to
+FROM orders o JOIN t1 ON t1.o_orderkey = o.o_orderkey
+UNION ALL
+SELECT o.* REPLACE (t1.at AS o_orderdate), md5(o.o_orderkey || '|' || CAST(t1.at AS VARCHAR)), t1.at, NULL
+FROM orders o JOIN t1 ON t1.o_orderkey = o.o_orderkey WHERE t1.at > o.o_orderdate)""")
+def snapshot_stored_timestamp(spark, sf):
+    """Two stored runs that find changed keys from the key and the time alone, and look up the rest for those."""
+    pub = publisher(spark)
+    spec = HistorySpec("o_orderkey", strategy="timestamp", updated_at="o_orderdate")
+    orders = table(spark, sf, "orders")
+    later = F.when(F.col("o_orderstatus") == "P", add_interval(F.col("o_orderdate"), 1, "day")).otherwise(F.col("o_orderdate"))
+    run_history(pub, "orders", orders, spec, T0)
+    return run_history(pub, "orders", orders.withColumn("o_orderdate", later), spec, T1)

@@ -429,3 +429,23 @@ def test_a_log_is_read_bucket_by_bucket_and_folds_itself(pub, spark, monkeypatch
         assert "Exchange hash" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.round, r["count"]) for r in out.groupBy("round").count().collect()) == [(0, 40), (1, 40), (2, 40), (3, 40), (4, 60)]
     assert pub.property("log", "last_batch") == "1"
+
+
+def test_descriptions_outlive_rebuilds(pub, spark):
+    pub.replace("stock", _stock(spark, ("nut", 7, "A", 1)), partition_by="shelf")
+    pub.describe("stock", "What is on the shelves; it's counted weekly", {"Pieces": "whole packs", "item": "a 'name'"})
+
+    def said():
+        lines = spark.sql(f"DESCRIBE TABLE EXTENDED {pub.name('stock')}").collect()
+        return {r.col_name: r.comment for r in lines if r.comment} | {r.col_name: r.data_type for r in lines if r.col_name == "Comment"}
+
+    want = {"pieces": "whole packs", "item": "a 'name'", "Comment": "What is on the shelves; it's counted weekly"}
+    assert said() == want
+    pub.overwrite_partitions("stock", _stock(spark, ("pin", 5, "A", 2)))
+    assert said() == want
+    pub.replace("stock", _stock(spark, ("cap", 1, "B", 1)).drop("pieces"))
+    assert said() == {k: v for k, v in want.items() if k != "pieces"}
+    pub.describe("stock", "", {"item": ""})
+    assert said() == {} and rows(pub.read("stock")) == [("cap", "B", 1)]
+    with pytest.raises(ValueError, match="no columns"):
+        pub.describe("stock", columns={"weight": "kg"})
