@@ -5,6 +5,10 @@ closed. A run writes two partitions: the versions that are current after it, and
 The published view takes the closed partitions of all committed runs and the current partition of
 the last one, so past versions are never copied, a failed run is invisible, and publishing is one
 view replacement.
+
+Versions lie in buckets of their key, so a run joins its source to the current ones without moving these. Each version of a key begins
+after the one before it, or the checks of the run's own rows fail; ids can thus only repeat for keys that had left and return, and
+only these are looked up in the past.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.names import col, quoted
+from tableloom.functions.names import col, quoted, resolve
 from tableloom.operators.history import (
     HistorySpec,
     advance_current,
@@ -32,6 +36,9 @@ from tableloom.plans.publish import Publisher, StorageModelError
 
 RUN, CLOSED = "history_run", "history_closed"
 
+#: Buckets of a history, unless its first run says otherwise: as many tasks join it.
+BUCKETS = 16
+
 
 def _versions_table(table: str) -> str:
     return f"{table}__versions"
@@ -64,16 +71,17 @@ def run_history(
     run_ts: datetime | str,
     validate: bool = True,
     before_publish: Callable[[], None] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Build the history on the first call, advance it on later ones, and return it."""
+    """Build the history on the first call, which chooses its buckets, advance it on later ones, and return it."""
     publisher.require_model(table, "history")
     with publisher.stage(table, source) as staged:
-        history = _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish)
+        history = _run_staged(publisher, table, staged, spec, run_ts, validate, before_publish, buckets)
     publisher.drop_stale(table)
     return history
 
 
-def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish) -> DataFrame:
+def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish, buckets) -> DataFrame:
     spark, versions = publisher.spark, publisher.name(_versions_table(table))
     taken = {c.lower() for c in source.columns} & {RUN.lower(), CLOSED.lower()}
     if taken:
@@ -87,7 +95,7 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
         listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in first.schema)
         spark.sql(f"DROP TABLE IF EXISTS {versions}")
         spark.sql(f"CREATE TABLE {versions} ({listed}, {RUN} INT, {CLOSED} BOOLEAN) USING parquet "
-                  f"PARTITIONED BY ({RUN}, {CLOSED})")
+                  f"PARTITIONED BY ({RUN}, {CLOSED}) CLUSTERED BY ({', '.join(quoted(k) for k in resolve(first, spec.keys))}) INTO {buckets} BUCKETS")
         _write_run(publisher, table, first, F.lit(False), 0)
         if validate:
             written = spark.table(versions).where(f"{RUN} = 0").drop(RUN, CLOSED)
@@ -117,6 +125,15 @@ def _run_staged(publisher, table, source, spec, run_ts, validate, before_publish
     return _commit(publisher, table, decided, source, spec, added, run, validate, before_publish)
 
 
+def _repeated_ids(versions: DataFrame, spec: HistorySpec, run: int) -> DataFrame:
+    """How many ids of keys that are new among the current versions were used in the past."""
+    own = [*resolve(versions, spec.keys), spec.names.scd_id]
+    part = lambda closed, runs: versions.where((F.col(CLOSED) == closed) & runs).select(*[col(c) for c in own])
+    before = part(False, F.col(RUN) == run - 1).select(*[col(c) for c in own[:-1]])
+    arrived = part(False, F.col(RUN) == run).join(before, own[:-1], "left_anti")
+    return arrived.join(part(True, F.col(RUN) < run), own, "left_semi").agg(F.count(F.lit(1)).alias("reused_ids"))
+
+
 def _commit(publisher, table, decided, source, spec, added, run, validate, before_publish) -> DataFrame:
     spark, versions, last = publisher.spark, publisher.name(_versions_table(table)), run - 1
     if added:
@@ -128,9 +145,9 @@ def _commit(publisher, table, decided, source, spec, added, run, validate, befor
     _write_run(publisher, table, decided, col(tag).isin("update", "delete"), run)
     if validate:
         written = spark.table(versions).where(f"{RUN} = {run}").select(*[col(c) for c in columns])
-        past = spark.table(versions).where(f"{CLOSED} AND {RUN} <= {last}").select(col(spec.names.scd_id))
-        reused = written.join(past, spec.names.scd_id, "left_semi").agg(F.count(F.lit(1)).alias("reused_ids"))
-        counts = history_violations(written, spec).unionByName(reused, allowMissingColumns=True)
+        counts = history_violations(written, spec)
+        if spec.hard_deletes == "invalidate":
+            counts = counts.unionByName(_repeated_ids(spark.table(versions), spec, run), allowMissingColumns=True)
         raise_on_violations(counts.agg(*[F.sum(c).alias(c) for c in counts.columns]), "history result")
     if before_publish is not None:
         before_publish()

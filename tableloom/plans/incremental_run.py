@@ -88,8 +88,8 @@ class IncrementalConfig:
             raise ConfigError("a sequence column only works with merge")
         if self.merge_on_read and kind != "merge":
             raise ConfigError("merge_on_read only works with merge")
-        if self.merge_on_read and (self.partition_by or self.bucket_by):
-            raise ConfigError("merge_on_read stores by batch; it cannot be partitioned or bucketed otherwise")
+        if self.merge_on_read and (self.partition_by or (self.bucket_by and as_list(self.bucket_by[1]) != self.keys)):
+            raise ConfigError("merge_on_read stores by batch, in buckets of the key; it cannot be partitioned or bucketed otherwise")
         if kind == "microbatch" and (self.partition_by or self.bucket_by):
             raise ConfigError("microbatch stores by window; it cannot be partitioned or bucketed otherwise")
         if self.predicates and kind != "custom":
@@ -200,7 +200,8 @@ def _run(
         _refuse_lost_windows(publisher, table, windows)
     props = stored_properties(config)
     if config.merge_on_read:
-        return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh)
+        return run_merge_log(publisher, table, batch, config.keys, config.sequence, config.on_schema_change, full_refresh,
+                             config.bucket_by[0] if config.bucket_by else None)
     first = full_refresh or publisher.current_version(table) is None
     if first:
         if kind == "merge":

@@ -22,7 +22,7 @@ from tableloom.plans.publish import Publisher
 
 BATCH = "batch_no"
 
-#: Buckets of a log, and the batches after which it is folded.
+#: Buckets of a log, unless its first run says otherwise, and the batches after which it is folded.
 BUCKETS, FOLD_AFTER = 16, 20
 
 
@@ -45,9 +45,11 @@ def _publish(publisher, table, version, keys, sequence, last: int) -> DataFrame:
     return publisher.read(table)
 
 
-def _rebuild(publisher, table, rows: DataFrame, keys, sequence) -> DataFrame:
+def _rebuild(publisher, table, rows: DataFrame, keys, sequence, buckets: int | None = None) -> DataFrame:
+    current = publisher.current_version(table)
+    buckets = buckets or (publisher.buckets(current)[0] if current else 0) or BUCKETS
     labelled = key_first(rows, keys).withColumn(BATCH, F.lit(0))
-    version = publisher.write_version(table, labelled.repartition(BUCKETS, *[col(k) for k in keys]), partition_by=BATCH, bucket_by=(BUCKETS, keys), gather=False)
+    version = publisher.write_version(table, labelled.repartition(buckets, *[col(k) for k in keys]), partition_by=BATCH, bucket_by=(buckets, keys), gather=False)
     try:
         assert_unique(publisher.spark.table(publisher.name(version)), keys)
     except Exception:
@@ -64,6 +66,7 @@ def run_merge_log(
     sequence: str | None = None,
     on_schema_change: str = "ignore",
     full_refresh: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add one batch. It becomes visible when the view is replaced; a refused batch never does."""
     publisher.require_model(table, "merge_log", rebuild=full_refresh)
@@ -74,7 +77,7 @@ def run_merge_log(
     known = publisher.properties(table)
     last = known.get("last_batch")
     if full_refresh or not known:
-        return _rebuild(publisher, table, batch, keys, sequence)
+        return _rebuild(publisher, table, batch, keys, sequence, buckets)
     if known.get("unique_key", "").lower() != ",".join(keys).lower():
         raise SchemaChangeError(f"{table} is stored with another key; rebuild it")
     if known.get("sequence", "").lower() != (sequence or "").lower():

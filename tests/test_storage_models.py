@@ -224,3 +224,35 @@ def test_a_failed_history_run_leaves_nothing_behind_for_the_next(spark, pub):
     assert pub.read("crates").count() == 2
     out = run_history(pub, "crates", crates(5, 9), spec, datetime(2024, 5, 2))
     assert sorted((r.crate, r.weight, r.valid_to is None) for r in out.collect()) == [(0, 5, True), (1, 6, False), (1, 9, True)]
+
+
+def test_a_stored_history_is_joined_where_it_lies(spark, pub):
+    from tableloom.operators.history import advance_current
+
+    spec = HistorySpec(keys="crate", hard_deletes="invalidate")
+    first = spark.range(2_000).selectExpr("id AS crate", "id % 7 AS weight")
+    run_history(pub, "crates", first, spec, datetime(2024, 5, 1), buckets=8)
+    current = spark.table(pub.name("crates__versions")).where("NOT history_closed AND history_run = 0").drop("history_run", "history_closed")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = advance_current(current, first.where("crate > 9"), spec, datetime(2024, 5, 2))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1  # the source's alone
+    gone = run_history(pub, "crates", first.where("crate > 9"), spec, datetime(2024, 5, 2))
+    assert gone.where("valid_to IS NULL").count() == 1_990
+    back = run_history(pub, "crates", first, spec, datetime(2024, 5, 3))
+    assert back.count() == 2_010 and back.where("valid_to IS NULL").count() == 2_000
+
+
+def test_a_returning_key_must_not_repeat_an_id(spark, pub):
+    from tableloom.operators.history import ViolationError
+
+    spec = HistorySpec(keys="crate", strategy="timestamp", updated_at="at", hard_deletes="invalidate")
+    both = spark.createDataFrame([(1, datetime(2024, 5, 1)), (2, datetime(2024, 5, 1))], "crate int, at timestamp_ntz")
+    run_history(pub, "crates", both, spec, datetime(2024, 5, 1))
+    run_history(pub, "crates", both.where("crate = 1"), spec, datetime(2024, 5, 2))
+    with pytest.raises(ViolationError, match="reused_ids"):
+        run_history(pub, "crates", both, spec, datetime(2024, 5, 3))
+    assert pub.read("crates").count() == 2
