@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bpe, ctw, forest, language, mtree, phrases, pii, preferences, ranking, suffixes, toxicity, warc, winnow
+from tableloom.llm import bpe, common, ctw, forest, language, mtree, phrases, pii, preferences, ranking, suffixes, toxicity, warc, winnow
 from tableloom.session import freeze
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,8 +93,10 @@ def op1_toxicity_kneser_ney(spark, sf):
     """A toxicity score of every document, from models fitted on labelled rows that are not held out."""
     docs = table(spark, sf, "documents")
     labels = table(spark, sf, "labels").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    known = docs.where(~language.held_out("doc_id", 5, 0)).join(labels, "doc_id").select("label", "text")
-    out = toxicity.score(docs, toxicity.fit(known), keep=["doc_id"])
+    # labels may be too many to broadcast: texts then move once, compressed
+    texts = common.packed(docs.where("text IS NOT NULL").where(~language.held_out("doc_id", 5, 0)), "text", ["doc_id"])
+    known = freeze(texts.join(labels.hint("merge"), "doc_id").select("label", "packed"), "labelled")
+    out = toxicity.score(docs, toxicity.fit(common.unpacked(known)), keep=["doc_id"])
     return out.select(
         "row.doc_id", language.held_out("row.doc_id", 5, 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence",
