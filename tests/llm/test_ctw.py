@@ -105,12 +105,17 @@ def test_probabilities_of_all_next_bytes_add_up_to_one(spark):
     runs = np.array(sorted(rows))
     counts = np.array([rows[r] for r in runs.tolist()])
     part = ctw._dealt(runs)
-    sums = spark.createDataFrame([(int(p), runs[part == p].astype("<i8").tobytes(), counts[part == p].astype("<i8").tobytes()) for p in set(part.tolist())], "part int, keys binary, n binary")
+    sums = spark.createDataFrame([(int(p), ctw.planes(runs[part == p].astype("<i8")), ctw.planes(counts[part == p].astype("<i8"))) for p in set(part.tolist())], "part int, keys binary, n binary")
     values = dict(zip(runs.tolist(), ctw.log_probabilities(runs, counts, ctw.fit_roots(sums))))
     for context in asked:
         assert sum(10 ** values[number([*context, byte])] for byte in range(256)) == pytest.approx(1)
 
 
+def test_numbers_survive_their_planes():
+    for values in (np.array([], "<i8"), np.array([0, -1, 1 << 47, 255], "<i8"), np.array([0.5, -1e300, np.inf])):
+        assert ctw.from_planes(ctw.planes(values), values.dtype.str).tolist() == values.tolist()
+
+
 def test_lookup_finds_every_run():
     keys = np.unique(np.random.default_rng(4).integers(0, 1 << 48, 50_000))
     values = keys * 0.5
