@@ -33,7 +33,7 @@ DEPTH = 5
 EDGE = 0xFF
 
 #: Bytes of text in a segment, and in one numpy pass over a part of it.
-SEGMENT_BYTES, PASS_BYTES = 32 << 20, 2 << 20
+SEGMENT_BYTES, PASS_BYTES = 32 << 20, 1 << 19
 
 #: Parts that runs, and words, are dealt to.
 PARTS = 4_096
@@ -185,7 +185,8 @@ def _packed_segments(df: DataFrame, text: str, trained: Column, keep: list[str])
 
 
 def _passes(packed: pa.Array):
-    """Row ranges with their texts, about ``PASS_BYTES`` each."""
+    """Row ranges with their texts, about ``PASS_BYTES`` each. What the work before held goes back to the system first."""
+    pa.default_memory_pool().release_unused()
     unpack = zstandard.ZstdDecompressor()
     start, held, size = 0, [], 0
     for i, p in enumerate(packed):
