@@ -6,22 +6,21 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tableloom.llm import kneser_ney
-from tableloom.llm.common import PASS_BYTES, with_results
+from tableloom.llm.common import PASS_BYTES, let_workers_import, text_batches
 from tableloom.llm.kneser_ney import Model, word_values, words_of
+from tableloom.session import freeze
 
 ORDER = 4
 SLOT_BITS = kneser_ney.KEY_BITS
 
-#: Different texts from which the usual cross-entropy and its spread are measured, an equal part of them (and not under
-#: ``CALIBRATION_LEAST``) for each language.
-CALIBRATION_ROWS, CALIBRATION_LEAST = 2_000, 50
+#: Ranges that the search for a median counts at a time; so many values or fewer are put in order by the driver.
+MEDIAN_RANGES = 256
 
 #: A text is rejected if its cross-entropy is so many standard deviations above its language's usual one, and also
 #: most of the way to that of letters drawn at random.
@@ -61,37 +60,12 @@ class Entropies:
 
 
 def fit(rows: DataFrame) -> Identifier:
-    """Fit on ``label, text``: counts over all rows, the rejection limits from some texts of each, see ``CALIBRATION_ROWS``.
+    """Fit on ``label, text``: counts over all rows, the rejection limits from every different text of each label.
 
     Null labels and texts are left out. Without rows nothing is known and every text is unknown.
     """
     model = kneser_ney.fit(rows, ORDER, SLOT_BITS)
-    rows = rows.where("label IS NOT NULL AND text IS NOT NULL").select("label", "text")
-    sample, _, _ = kneser_ney.sampled_texts(rows.withColumn("label", F.col("label").cast("string")), lambda texts, labels: max(CALIBRATION_ROWS // labels, CALIBRATION_LEAST))
-    sent = rows.sparkSession.sparkContext.broadcast(model)
-    key = uuid.uuid4().hex
-    classes = {c: i for i, c in enumerate(model.classes)}
-
-    def run(frames):
-        entropies = Entropies(word_values(key, sent))
-        for frame in frames:
-            found, chars = entropies(frame.text.tolist())
-            own = found[np.arange(len(frame)), [classes.get(x, 0) for x in frame.label]]
-            yield pd.DataFrame({"label": frame.label, "chars": chars, "entropy": own})[chars > 0]
-
-    n = len(model.classes)
-    usual, spread, one = np.zeros(n), np.zeros(n), np.zeros(n)
-    if n:
-        measured = sample.mapInPandas(run, "label string, chars long, entropy double").toPandas()  # the sample's numbers
-        for c, i in classes.items():
-            own = measured[measured.label == c]
-            weights = own.chars / max(own.chars.sum(), 1)
-            usual[i] = (own.entropy * weights).sum() if len(own) else 3.0
-            off = (own.entropy - usual[i]).to_numpy()
-            # the spread of a text of n characters: a part that stays, and one that falls with the length
-            one[i] = max(np.sqrt(np.median(off**2 * own.chars) / 0.455) if len(own) else 1.0, 0.5)
-            spread[i] = max(np.sqrt(np.median(off**2) / 0.455) if len(own) else 0.1, 0.02)
-    return Identifier(model, usual, spread, one)
+    return Identifier(model, *_limits(_judged(rows, model, "text", ["label"], F.col("label")), len(model.classes)))
 
 
 def identify(df: DataFrame, identifier: Identifier, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -101,38 +75,136 @@ def identify(df: DataFrame, identifier: Identifier, text: str = "text", keep: li
     was learned. A text with letters gets the best learned language and is rejected if its cross-entropy lies far above that
     language's usual one for its length, and most of the way to chance. Equal cross-entropies go to the language first in order.
     """
-    sent = df.sparkSession.sparkContext.broadcast(identifier)
+    return _with_rejected(_judged(df, identifier.model, text, keep, F.lit(None)), identifier)
+
+
+def fit_and_identify(df: DataFrame, label: Column, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``identify`` of all rows after a ``fit`` on those of them whose ``label`` is not null; each text's cross-entropies are computed once for both."""
+    model = kneser_ney.fit(df.select(label.alias("label"), F.col(f"`{text}`").cast("string").alias("text")), ORDER, SLOT_BITS)
+    judged = freeze(_judged(df, model, text, keep, label), "judged")
+    return _with_rejected(judged, Identifier(model, *_limits(judged, len(model.classes))))
+
+
+def _judged(df: DataFrame, model: Model, text: str, keep: list[str] | None, label: Column) -> DataFrame:
+    """Each row as ``row`` with ``lang_pred`` and ``score``; the place of the best language and the cross-entropy in it (null without
+    letters or languages); the characters; and, if it has a learned label, a hash of its text, the label's place and the cross-entropy in that."""
+    let_workers_import(df.sparkSession)
+    columns = [F.col(f"`{c}`") for c in (keep if keep is not None else df.columns)]
+    packed = df.select(F.struct(*columns).alias("row"), F.col(f"`{text}`").cast("string").alias("text"), label.cast("string").alias("label"))
+    packed = packed.withColumn("tag", F.when(F.col("label").isNotNull(), F.xxhash64("text")))
+    sent = df.sparkSession.sparkContext.broadcast(model)
     key = uuid.uuid4().hex
+    pass_bytes = max(4 * PASS_BYTES // max(len(model.classes), 4), 1 << 14)  # a pass holds a value for each word and class
 
-    def make():
-        own = sent.value
-
-        class Held:
-            value = own.model
-
-        entropies = Entropies(word_values(key, Held))
-
-        def work(texts: pa.Array) -> list[pa.Array]:
-            found, chars = entropies(texts.to_pylist())
-            if not own.model.classes:
-                n = len(texts)
-                return [pa.array([UNKNOWN] * n, pa.string()), pa.array([0.0] * n), pa.array([True] * n)]
-            best = found.argmin(axis=1)
-            least = found[np.arange(len(found)), best]
-            weight = np.minimum(chars, 50)[:, None]
-            score = 1 / np.exp(-(found - least[:, None]) * weight).sum(axis=1)
-            limit = own.usual[best] + REJECT_AT * np.sqrt(own.spread[best] ** 2 + own.spread_of_one[best] ** 2 / np.maximum(chars, 1))
-            limit = np.maximum(limit, (own.usual[best] + 2 * np.log(own.model.letters + 1)) / 3)
-            empty = chars == 0
-            names = np.array(own.model.classes, object)[best]
-            names[empty] = UNKNOWN
-            return [pa.array(names.tolist(), pa.string()), pa.array(np.where(empty, 0.0, score)), pa.array(empty | (least > limit))]
-
-        return work
-
-    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
-    # a pass holds a value for each word and class
-    return with_results(df, text, fields, make, keep, max(4 * PASS_BYTES // max(len(identifier.model.classes), 4), 1 << 14))
+    def run(batches):
+        entropies = Entropies(word_values(key, sent))
+        classes = sent.value.classes
+        place = {c: i for i, c in enumerate(classes)}
+        for batch in batches:
+            for start, stop in text_batches(batch.column(1), pass_bytes):
+                rows, texts, labels, tags = batch.slice(start, stop - start).columns
+                found, chars = entropies(texts.to_pylist())
+                empty = (chars == 0) | (not classes)
+                if not classes:
+                    found = np.zeros((len(texts), 1))
+                at = np.arange(len(found))
+                best = found.argmin(axis=1)
+                least = found[at, best]
+                weight = np.minimum(chars, 50)[:, None]
+                score = 1 / np.exp(-(found - least[:, None]) * weight).sum(axis=1)
+                names = np.array(classes or [UNKNOWN], object)[best]
+                names[empty] = UNKNOWN
+                own = np.fromiter((place.get(x, -1) for x in labels.to_pylist()), np.int32, len(labels))
+                other = empty | (own < 0)
+                yield pa.RecordBatch.from_arrays([
+                    rows, pa.array(names.tolist(), pa.string()), pa.array(np.where(empty, 0.0, score)), pa.array(best.astype(np.int32), mask=empty),
+                    pa.array(least, mask=empty), pa.array(chars), tags, pa.array(own, mask=other), pa.array(found[at, own], mask=other),
+                ], names=["row", *fields.names[1:]])
+
+    fields = StructType([packed.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("best", IntegerType())])
+    fields = fields.add("least", DoubleType()).add("chars", LongType()).add("tag", LongType()).add("own", IntegerType()).add("entropy", DoubleType())
+    return packed.mapInArrow(run, fields)
+
+
+def _limits(judged: DataFrame, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By language: the usual cross-entropy, its spread and the part of the spread that falls with the length, from all different texts of it."""
+    usual, spread, one = np.zeros(classes), np.zeros(classes), np.zeros(classes)
+    if not classes:
+        return usual, spread, one
+    texts = judged.where("own IS NOT NULL").groupBy("own", "tag").agg(F.min("chars").alias("chars"), F.min("entropy").alias("entropy"))
+    texts = freeze(texts.select("own", "chars", "entropy"), "entropies")
+    for c, total, chars in texts.groupBy("own").agg(F.sum(F.col("entropy") * F.col("chars")), F.sum("chars")).collect():  # a row for each language
+        usual[c] = total / chars
+    known = judged.sparkSession.createDataFrame(list(enumerate(usual.tolist())), "own int, usual double")
+    squares = texts.join(F.broadcast(known), "own").select("own", "chars", ((F.col("entropy") - F.col("usual")) * (F.col("entropy") - F.col("usual"))).alias("off"))
+    # the spread of a text of n characters: a part that stays, and one that falls with the length
+    values = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("off").alias("v")), F.struct(F.lit(1).alias("kind"), (F.col("off") * F.col("chars")).alias("v"))))
+    found = medians(squares.select("own", values.alias("x")).select("own", "x.kind", "x.v"), ["own", "kind"])
+    for (c, kind), median in found.items():
+        if kind:
+            one[c] = max(np.sqrt(median / 0.455), 0.5)
+        else:
+            spread[c] = max(np.sqrt(median / 0.455), 0.02)
+    return usual, spread, one
+
+
+def medians(values: DataFrame, keys: list[str]) -> dict[tuple, float]:
+    """The exact median of the finite numbers ``v`` of each group (few groups, any number of values).
+
+    Counts by range find the range that holds the middle, which is divided anew until it holds few values or equal ones. If
+    the two middle values lie in different ranges, they are the end of one and the start of the other.
+    """
+    found, left = {}, {}
+    for *group, n, lo, hi in values.groupBy(*keys).agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect():
+        left[tuple(group)] = (lo, hi, n, (n - 1) // 2, n // 2)
+
+    def inside(groups: list[tuple]) -> DataFrame:
+        bounds = values.sparkSession.createDataFrame([(*g, *left[g][:2]) for g in groups], values.select(*keys).schema.add("lo", DoubleType()).add("hi", DoubleType()))
+        return values.join(F.broadcast(bounds), keys).where("v BETWEEN lo AND hi")
+
+    while wide := [g for g, (lo, hi, n, _, _) in left.items() if n > MEDIAN_RANGES and lo < hi]:
+        nth = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * MEDIAN_RANGES), F.lit(MEDIAN_RANGES - 1))
+        ranges: dict[tuple, list] = {g: [] for g in wide}
+        for *group, at, n, lo, hi in inside(wide).groupBy(*keys, nth.alias("nth")).agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect():
+            ranges[tuple(group)].append((at, n, lo, hi))
+        for g, parts in ranges.items():
+            *_, first, second = left[g]
+            before, lower = 0, None
+            for _, n, lo, hi in sorted(parts):
+                if lower is not None:
+                    found[g] = (lower + lo) / 2
+                    del left[g]
+                    break
+                if first < before + n:
+                    if second < before + n:
+                        left[g] = (lo, hi, n, first - before, second - before)
+                        break
+                    lower = hi
+                before += n
+    few: dict[tuple, list] = {}
+    for g, (lo, hi, *_) in left.items():
+        if lo == hi:
+            found[g] = lo
+        else:
+            few[g] = []
+    if few:
+        for *group, v in inside(list(few)).select(*keys, "v").collect():  # at most MEDIAN_RANGES a group
+            few[tuple(group)].append(v)
+    for g, own in few.items():
+        own.sort()
+        found[g] = (own[left[g][3]] + own[left[g][4]]) / 2
+    return found
+
+
+def _with_rejected(judged: DataFrame, identifier: Identifier) -> DataFrame:
+    """``row, lang_pred, score`` and whether the text is rejected."""
+    limits = list(zip(range(len(identifier.usual)), *(x.tolist() for x in (identifier.usual, identifier.spread, identifier.spread_of_one)), strict=True))
+    limits = judged.sparkSession.createDataFrame(limits, "best int, usual double, spread double, one double")
+    width = F.sqrt(F.col("spread") * F.col("spread") + F.col("one") * F.col("one") / F.greatest("chars", F.lit(1)))
+    chance = float(2 * np.log(identifier.model.letters + 1))
+    limit = F.greatest(F.col("usual") + REJECT_AT * width, (F.col("usual") + chance) / 3)
+    out = judged.join(F.broadcast(limits), "best", "left")
+    return out.select("row", "lang_pred", "score", F.coalesce(F.col("least") > limit, F.lit(True)).alias("rejected"))
 
 
 def held_out(key: str, parts: int, part: int):
