@@ -13,8 +13,8 @@ from tableloom.session import freeze
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that no learned language explains, among them those without a text or a letter; models are fitted on the
     rows with a language. Repeated rows are judged alike; without any row with a language all are dropped."""
-    rows = docs.select(F.col("lang").alias("label"), "text").where(~language.held_out("doc_id", 3, 1))
-    return language.identify(docs, language.fit(rows)).where("NOT rejected").select("row.*")
+    label = F.when(~language.held_out("doc_id", 3, 1), F.col("lang"))
+    return language.fit_and_identify(docs, label).where("NOT rejected").select("row.*")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tableloom.llm import kneser_ney, language
 from llm.test_models import text
 
@@ -49,3 +50,15 @@ def test_judging_the_rows_learned_from(documents):
     once = {x.row.doc_id: x[1:] for x in language.fit_and_identify(table, label).collect()}
     twice = {x.row.doc_id: x[1:] for x in language.identify(table, language.fit(table.select(label.alias("label"), "text"))).collect()}
     assert once == twice and len(once) == len(rows) and once[200][2]
+
+
+def test_the_pipeline_learns_its_limits_from_all_texts(spark, documents, monkeypatch):
+    made, plain = [], language.Identifier.__init__
+    monkeypatch.setattr(language.Identifier, "__init__", lambda self, *parts: made.append(self) or plain(self, *parts))
+    r = random.Random(7)
+    table = documents([(i, text(r, "en", r.randint(1, 9)), "en", "s", 0) for i in range(3_600)])
+    corpus_pipeline.known_language(spark, table, "")
+    own = sorted({x.text for x in table.where(~language.held_out("doc_id", 3, 1)).select("text").collect()})
+    found, chars = language.Entropies(kneser_ney.WordValues(made[0].model))(own)
+    assert len(own) > 2_000
+    assert made[0].usual[0] == pytest.approx((found[:, 0] * chars).sum() / chars.sum(), rel=1e-9)
