@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 import json
 import uuid
 
@@ -42,12 +43,35 @@ def _literal(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def spread(df: DataFrame, files: int) -> DataFrame:
-    """Rows dealt evenly, whatever their values: so many tasks with equal shares, equal rows and hot keys among them too.
+#: Files of a random distribution that are dealt by writing their shares aside; more files have small shares and are dealt by a shuffle.
+DEALT_ASIDE = 64
 
-    Spark sorts each task's rows before it deals them, so a task that runs again deals them the same way.
+
+def dealt(df: DataFrame, files: int, share: str) -> DataFrame:
+    """Rows with the ``share`` each belongs to, of ``files`` equal ones: every task deals its rows in turn, whatever their values, each from another share on."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id()
+    return df.withColumn(share, F.pmod(place, F.lit(files)).cast("int"))
+
+
+def gathered(shares: DataFrame, files: int, share: str) -> DataFrame:
+    """The rows stored by share, one task for each: it reads that share's files, compressed by column as they are, and nothing is shuffled.
+
+    To be planned under ``tasks_kept``.
     """
-    return df.repartition(files)
+    parts = [shares.where(col(share) == i).drop(share).coalesce(1) for i in range(files)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@contextmanager
+def tasks_kept(spark: SparkSession) -> Iterator[None]:
+    """Unions planned in the block run all their parts' tasks; Spark 4.1 would else join parts of one task each into a single task."""
+    key = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -59,6 +83,9 @@ def rebalanced(df: DataFrame, columns: Sequence[str], partitions: int | None = N
     return df.hint("rebalance", *([partitions] if partitions else []), *[col(c) for c in columns])
 
 
+#: The column of a row's share in a random distribution, while it is dealt.
+SHARE = "write_share"
+
 #: The hidden first partition level: a write's number and a digest of the partition's values.
 SLOT = "write_slot"
 
@@ -142,7 +169,13 @@ class Publisher:
         if bucket_by and not as_list(bucket_by[1]):
             if partition_by:
                 raise ValueError("a random distribution has no partitions")
-            df, bucket_by = spread(df, bucket_by[0]), None
+            files, share = bucket_by[0], SHARE
+            if files > DEALT_ASIDE:
+                return self._save(version, df.repartition(files))
+            while share in (c.lower() for c in df.columns):
+                share += "_"
+            with self.stage(table, dealt(df, files, share), share) as shares, tasks_kept(self.spark):
+                return self._save(version, gathered(shares, files, share))
         elif not gather:
             pass
         elif partition_by:
@@ -154,6 +187,9 @@ class Publisher:
             if SLOT in (c.lower() for c in df.columns):
                 raise ValueError(f"the column name {SLOT} is taken by partitioned tables")
             df, levels = df.withColumn(SLOT, _slot("0", levels)), [SLOT, *levels]
+        return self._save(version, df, levels, bucket_by)
+
+    def _save(self, version: str, df: DataFrame, levels: Sequence[str] = (), bucket_by: tuple[int, Sequence[str] | str] | None = None) -> str:
         writer = df.write.format("parquet").mode("errorifexists")
         if levels:
             writer = writer.partitionBy(*levels)
@@ -233,7 +269,7 @@ class Publisher:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name(name)}")
 
     @contextmanager
-    def stage(self, table: str, df: DataFrame) -> Iterator[DataFrame]:
+    def stage(self, table: str, df: DataFrame, partition_by: str | None = None) -> Iterator[DataFrame]:
         """The rows written once to a helper table, which is dropped when the block ends.
 
         All uses inside the block read the same rows, the source is read once, and a lost executor
@@ -242,7 +278,8 @@ class Publisher:
         name = f"{table.lower()}__stage_{uuid.uuid4().hex[:12]}"
         self._staged.add(name)
         try:
-            df.write.format("parquet").saveAsTable(self.name(name))
+            writer = df.write.format("parquet")
+            (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(self.name(name))
             yield df.sparkSession.table(self.name(name))
         finally:
             self._staged.discard(name)

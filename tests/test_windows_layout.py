@@ -10,6 +10,7 @@ from conftest import rows
 from tableloom.functions import timing
 from tableloom.operators import layout
 from tableloom.operators.windows import calendar_cover, require_exact, resolve_partitions
+from tableloom.plans import publish
 from tableloom.sources.tables import event_time_scan, relation_name
 
 
@@ -178,3 +179,21 @@ def test_a_random_distribution_splits_equal_rows(spark, pub):
     pub.replace("r", spark.range(3_000).select(F.lit("same").alias("v")), bucket_by=(6, ()))
     sizes = [r["count"] for r in pub.read("r").groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 6 and max(sizes) - min(sizes) <= 16
+
+
+def test_a_random_distribution_moves_rows_by_file_and_not_by_shuffle(spark, pub):
+    shares = publish.dealt(spark.range(0, 9_000, 1, 5), 6, "s")
+    with pub.stage("dealt_rows", shares, "s") as stored, publish.tasks_kept(spark):
+        out = publish.gathered(stored, 6, "s")
+        assert out.rdd.getNumPartitions() == 6 and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert rows(out) == rows(spark.range(9_000))
+
+
+def test_a_random_distribution_keeps_every_row_as_it_is(spark, pub):
+    odd = spark.sql("""SELECT * FROM VALUES (1, 'a', array(1, null), map('k', 1.5D), timestamp_ntz'2020-01-01 00:00:01', 7),
+        (null, null, null, null, null, null), (null, null, null, null, null, null), (2, '', array(), map(), null, 7) AS t(k, v, a, m, at, WRITE_share)""")
+    stored = pub.replace("odd", odd, bucket_by=(8, ()))
+    assert stored.schema.simpleString() == odd.schema.simpleString() and sorted(map(str, stored.collect())) == sorted(map(str, odd.collect()))
+    assert pub.replace("odd", odd.where("k = 9"), bucket_by=(8, ())).count() == 0
+    assert pub.replace("odd", spark.range(700), bucket_by=(publish.DEALT_ASIDE + 6, ())).groupBy(F.input_file_name()).count().count() == publish.DEALT_ASIDE + 6
+    assert not [t for t in spark.catalog.listTables(pub.database) if "__stage_" in t.name]
