@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.llm import bpe, forest, language, pii, winnow
+from tableloom.llm.common import sifted
 from tableloom.session import freeze
 
 
@@ -14,7 +15,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Without the documents that no learned language explains, among them those without a text or a letter; models are fitted on the
     rows with a language. Repeated rows are judged alike; without any row with a language all are dropped."""
     label = F.when(~language.held_out("doc_id", 3, 1), F.col("lang"))
-    return language.fit_and_identify(docs, label).where("NOT rejected").select("row.*")
+    tagged = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("tag"))
+    judged = language.fit_and_identify(tagged, label, keep=["doc_id", "tag"])
+    return _without(docs, judged.where("rejected").select(F.col("row").alias("key")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -22,19 +25,31 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), F.struct("doc_id", F.xxhash64("text").alias("tag")).alias("key"))
 
 
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is not listed. Only those that may be listed are moved to a join."""
+    keys = freeze(keys.distinct(), "keys")
+    rows = sifted(_keyed(docs), F.col("key.tag"), keys.select("key.tag"))
+    moved = rows.where("among").join(keys, "key", "left_anti")
+    return rows.where("NOT among").select("row.*").union(moved.select("row.*"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one of the smallest doc_id (null last). Documents without words stay."""
-    kept = forest.link_classes(docs).where("keeper").groupBy(F.struct("doc_id", "tag").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    """One document of each class of near copies: the one of the smallest doc_id (null last). Documents without words stay.
+    Only rows that may share a key with a dropped row are moved to a join."""
+    counts = forest.link_classes(docs).groupBy(F.struct("doc_id", "tag").alias("key")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("keeper").alias("n"))
+    fewer = freeze(counts.where("n < rows").select("key", "n"), "fewer")
+    rows = sifted(_keyed(docs), F.col("key.tag"), fewer.select("key.tag"))
+    some = rows.where("among").join(fewer, "key", "left").where("n IS NULL OR n > 0")
     nth = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
-    return _keyed(docs).join(kept, "key").withColumn("nth", nth).where("nth <= n").select("row.*")
+    some = some.withColumn("nth", nth).where("n IS NULL OR nth <= n")
+    return rows.where("NOT among").select("row.*").union(some.select("row.*"))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a window of a benchmark item. Null and empty texts hold none and stay; an empty benchmark drops nothing."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     tagged = docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
-    hit = winnow.find_windows(tagged, items, keep=["doc_id", "tag"]).where("n_hit > 0").select(F.col("row").alias("key")).distinct()
-    return _keyed(docs).join(hit, "key", "left_anti").select("row.*")
+    return _without(docs, winnow.find_windows(tagged, items, keep=["doc_id", "tag"]).where("n_hit > 0").select(F.col("row").alias("key")))
 
 
 def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
@@ -26,6 +26,9 @@ def let_workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+#: Bits of a sieve for each of its tags, and for all of them together.
+BITS_A_TAG, MOST_BITS = 32, 1 << 26
+
 _held: dict[str, object] = {}
 
 
@@ -147,6 +150,20 @@ def with_results(
     return packed.mapInArrow(run, StructType([packed.schema["row"], *fields]))
 
 
+def sifted(rows: DataFrame, tag: Column, tags: DataFrame) -> DataFrame:
+    """The rows with ``among``: false only where ``tag``, a 64-bit hash, is none of ``tags`` (one column), so that a join with these may leave the row where it is.
+
+    It says true for all of ``tags`` and for one in ``BITS_A_TAG`` others or fewer (more of them beyond ``MOST_BITS / BITS_A_TAG`` tags): an exact join has to
+    follow. Every task gets the bits, as the words that are not zero: 2**20 of them at most, whatever the tables.
+    """
+    bits = min(1 << max((BITS_A_TAG * tags.count() - 1).bit_length(), 6), MOST_BITS)
+    spots = tags.select(F.col(tags.columns[0]).bitwiseAND(F.lit(bits - 1)).alias("spot"))
+    words = spots.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot % 64 AS INT))")).alias("set"))
+    placed = rows.withColumn("spot", tag.bitwiseAND(F.lit(bits - 1))).withColumn("word", F.shiftright("spot", 6))
+    among = F.coalesce(F.getbit("set", (F.col("spot") % 64).cast("int")) == 1, F.lit(False))
+    return placed.join(F.broadcast(words), "word", "left").withColumn("among", among).drop("word", "spot", "set")
+
+
 def packed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` and the text as ``packed``: compressed UTF-8, so that a shuffle moves a third of it. Null becomes empty."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField
 
-from tableloom.llm.common import mix64, with_results
+from tableloom.llm.common import mix64, sifted, with_results
 from tableloom.llm.components import components
 from tableloom.llm.winnow import Words, gram_hashes
 from tableloom.session import freeze
@@ -172,12 +172,11 @@ def link_classes(
     near = components(nodes.join(shared, ["tree", "prefix"]).where("id <> a").select("a", F.col("id").alias("b")).distinct())
 
     # the sets of all candidates, dealt to blocks of their group; a large group's blocks meet two by two
-    wanted = near.join(sets, "id").select("id", "root", "copy_id", "tag", "key_a", "key_b")
-    chosen = wanted.select(F.col("tag").alias("of_tag"), "copy_id").distinct()
-    texts = source.join(chosen, (F.col("tag") == F.col("of_tag")) & F.col("doc_id").eqNullSafe(F.col("copy_id")), "left_semi")
-    grams = _sets(texts, "text", n, ["doc_id", "tag"]).select("row.doc_id", "row.tag", "key_a", "key_b", "grams")
-    same_row = (F.col("g.tag") == F.col("w.tag")) & F.col("g.doc_id").eqNullSafe(F.col("w.copy_id")) & (F.col("g.key_a") == F.col("w.key_a")) & (F.col("g.key_b") == F.col("w.key_b"))
-    filled = grams.alias("g").join(wanted.alias("w"), same_row).groupBy("w.id").agg(F.first("w.root").alias("root"), F.first("g.grams").alias("grams"))
+    wanted = freeze(near.join(sets, "id").select("id", "root", "copy_id", "tag", "key_a", "key_b"), "wanted")
+    same_row = (F.col("s.tag") == F.col("w.tag")) & F.col("s.doc_id").eqNullSafe(F.col("w.copy_id"))
+    texts = sifted(source, F.col("tag"), wanted.select("tag")).where("among").alias("s").join(wanted.alias("w"), same_row)
+    grams = _sets(texts.select("w.id", "w.root", "w.key_a", "w.key_b", "s.text"), "text", n, ["id", "root", "key_a", "key_b"])
+    filled = grams.where("row.key_a = key_a AND row.key_b = key_b").groupBy("row.id").agg(F.first("row.root").alias("root"), F.first("grams").alias("grams"))
     groups = near.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (
