@@ -40,6 +40,12 @@ def held_by_worker(key: str, make: Callable[[], object]):
     return _held[key]
 
 
+def hold_nothing() -> None:
+    """Give back what an operator before this one left in this worker process."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def text_batches(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each."""
     sizes = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1] \

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField
 
-from tableloom.llm.common import mix64, sifted, with_results
+from tableloom.llm.common import hold_nothing, mix64, sifted, with_results
 from tableloom.llm.components import components
-from tableloom.llm.winnow import Words, gram_hashes
+from tableloom.llm.winnow import PASS, Words, gram_hashes
 from tableloom.session import freeze
 
 GRAM = 5
@@ -90,7 +90,7 @@ def _sets(rows: DataFrame, text: str, n: int, keep: list[str]) -> DataFrame:
         np.cumsum(s.sizes, out=offsets[1:])
         return [pa.array(s.key(1)), pa.array(s.key(2)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(s.values.view(np.int64)))]
 
-    return with_results(rows, text, fields, lambda: work, keep)
+    return with_results(rows, text, fields, lambda: work, keep, PASS)
 
 
 def _pairs_of_block(rows: list[tuple], two: bool, similarity: float) -> list[tuple]:
@@ -155,9 +155,13 @@ def link_classes(
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * trees), pa.array(flat))
         return [pa.array(s.key(1)), pa.array(s.key(2)), pa.array(s.sizes.astype(np.int32)), lists]
 
+    def make():
+        hold_nothing()
+        return work
+
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     source = source.withColumn("tag", F.xxhash64("text"))
-    signed = with_results(source, "text", fields, lambda: work, ["doc_id", "tag"]).select("row.*", "key_a", "key_b", "n_grams", "trees")
+    signed = with_results(source, "text", fields, make, ["doc_id", "tag"], PASS).select("row.*", "key_a", "key_b", "n_grams", "trees")
     signed = freeze(signed.withColumn("at", F.monotonically_increasing_id()), "signatures")
 
     # one class per set of n-grams; its rows are counted and its first row found on the map side

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from tableloom.llm.common import mix64, span_hashes, text_bytes, with_results, word_spans
+from tableloom.llm.common import hold_nothing, mix64, span_hashes, text_bytes, with_results, word_spans
 from tableloom.session import freeze
 
 WINDOW = 10
@@ -25,6 +25,9 @@ GRAM = 4
 #: Bits of the sieve of benchmark fingerprints that every task gets: its size is fixed, whatever the benchmark's.
 SIEVE_BITS = 20
 
+#: Bytes of text in a pass: its words and n-grams take some fifty times as much.
+PASS = 1 << 20
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WORD = np.zeros(256, bool)
@@ -144,6 +147,7 @@ def find_windows(
     hit = StructType([StructField("size", IntegerType()), StructField("print", LongType()), StructField("windows", ArrayType(near))])
 
     def make():
+        hold_nothing()
         flags = np.unpackbits(sent.value).astype(bool)
         low = np.uint64((1 << SIEVE_BITS) - 1)
 
@@ -171,7 +175,7 @@ def find_windows(
 
         return work
 
-    out = with_results(docs, text, [StructField("n_words", LongType()), StructField("hits", ArrayType(hit))], make, keep)
+    out = with_results(docs, text, [StructField("n_words", LongType()), StructField("hits", ArrayType(hit))], make, keep, PASS)
     rows = freeze(out.withColumn("at", F.monotonically_increasing_id()), "prints")
 
     matched = rows.select("at", F.explode("hits").alias("h")).select("at", "h.*").join(prints, ["size", "print"], "left_semi")
